@@ -50,9 +50,9 @@ class Check:
 
 
 def run_checks(checks: Sequence[Check]) -> DataFrame:
-    """Q6: one row per check: (check, table, failing_rows, passed), in one job."""
+    """Q6: one row per check: (check_name, table_name, failing_rows, passed), in one job."""
     parts = [c.failing.agg(F.count(F.lit(1)).alias("failing_rows"))
-             .select(F.lit(c.name).alias("check"), F.lit(c.table).alias("table_name"), "failing_rows")
+             .select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"), "failing_rows")
              for c in checks]
     out = parts[0]
     for p in parts[1:]:

@@ -18,24 +18,25 @@ from pyspark.sql import functions as F
 from tallyspark.functions.time import minus_days, period_start
 
 
-def _anti_cond(target: DataFrame, batch_keys: DataFrame, keys: Sequence[str],
-               target_pred: Column | None) -> Column:
+def unmatched_target(target: DataFrame, batch: DataFrame, keys: Sequence[str],
+                     target_pred: Column | None = None) -> DataFrame:
+    """Target rows no batch row replaces (left anti join on the keys).
+
+    ``target_pred`` is evaluated on the target's own columns before the join;
+    a row where it is false or NULL cannot match and is kept.
+    """
+    t = target
+    if target_pred is not None:
+        t = t.withColumn("_in_scope", F.coalesce(target_pred, F.lit(False)))
+    bk = batch.select(*[F.col(k).alias(f"_b_{k}") for k in keys])
     cond = None
     for k in keys:
-        c = target[k] == batch_keys[k]
+        c = t[k] == bk[f"_b_{k}"]
         cond = c if cond is None else cond & c
     if target_pred is not None:
-        cond = cond & target_pred
-    return cond
-
-
-def unmatched_target(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                     target_pred: Column | None = None) -> DataFrame:
-    """Target rows no batch row replaces (left anti join on the keys)."""
-    bk = batch.select(*keys).alias("_b")
-    t = target.alias("_t")
-    cond = _anti_cond(t, bk, keys, target_pred)
-    return t.join(bk, cond, "left_anti")
+        cond = cond & t["_in_scope"]
+    out = t.join(bk, cond, "left_anti")
+    return out.drop("_in_scope") if target_pred is not None else out
 
 
 def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str],

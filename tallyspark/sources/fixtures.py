@@ -109,8 +109,16 @@ class Sources:
     transactions: DataFrame
 
 
+def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "events").select(*EVENT_COLS)
+
+
 def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    events = read_table(spark, sf_dir, "events").select(*EVENT_COLS)
+    return sources_from(spark, load_events(spark, sf_dir), read_table(spark, sf_dir, "lineitem"))
+
+
+def sources_from(spark: SparkSession, events: DataFrame, lineitem: DataFrame) -> Sources:
+    """Build every source relation from (possibly time-cut) events and lineitem."""
     mapping = mapping_df(spark)
     return Sources(
         activity=account_activity(events, mapping),
@@ -119,5 +127,5 @@ def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
         mapping_rows=mapping_size(),
         rewards=rewards(events),
         responses=mev_responses(events),
-        transactions=transactions(read_table(spark, sf_dir, "lineitem")),
+        transactions=transactions(lineitem),
     )
