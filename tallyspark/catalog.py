@@ -534,6 +534,12 @@ def f3(spark, d):
     return load_events(spark, d).select("event_id", minus_days(F.col("ts"), P.lookback_days).alias("ts_minus"))
 
 
+@register("F4")
+def f4(spark, d):
+    """``now()``: the rolling window at the wall clock (as_of=None)."""
+    return blocks.tx_per_block(_src(spark, d).transactions, None, 1)
+
+
 @register("F5")
 def f5(spark, d):
     ev = load_events(spark, d)

@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 
 def sequence_number(df: DataFrame, order_col: str, out_col: str = "rn",
                     bucket: str = "hour", start: int = 1) -> DataFrame:
-    """Add ``out_col`` = global 1-based rank of ``order_col`` (+ ``start`` - 1)."""
+    """Add ``out_col`` = global 1-based rank of ``order_col`` (+ ``start`` - 1).
+
+    The bucket counts are taken from the numbered rows themselves (the
+    largest local number per bucket), so both branches share one exchange
+    and the input is scanned once.
+    """
     b = df.withColumn("_bucket", F.date_trunc(bucket, F.col(order_col)))
-    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    local = b.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(order_col)))
+    counts = local.groupBy("_bucket").agg(F.max("_local").cast("bigint").alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = b.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(order_col)))
-    return (local.join(offsets, "_bucket")
+    return (local.join(offsets, "_bucket", "left")
             .withColumn(out_col, (F.col("_off") + F.col("_local") + F.lit(start - 1)).cast("bigint"))
             .drop("_bucket", "_off", "_local"))

@@ -317,6 +317,8 @@ ORDER BY total_usd_amount DESC NULLS LAST, aggregated_date LIMIT 10""",
     "F2": ("""SELECT l_orderkey, l_linenumber, date_trunc('week', l_shipdate) AS week,
        date_trunc('month', l_shipdate) AS month, date_trunc('quarter', l_shipdate) AS quarter FROM lineitem""", []),
     "F3": (f"SELECT event_id, ts - INTERVAL {P.lookback_days} DAY AS ts_minus FROM events", []),
+    "F4": ("""SELECT block_number, block_date, count(*) AS total_tx_per_block FROM transactions
+WHERE block_date >= CAST(now() AS TIMESTAMP) - INTERVAL 1 DAY GROUP BY 1, 2""", []),
     "F5": (f"""SELECT event_id, ts >= {WETH} AS after_cutoff, ts - INTERVAL 1 DAY AS day_before,
        CAST(ts AS DATE) >= DATE '2024-01-15' AS after_date FROM events""", []),
     "F6": ('SELECT "timestamp", lower(symbol) AS token, price FROM prices_day', ["price"]),

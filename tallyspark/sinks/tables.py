@@ -6,11 +6,12 @@ relational plans and written with *dynamic partition overwrite*:
 * the batch's partition values (one per day in a lookback window) select the
   target partitions to read; the rest of the table is neither read nor
   rewritten;
-* ``target ⋉̸ batch ∪ batch`` (left anti join on the keys) is staged to the
-  shared checkpoint folder first. The staged copy cuts the lineage to the
-  files about to be replaced, so a lost executor during the final write
-  recomputes from the stage, never from half-replaced target files;
-* the staged partitions then overwrite exactly those partitions.
+* the batch is staged once to the shared checkpoint folder (it is read by
+  the conflict check, the partition list and the merge), cutting its lineage
+  to the sources;
+* ``target ⋉̸ batch ∪ batch`` (left anti join on the keys) then overwrites
+  exactly the touched partitions. Old files are replaced only at job
+  commit, so a task retried after a lost executor still reads them.
 
 Unpartitioned targets (the small model outputs) are rebuilt into a fresh
 directory and swapped in by rename; a path is never overwritten while it is
@@ -63,11 +64,12 @@ def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
 
 
 def read_stored(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read a stored table; with ``schema`` partition columns keep their declared types."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
+    """Read a stored table; with ``schema`` partition columns keep their declared types
+    and the columns come back in the declared order (a partitioned read puts
+    partition columns last)."""
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str] | None, sort_within: Sequence[str] | None):
@@ -126,14 +128,20 @@ def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str
             check_conflicts: bool, sort_within: Sequence[str] | None) -> str:
     if not table_exists(spark, path):
         return write_table(batch, path, partition_by, sort_within)
+    # The batch is used up to three times (conflict check, partition list,
+    # merge): stage it once so its source scan runs once and later steps
+    # never recompute it from upstream.
+    batch = _stage(batch, None, "batch-stage")
     target = read_stored(spark, path, batch.schema)
     if check_conflicts:
         bad = upsert.merge_conflicts(target, batch, keys, target_pred).limit(1).collect()
         if bad:
             raise ValueError(f"merge: several batch rows match one target row for key {bad[0].asDict()}")
     if partition_by and set(partition_by) <= set(keys):
-        scope = _touched_partitions(target, batch, partition_by)
-        merged = _stage(upsert.merge(scope, batch, keys, target_pred), partition_by, "merge-stage")
+        # Old files are replaced only when the job commits, so a retried task
+        # still reads them; re-running after a failed commit gives the same
+        # table (the merge is idempotent for a given batch).
+        merged = upsert.merge(_touched_partitions(target, batch, partition_by), batch, keys, target_pred)
         _writer(merged, partition_by, sort_within).mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").parquet(path)
         return path

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fee-collecting addresses and what they collect
@@ -43,10 +44,21 @@ MAPPING_SCHEMA = T.StructType([
 ])
 
 
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def mapping_df(spark: SparkSession, rows=None) -> DataFrame:
-    """The mapping as a local relation (with its list position ``idx``)."""
+    """The mapping as an inline ``VALUES`` relation (with its list position ``idx``).
+
+    A local relation carries exact size statistics and is scanned in the JVM,
+    with no Python worker and no job to ship the rows.
+    """
     rows = MAPPING_ROWS if rows is None else rows
-    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], MAPPING_SCHEMA)
+    values = ", ".join("(" + ", ".join([str(i)] + [_sql_str(v) for v in r]) + ")" for i, r in enumerate(rows))
+    names = ", ".join(f.name for f in MAPPING_SCHEMA.fields)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS mapping({names})").select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in MAPPING_SCHEMA.fields])
 
 
 def mapping_size(rows=None) -> int:
