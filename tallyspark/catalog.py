@@ -646,19 +646,12 @@ def t4(spark, d):
 
 
 def _template_runs(spark, d, strategy):
+    """Run 1 at RUN1_AS_OF sees rows landed by then (7-day window); run 2 at RUN2_AS_OF sees all."""
     s = _src(spark, d)
     landed = s.transactions.where(F.col("block_date") <= ts_lit(RUN1_AS_OF))
     path = scratch_dir(spark, f"tmpl-{strategy}")
-    tables.write_table(blocks.tx_per_block(landed, RUN1_AS_OF, 7), path, partition_by=["block_date"])
-    batch = blocks.tx_per_block(s.transactions, RUN2_AS_OF, 1)
-    pred = F.col("block_date") >= minus_days(ts_lit(RUN2_AS_OF), 1)
-    if strategy == "merge":
-        tables.write_merge(spark, path, batch, blocks.BLOCK_KEYS, ["block_date"], pred)
-    elif strategy == "delete_insert":
-        tables.write_delete_insert(spark, path, batch, blocks.BLOCK_KEYS, ["block_date"], pred)
-    else:
-        tables.write_append_new(spark, path, batch, blocks.BLOCK_KEYS, ["block_date"], pred)
-    return tables.read_stored(spark, path, batch.schema)
+    blocks.run_tx_per_block(spark, landed, path, strategy, RUN1_AS_OF)
+    return blocks.run_tx_per_block(spark, s.transactions, path, strategy, RUN2_AS_OF)
 
 
 @register("T5")
@@ -804,15 +797,12 @@ for _i, _p in zip((7, 8, 9, 10), ("day", "week", "month", "quarter")):
 
 @register("M11")
 def m11(spark, d):
-    return blocks.tx_per_block(_src(spark, d).transactions, AS_OF, 1)
+    return blocks.run_tx_per_block(spark, _src(spark, d).transactions, None, "view", AS_OF)
 
 
 @register("M12")
 def m12(spark, d):
-    path = scratch_dir(spark, "m12")
-    df = blocks.tx_per_block(_src(spark, d).transactions, AS_OF, 1)
-    tables.write_table(df, path, partition_by=["block_date"])
-    return tables.read_stored(spark, path, df.schema)
+    return blocks.run_tx_per_block(spark, _src(spark, d).transactions, scratch_dir(spark, "m12"), "table", AS_OF)
 
 
 @register("M13")

@@ -8,14 +8,13 @@ so the model plans read straight through them down to the parquet scans.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.time import day_start, period_start
 from tallyspark.operators.joins import bounded_broadcast
 from tallyspark.sources.mapping import mapping_df, mapping_size
+from tallyspark.sources.readers import Sources
 
 # Adapter rules: the slot of a user in the mapping list; one more slot than
 # mapped addresses leaves some users unmapped.
@@ -96,19 +95,6 @@ def transactions(lineitem: DataFrame) -> DataFrame:
                            F.col("l_shipdate").cast("date").alias("block_date"))
 
 
-@dataclass
-class Sources:
-    """The source relations of the revenue DAG, all lazy."""
-
-    activity: DataFrame
-    prices: DataFrame
-    mapping: DataFrame
-    mapping_rows: int
-    rewards: DataFrame
-    responses: DataFrame
-    transactions: DataFrame
-
-
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").select(*EVENT_COLS)
 

@@ -7,6 +7,8 @@ parquet scan (``PushedFilters``; ``PartitionFilters`` on partitioned layouts).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -43,6 +45,42 @@ def read_source(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
-def read_json_bodies(spark: SparkSession, path: str) -> DataFrame:
-    """Landed API responses, one JSON document per file, as a ``body`` column."""
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")
+def read_json_bodies(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Landed API responses as a ``body`` column.
+
+    By default each file holds one (possibly pretty-printed) JSON document;
+    with ``one_per_line`` every line of every file is one document.
+    """
+    return spark.read.text(path, wholetext=not one_per_line).withColumnRenamed("value", "body")
+
+
+@dataclass
+class Sources:
+    """The source relations of the revenue DAG, all lazy."""
+
+    activity: DataFrame
+    prices: DataFrame
+    mapping: DataFrame
+    mapping_rows: int | None
+    rewards: DataFrame
+    responses: DataFrame
+    transactions: DataFrame
+
+
+def load_source_tables(spark: SparkSession, root: str, bodies_one_per_line: bool = False) -> Sources:
+    """Production layout: one parquet directory per source under ``root``
+    (``rewards``, ``account_activity``, ``prices_day``, ``transactions``; any of
+    them may be hive-partitioned) and landed API bodies under ``mev_responses``.
+    """
+    from tallyspark.sources.mapping import mapping_df, mapping_size
+
+    r = root.rstrip("/")
+    return Sources(
+        activity=read_source(spark, f"{r}/account_activity", ACTIVITY_SCHEMA),
+        prices=read_source(spark, f"{r}/prices_day", PRICES_SCHEMA),
+        mapping=mapping_df(spark).drop("idx"),
+        mapping_rows=mapping_size(),
+        rewards=read_source(spark, f"{r}/rewards", REWARDS_SCHEMA),
+        responses=read_json_bodies(spark, f"{r}/mev_responses", bodies_one_per_line),
+        transactions=read_source(spark, f"{r}/transactions", TRANSACTIONS_SCHEMA),
+    )
