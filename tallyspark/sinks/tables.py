@@ -180,6 +180,9 @@ def write_append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Seq
 
 # ---------------------------------------------------------------- K10
 
+TARGET_FILE_BYTES = 128 * 1024 * 1024
+
+
 def file_counts(spark: SparkSession, path: str) -> dict[str, int]:
     """Data files per partition directory (file listing only, no data read)."""
     counts: dict[str, int] = {}
@@ -189,42 +192,55 @@ def file_counts(spark: SparkSession, path: str) -> dict[str, int]:
     return counts
 
 
-def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None = None,
-            min_files: int = 2, target_files: int = 1, schema: StructType | None = None) -> int:
-    """Rewrite partitions holding ``min_files`` or more files into ``target_files`` each.
+def partition_stats(spark: SparkSession, path: str, depth: int) -> dict[tuple, tuple[int, int]]:
+    """(partition values) -> (data files, bytes) from the file system, one call per partition."""
+    fs, root, _ = _fs(spark, path)
+    dirs = [(root, ())]
+    for _ in range(depth):
+        nxt = []
+        for d, vals in dirs:
+            for st in fs.listStatus(d):
+                name = st.getPath().getName()
+                if st.isDirectory() and "=" in name and not name.startswith(("_", ".")):
+                    nxt.append((st.getPath(), vals + (unquote(name.split("=", 1)[1]),)))
+        dirs = nxt
+    out = {}
+    for d, vals in dirs:
+        cs = fs.getContentSummary(d)
+        out[vals] = (int(cs.getFileCount()), int(cs.getLength()))
+    return out
+
 
-    Returns the number of partitions rewritten. Rows are spread over
-    ``target_files`` buckets per partition by a hash of the whole row, so a
-    large partition is written by several tasks, not one. The rewrite goes
-    through a staged copy, like the upserts.
+def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None = None,
+            min_files: int = 2, target_file_bytes: int = TARGET_FILE_BYTES,
+            schema: StructType | None = None) -> int:
+    """Rewrite partitions holding ``min_files`` or more files.
+
+    Each rewritten partition gets ``ceil(bytes / target_file_bytes)`` files;
+    rows are spread over them by a hash of the whole row, so a partition
+    holding a large share of the table is written by several tasks, not one.
+    Untouched partitions are neither read nor rewritten (dynamic overwrite).
+    Returns the number of partitions rewritten.
     """
-    counts = file_counts(spark, path)
-    if partition_by:
-        busy = [d for d, n in counts.items() if n >= min_files]
-        if not busy:
+    df = read_stored(spark, path, schema)
+    if not partition_by:
+        n = len(df.inputFiles())
+        if n < min_files:
             return 0
-        df = read_stored(spark, path, schema)
-        values = set()
-        for d in busy:
-            parts = dict(seg.split("=", 1) for seg in d.split("/") if "=" in seg)
-            parts = {k: unquote(v) for k, v in parts.items()}
-            values.add(tuple(parts.get(c) for c in partition_by))
-        cond = None
-        for v in values:
-            c1 = None
-            for c, x in zip(partition_by, v):
-                e = F.col(c).cast("string") == F.lit(x)
-                c1 = e if c1 is None else c1 & e
-            cond = c1 if cond is None else cond | c1
-        scope = df.where(cond)
-        staged = _stage(scope, partition_by, "compact-stage")
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in staged.columns]), F.lit(target_files))
-        staged.repartition(*[F.col(c) for c in partition_by], salt) \
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(*partition_by).parquet(path)
-        return len(values)
-    if sum(counts.values()) < min_files:
+        fs, p, _ = _fs(spark, path)
+        size = int(fs.getContentSummary(p).getLength())
+        write_table(df.repartition(max(1, -(-size // target_file_bytes))), path)
+        return 1
+    stats = partition_stats(spark, path, len(partition_by))
+    busy = {v: max(1, -(-size // target_file_bytes)) for v, (n, size) in stats.items() if n >= min_files}
+    if not busy:
         return 0
-    df = read_stored(spark, path, schema)
-    write_table(df.repartition(target_files), path)
-    return 1
+    part_key = F.concat_ws("/", *[F.col(c).cast("string") for c in partition_by])
+    keys = list(busy)
+    scope = df.where(part_key.isin(["/".join(v) for v in keys]))
+    files = F.create_map(*[x for v in keys for x in (F.lit("/".join(v)), F.lit(busy[v]))])
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), files[part_key])
+    scope.repartition(*[F.col(c) for c in partition_by], salt) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*partition_by).parquet(path)
+    return len(busy)
