@@ -51,9 +51,8 @@ prices_day AS (
     SELECT date_trunc('day', ts) AS "timestamp",
            CASE WHEN user_id % 3 = 0 THEN 'SOL' WHEN user_id % 3 = 1 THEN 'WETH' ELSE 'BONK' END AS symbol,
            CASE WHEN event_id % 10 < 9 THEN 'solana' ELSE 'ethereum' END AS blockchain,
-           value AS price
-    FROM events
-    WHERE extract(day FROM ts) % 7 <> 0),
+           CASE WHEN extract(day FROM ts) % 7 <> 0 THEN value END AS price
+    FROM events),
 rewards AS (
     SELECT date_trunc('hour', ts) AS block_time,
            CASE event_type WHEN 'view' THEN 'Voting' WHEN 'click' THEN 'Fee' WHEN 'signup' THEN 'Rent'

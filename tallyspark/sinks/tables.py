@@ -42,8 +42,22 @@ def _fs(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when the table directory exists (after restoring an interrupted swap)."""
     fs, p, _ = _fs(spark, path)
-    return bool(fs.exists(p))
+    if fs.exists(p):
+        return True
+    return _recover_swap(spark, path)
+
+
+def _recover_swap(spark: SparkSession, path: str) -> bool:
+    """A swap that died between its two renames leaves only ``path.__old-*``:
+    move the newest such copy back so the table is not rebuilt from nothing."""
+    fs, p, jvm = _fs(spark, path)
+    olds = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}.__old-*"))
+    if not olds:
+        return False
+    newest = max(olds, key=lambda st: st.getModificationTime())
+    return bool(fs.rename(newest.getPath(), p))
 
 
 def _swap_in(spark: SparkSession, staged: str, path: str) -> None:

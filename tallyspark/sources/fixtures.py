@@ -50,13 +50,15 @@ def account_activity(events: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def prices_day(events: DataFrame) -> DataFrame:
-    """Daily prices; days of month divisible by 7 have no price rows (NULL-price cases)."""
+    """Daily prices, one row per event; on days of month divisible by 7 the
+    price is NULL (the no-price-that-day cases)."""
     uid = F.col("user_id") % F.lit(3)
-    return events.where(F.dayofmonth("ts") % F.lit(7) != F.lit(0)).select(
+    priced = F.dayofmonth("ts") % F.lit(7) != F.lit(0)
+    return events.select(
         day_start("ts").alias("timestamp"),
         F.when(uid == 0, "SOL").when(uid == 1, "WETH").otherwise("BONK").alias("symbol"),
         F.when(F.col("event_id") % F.lit(10) < F.lit(9), "solana").otherwise("ethereum").alias("blockchain"),
-        F.col("value").alias("price"),
+        F.when(priced, F.col("value")).alias("price"),
     )
 
 

@@ -115,3 +115,12 @@ def test_compact_reduces_files_and_keeps_rows(spark):
     assert max(tables.file_counts(spark, path).values()) == 1
     assert tables.read_stored(spark, path, df.schema).exceptAll(df).count() == 0
     assert tables.read_stored(spark, path, df.schema).count() == 2000
+
+
+def test_interrupted_swap_is_recovered(spark):
+    path = scratch_dir(spark, "t-swap")
+    tables.write_table(_df(spark, [(1, D(2024, 1, 1), 1)]), path)
+    fs, p, jvm = tables._fs(spark, path)
+    fs.rename(p, jvm.org.apache.hadoop.fs.Path(path + ".__old-deadbeef"))   # died after the first rename
+    assert tables.table_exists(spark, path)
+    assert _rows(tables.read_stored(spark, path)) == [(1, D(2024, 1, 1), 1)]
