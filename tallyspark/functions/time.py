@@ -53,3 +53,22 @@ def as_of_lit(as_of: str | _dt.datetime | None) -> Column:
 def since_days_before(as_of: str | _dt.datetime | None, days: int) -> Column:
     """``now() - interval 'n' day`` as a timestamp_ntz expression."""
     return minus_days(as_of_lit(as_of), days)
+
+
+# Name of the day partition column of fact sources laid out as ``block_date=YYYY-MM-DD``.
+DATE_PARTITION = "block_date"
+
+
+def time_bound(df, time_col: str, lower, strict: bool = False, date_partition: str | None = DATE_PARTITION):
+    """``time_col >= lower`` (``>`` when ``strict``), plus the implied
+    ``date_partition >= date(lower)`` when the source has that column.
+
+    A bound on the event time alone cannot prune a day-partitioned source;
+    the implied bound on the partition column becomes a ``PartitionFilter``,
+    so an incremental run lists and opens only the lookback days.
+    """
+    lo = lower if isinstance(lower, Column) else ts_lit(lower)
+    cond = (F.col(time_col) > lo) if strict else (F.col(time_col) >= lo)
+    if date_partition and date_partition in df.columns and date_partition != time_col:
+        cond = cond & (F.col(date_partition) >= F.to_date(lo))
+    return df.where(cond)

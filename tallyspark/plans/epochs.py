@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.time import day_start, ts_lit
+from tallyspark.functions.time import day_start, time_bound
 from tallyspark.operators.numbering import sequence_number
 from tallyspark.params import Params
 
@@ -20,7 +20,7 @@ def voting_times(rewards: DataFrame, last_time=None) -> DataFrame:
     """
     f = rewards.where(F.col("reward_type") == F.lit(VOTING))
     if last_time is not None:
-        f = f.where(F.col("block_time") > ts_lit(last_time))
+        f = time_bound(f, "block_time", last_time, strict=True)
     return f.select("block_time").distinct()
 
 

@@ -63,7 +63,8 @@ def _materialize(spark: SparkSession, path: str, batch: DataFrame, keys, full: b
     if full:
         write_table(batch, path, sort_within=sort_within)
     else:
-        write_merge(spark, path, batch, keys, sort_within=sort_within)
+        # every model batch is grouped on (or numbered by) its unique key
+        write_merge(spark, path, batch, keys, sort_within=sort_within, batch_keys_unique=True)
     return read_stored(spark, path)
 
 

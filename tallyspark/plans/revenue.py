@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.json import parse_json_rows
 from tallyspark.functions.numeric import to_tokens
-from tallyspark.functions.time import day_start, ts_lit
+from tallyspark.functions.time import day_start, time_bound, ts_lit
 from tallyspark.operators.joins import broadcast_dim_join, price_token
 from tallyspark.operators.rollup import rollup_by_period
 from tallyspark.params import Params
@@ -49,6 +49,14 @@ def _since(c: str, since) -> Column | None:
     return F.col(c) >= (since if isinstance(since, Column) else ts_lit(since))
 
 
+def _bounded(df: DataFrame, c: str, *lowers) -> DataFrame:
+    """Apply every non-None lower time bound (with partition pruning, see ``time_bound``)."""
+    for lo in lowers:
+        if lo is not None:
+            df = time_bound(df, c, lo)
+    return df
+
+
 def _where(df: DataFrame, *conds: Column | None) -> DataFrame:
     for c in conds:
         if c is not None:
@@ -60,10 +68,8 @@ def _where(df: DataFrame, *conds: Column | None) -> DataFrame:
 
 def product_prices(prices: DataFrame, p: Params, since=None) -> DataFrame:
     """A1: average price per (day, lower(symbol)) for SOL and WETH on the chain."""
-    f = _where(prices,
-               (F.col("blockchain") == F.lit(CHAIN)) & F.col("symbol").isin(*PRODUCT_SYMBOLS)
-               & (F.col("timestamp") >= ts_lit(p.start_date)),
-               _since("timestamp", since))
+    f = _bounded(prices, "timestamp", p.start_date, since).where(
+        (F.col("blockchain") == F.lit(CHAIN)) & F.col("symbol").isin(*PRODUCT_SYMBOLS))
     return (f.groupBy(F.col("timestamp").alias("date"), F.lower("symbol").alias("token"))
             .agg(F.avg("price").alias("price")))
 
@@ -94,8 +100,7 @@ def mapped_activity(activity: DataFrame, mapping: DataFrame, p: Params, since=No
     mapping is broadcast and the fact side streams through without a shuffle.
     Without it Spark decides from the mapping's estimated size.
     """
-    a = _where(activity, (F.col("block_time") >= ts_lit(p.start_date)) & F.col("tx_success"),
-               _since("block_time", since))
+    a = _bounded(activity, "block_time", p.start_date, since).where(F.col("tx_success"))
     return broadcast_dim_join(a, mapping.select("address", "fee_type", "fee_source", "token"),
                               "address", known_rows=mapping_rows)
 
@@ -130,10 +135,8 @@ def product_revenue(activity: DataFrame, prices: DataFrame, mapping: DataFrame,
 
 def staking_native(rewards: DataFrame, p: Params, since=None) -> DataFrame:
     """M3: daily native rewards (Fee, Rent, Voting) of the validator keys, in SOL."""
-    f = _where(rewards,
-               F.col("recipient").isin(*p.recipients) & F.col("reward_type").isin(*NATIVE_REWARD_TYPES)
-               & (F.col("block_time") >= ts_lit(p.start_date)),
-               _since("block_time", since))
+    f = _bounded(rewards, "block_time", p.start_date, since).where(
+        F.col("recipient").isin(*p.recipients) & F.col("reward_type").isin(*NATIVE_REWARD_TYPES))
     return (f.groupBy(day_start("block_time").alias("date"))
             .agg(to_tokens(F.sum("lamports")).alias("amount_sol")))
 
@@ -153,8 +156,8 @@ def staking_jito(responses: DataFrame, epochs: DataFrame) -> DataFrame:
 
 def sol_prices(prices: DataFrame, since=None) -> DataFrame:
     """A1: average SOL price per day on the chain (no start-date bound)."""
-    f = _where(prices, (F.col("blockchain") == F.lit(CHAIN)) & (F.col("symbol") == F.lit(STAKING_SYMBOL)),
-               _since("timestamp", since))
+    f = _bounded(prices, "timestamp", since).where(
+        (F.col("blockchain") == F.lit(CHAIN)) & (F.col("symbol") == F.lit(STAKING_SYMBOL)))
     return f.groupBy(F.col("timestamp").alias("date")).agg(F.avg("price").alias("price"))
 
 

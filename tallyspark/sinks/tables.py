@@ -142,16 +142,18 @@ def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str
             check_conflicts: bool, sort_within: Sequence[str] | None) -> str:
     if not table_exists(spark, path):
         return write_table(batch, path, partition_by, sort_within)
-    # The batch is used up to three times (conflict check, partition list,
-    # merge): stage it once so its source scan runs once and later steps
-    # never recompute it from upstream.
-    batch = _stage(batch, None, "batch-stage")
+    partitioned = bool(partition_by) and set(partition_by) <= set(keys)
+    if check_conflicts or partitioned:
+        # The batch is read more than once (conflict check, partition list,
+        # merge): stage it so its source scan runs once and later steps never
+        # recompute it from upstream.
+        batch = _stage(batch, None, "batch-stage")
     target = read_stored(spark, path, batch.schema)
     if check_conflicts:
         bad = upsert.merge_conflicts(target, batch, keys, target_pred).limit(1).collect()
         if bad:
             raise ValueError(f"merge: several batch rows match one target row for key {bad[0].asDict()}")
-    if partition_by and set(partition_by) <= set(keys):
+    if partitioned:
         # Old files are replaced only when the job commits, so a retried task
         # still reads them; re-running after a failed commit gives the same
         # table (the merge is idempotent for a given batch).
@@ -165,9 +167,13 @@ def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str
 
 def write_merge(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                 partition_by: Sequence[str] | None = None, target_pred: Column | None = None,
-                sort_within: Sequence[str] | None = None) -> str:
-    """K3 (+K6): upsert on ``keys``; raises when two batch rows match one target row."""
-    return _upsert(spark, path, batch, keys, partition_by, target_pred, True, sort_within)
+                sort_within: Sequence[str] | None = None, batch_keys_unique: bool = False) -> str:
+    """K3 (+K6): upsert on ``keys``; raises when two batch rows match one target row.
+
+    ``batch_keys_unique`` skips that check (one job) when the batch is grouped
+    on the key, so no key can occur twice.
+    """
+    return _upsert(spark, path, batch, keys, partition_by, target_pred, not batch_keys_unique, sort_within)
 
 
 def write_delete_insert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],

@@ -65,3 +65,20 @@ def test_append_dedup_uses_left_anti(spark):
 def test_no_cartesian_products(spark, name):
     p = plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_incremental_bound_prunes_day_partitions(spark):
+    """A lookback on block_time also bounds a block_date-partitioned source."""
+    from tallyspark.sources.readers import ACTIVITY_SCHEMA, read_source
+    s = load_sources(spark, SF_SMALL)
+    path = scratch_dir(spark, "plan-act")
+    s.activity.withColumn("block_date", F.to_date("block_time")).write.partitionBy("block_date").parquet(path)
+    act = read_source(spark, path, ACTIVITY_SCHEMA)
+    df = catalog.revenue.product_revenue(act, s.prices, s.mapping, P, since="2024-01-17 00:00:00",
+                                         mapping_rows=s.mapping_rows)
+    p = plan(df)
+    part = p.split("PartitionFilters: [")[1].split("]")[0]
+    assert "block_date" in part and "2024-01-17" in part
+    full = catalog.revenue.product_revenue(s.activity, s.prices, s.mapping, P, since="2024-01-17 00:00:00",
+                                           mapping_rows=s.mapping_rows)
+    assert df.exceptAll(full).count() == 0 and full.exceptAll(df).count() == 0
