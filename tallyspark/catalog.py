@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.json import json_scalar
@@ -661,16 +661,14 @@ def t5(spark, d):
 
 @register("T6")
 def t6(spark, d):
-    """Late Rent rows from 01-14 on land after the first run; the as-of lookback re-reads them."""
+    """Late Rent rows from 01-14 on land after the first run; a 7-day lookback from the
+    run's clock (not from the stored dates) re-reads them."""
     wh = pipeline.Warehouse(scratch_dir(spark, "t6"))
     cond = (F.col("ts") < ts_lit("2024-01-20 00:00:00")) & ~(
         (F.col("event_type") == "signup") & (F.col("ts") >= ts_lit("2024-01-14 00:00:00")))
-    first = _first_run_sources(spark, d, cond)
-    path = wh.path("staking_native")
-    tables.write_table(revenue.staking_native(first.rewards, P), path)
-    since = minus_days(ts_lit("2024-01-21 00:00:00"), 7)
-    tables.write_merge(spark, path, revenue.staking_native(_src(spark, d).rewards, P, since), ["date"])
-    return tables.read_stored(spark, path)
+    pipeline.run_staking_native(spark, _first_run_sources(spark, d, cond), wh, P)
+    backfill = P.with_(lookback_days=7, lookback_anchor="as_of", as_of="2024-01-21 00:00:00")
+    return pipeline.run_staking_native(spark, _src(spark, d), wh, backfill)
 
 
 @register("T7")
@@ -687,7 +685,6 @@ def t8(spark, d):
     """Micro-batch upsert: landed event files stream in, each batch merges the touched days."""
     root = scratch_dir(spark, "t8")
     src_dir = land_event_files(spark, load_events(spark, d), f"{root}/landing")
-    s = _src(spark, d)
     target = f"{root}/product_revenue"
 
     def build(events: DataFrame, since) -> DataFrame:
@@ -696,7 +693,6 @@ def t8(spark, d):
 
     stream_upsert(spark, src_dir, load_events(spark, d).schema, target, build, revenue.PRODUCT_KEYS,
                   f"{root}/_checkpoint", time_col="ts", max_files_per_trigger=10)
-    del s
     return tables.read_stored(spark, target)
 
 
@@ -824,4 +820,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _REGISTRY["M1"](spark, sf_dir)
 
 
-__all__ = ["queries", "flagship", "Window"]
+__all__ = ["queries", "flagship"]

@@ -80,6 +80,7 @@ def main(argv=None) -> int:
     r.add_argument("--start-date", default=Params.start_date)
     r.add_argument("--epoch-offset", type=int, default=Params.epoch_offset)
     r.add_argument("--as-of", default=None)
+    r.add_argument("--lookback-anchor", choices=["target", "as_of"], default="target")
     r.add_argument("--master", default=None)
     r.add_argument("--bodies-one-per-line", action="store_true")
     t = sub.add_parser("test")
@@ -89,7 +90,7 @@ def main(argv=None) -> int:
     spark = get_session(a.master)
     if a.cmd == "run":
         p = Params(lookback_days=a.lookback_days, start_date=a.start_date, epoch_offset=a.epoch_offset,
-                   as_of=a.as_of)
+                   as_of=a.as_of, lookback_anchor=a.lookback_anchor)
         done = run(spark, a.sources, a.warehouse, p, a.select, a.full_refresh, a.bodies_one_per_line)
         print(json.dumps({"ran": done}))
         return 0

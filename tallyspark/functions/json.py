@@ -12,10 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def scalar_only(raw: Column) -> Column:
+    """Extracted JSON text -> NULL when it is an object or an array."""
+    return F.when(raw.rlike(r"^\s*[\[{]"), F.lit(None).cast("string")).otherwise(raw)
+
+
 def json_scalar(element: Column, field: str) -> Column:
     """Scalar text of ``$.field``; NULL when missing, JSON null, object or array."""
-    raw = F.get_json_object(element, f"$.{field}")
-    return F.when(raw.rlike(r"^\s*[\[{]"), F.lit(None).cast("string")).otherwise(raw)
+    return scalar_only(F.get_json_object(element, f"$.{field}"))
 
 
 def parse_json_rows(df: DataFrame, body_col: str, fields: dict[str, str],
@@ -27,6 +31,8 @@ def parse_json_rows(df: DataFrame, body_col: str, fields: dict[str, str],
     parsed.
     """
     keep = list(keep or [])
+    names = list(fields)
     elements = df.select(*keep, F.explode(F.from_json(F.col(body_col), "array<string>")).alias("_el"))
-    return elements.select(*keep, *[json_scalar(F.col("_el"), name).cast(t).alias(name)
-                                    for name, t in fields.items()])
+    # json_tuple parses each element once for all fields (get_json_object would parse it per field)
+    raw = elements.select(*keep, F.json_tuple(F.col("_el"), *names).alias(*[f"_{n}" for n in names]))
+    return raw.select(*keep, *[scalar_only(F.col(f"_{n}")).cast(t).alias(n) for n, t in fields.items()])

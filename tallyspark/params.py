@@ -22,6 +22,9 @@ class Params:
 
     ``as_of`` replaces the wall clock (``now()``) so runs are repeatable;
     ``None`` means "use the current time" where a model needs it.
+    ``lookback_anchor`` picks where an incremental run's lookback starts:
+    ``"target"`` = newest date already stored (the models' rule), ``"as_of"``
+    = the run's clock (the documented late-data backfill pattern, T6).
     """
 
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
@@ -30,6 +33,7 @@ class Params:
     weth_cutoff: str = DEFAULT_WETH_CUTOFF
     recipients: tuple[str, ...] = DEFAULT_RECIPIENTS
     as_of: str | None = None
+    lookback_anchor: str = "target"
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.time import minus_days, period_start
+from tallyspark.functions.time import as_of_lit, minus_days, period_start
 from tallyspark.params import Params
 from tallyspark.plans import epochs, revenue
 from tallyspark.sinks.tables import read_stored, table_exists, write_merge, write_table
@@ -48,13 +48,22 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _cutoff(spark: SparkSession, path: str, col: str, days: int, period: str = "day",
-            full: bool = False):
-    """One small aggregate over the target; None = full build."""
+            full: bool = False, p: Params | None = None):
+    """Lower bound of the recomputed window; None = full build.
+
+    Anchored on the newest stored date (one small aggregate over the target),
+    or on the run's clock when ``p.lookback_anchor == "as_of"``.
+    """
     if full:
         return None
     t = _stored(spark, path)
     if t is None:
         return None
+    if p is not None and p.lookback_anchor == "as_of":
+        if t.limit(1).count() == 0:
+            return None
+        row = t.sparkSession.range(1).select(period_start(period, minus_days(as_of_lit(p.as_of), days)).alias("c"))
+        return row.first()["c"]
     return t.agg(period_start(period, minus_days(F.max(col), days)).alias("c")).first()["c"]
 
 
@@ -70,7 +79,7 @@ def _materialize(spark: SparkSession, path: str, batch: DataFrame, keys, full: b
 
 def run_product_revenue(spark, src: Sources, wh: Warehouse, p: Params, full_refresh=False) -> DataFrame:
     path = wh.path("product_revenue")
-    since = _cutoff(spark, path, "date", p.lookback_days, full=full_refresh)
+    since = _cutoff(spark, path, "date", p.lookback_days, full=full_refresh, p=p)
     batch = revenue.product_revenue(src.activity, src.prices, src.mapping, p, since, src.mapping_rows)
     return _materialize(spark, path, batch, UNIQUE_KEYS["product_revenue"], since is None)
 
@@ -88,7 +97,7 @@ def run_epoch_info(spark, src: Sources, wh: Warehouse, p: Params, full_refresh=F
 
 def run_staking_native(spark, src: Sources, wh: Warehouse, p: Params, full_refresh=False) -> DataFrame:
     path = wh.path("staking_native")
-    since = _cutoff(spark, path, "date", p.lookback_days, full=full_refresh)
+    since = _cutoff(spark, path, "date", p.lookback_days, full=full_refresh, p=p)
     batch = revenue.staking_native(src.rewards, p, since)
     return _materialize(spark, path, batch, ["date"], since is None)
 
@@ -100,7 +109,7 @@ def staking_jito_view(spark, src: Sources, wh: Warehouse) -> DataFrame:
 
 def run_staking_revenue(spark, src: Sources, wh: Warehouse, p: Params, full_refresh=False) -> DataFrame:
     path = wh.path("staking_revenue")
-    since = _cutoff(spark, path, "date", p.lookback_days, full=full_refresh)
+    since = _cutoff(spark, path, "date", p.lookback_days, full=full_refresh, p=p)
     native = read_stored(spark, wh.path("staking_native"))
     batch = revenue.staking_revenue(native, staking_jito_view(spark, src, wh), src.prices, since)
     return _materialize(spark, path, batch, UNIQUE_KEYS["staking_revenue"], since is None)
@@ -108,7 +117,7 @@ def run_staking_revenue(spark, src: Sources, wh: Warehouse, p: Params, full_refr
 
 def run_unified_revenue(spark, wh: Warehouse, p: Params, full_refresh=False) -> DataFrame:
     path = wh.path("unified_revenue")
-    since = _cutoff(spark, path, "date", p.lookback_days, full=full_refresh)
+    since = _cutoff(spark, path, "date", p.lookback_days, full=full_refresh, p=p)
     batch = revenue.unified_revenue(read_stored(spark, wh.path("product_revenue")),
                                     read_stored(spark, wh.path("staking_revenue")), since)
     return _materialize(spark, path, batch, UNIQUE_KEYS["unified_revenue"], since is None)
@@ -117,7 +126,7 @@ def run_unified_revenue(spark, wh: Warehouse, p: Params, full_refresh=False) ->
 def run_rollup(spark, wh: Warehouse, p: Params, period: str, full_refresh=False) -> DataFrame:
     model = PERIOD_MODELS[period]
     path = wh.path(model)
-    since = _cutoff(spark, path, "aggregated_date", p.lookback_days, period, full=full_refresh)
+    since = _cutoff(spark, path, "aggregated_date", p.lookback_days, period, full=full_refresh, p=p)
     batch = revenue.revenue_by_period(read_stored(spark, wh.path("unified_revenue")), period, since)
     return _materialize(spark, path, batch, ["aggregated_date"], since is None)
 
