@@ -3,32 +3,37 @@
 New fact files landing under a day-partitioned directory are picked up by a
 file stream (``trigger(availableNow=True)`` for a scheduled run, or a
 processing-time trigger for a continuous one). Each micro-batch only tells
-*which days* it touches; the model is then rebuilt for those days from all
-landed data (a batch read with a partition filter) and merged into the
-target on its unique key. The step is idempotent: replaying a micro-batch
+*which days* it touches; the model is then rebuilt for exactly those days
+from all landed data (a batch read whose day list is a partition filter) and
+merged into the target on its unique key. Model rows depend only on facts of
+their own day, so a late file for an old day costs one day, not the range
+up to today. The step is idempotent: replaying a micro-batch
 after a failure recomputes and merges the same rows, so the stream's
 checkpoint plus the merge give exactly-once results in the table.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.functions.time import day_start
 from tallyspark.sinks.tables import write_merge
 
 LANDING_PARTITION = "landing_day"
 
 
-def land_event_files(spark: SparkSession, events: DataFrame, landing_dir: str, time_col: str = "ts") -> str:
-    """Write facts as day-partitioned files, the layout an upstream loader lands."""
+def land_event_files(spark: SparkSession, events: DataFrame, landing_dir: str, time_col: str = "ts",
+                     mode: str = "errorifexists") -> str:
+    """Write facts as day-partitioned files, the layout an upstream loader lands
+    (``mode="append"`` adds a later wave, late days included)."""
     (events.withColumn(LANDING_PARTITION, F.col(time_col).cast("date"))
      .repartition(F.col(LANDING_PARTITION))
-     .write.partitionBy(LANDING_PARTITION).parquet(landing_dir))
+     .write.mode(mode).partitionBy(LANDING_PARTITION).parquet(landing_dir))
     return landing_dir
 
 
@@ -38,8 +43,9 @@ def stream_upsert(spark: SparkSession, landing_dir: str, schema: T.StructType, t
                   max_files_per_trigger: int | None = None, available_now: bool = True):
     """Run the stream until all landed files are processed (or return the handle).
 
-    ``build(facts, since)`` is the model function: it receives all landed
-    facts and the lower time bound of the days to recompute.
+    ``build(facts, since)`` is the model function: it receives the landed
+    facts of the touched days (plus ``lookback_days`` before each) and their
+    earliest midnight; its batch must be grouped on ``keys``.
     """
     full_schema = T.StructType(list(schema.fields) + [T.StructField(LANDING_PARTITION, T.DateType())])
     reader = spark.readStream.schema(full_schema)
@@ -48,14 +54,17 @@ def stream_upsert(spark: SparkSession, landing_dir: str, schema: T.StructType, t
     stream = reader.parquet(landing_dir)
 
     def upsert_batch(micro: DataFrame, epoch_id: int) -> None:
-        lo = micro.agg(F.min(day_start(time_col)).alias("lo")).first()["lo"]
-        if lo is None:
+        # distinct landing days of this micro-batch: one value per day, bounded
+        days = sorted(r[0] for r in micro.select(LANDING_PARTITION).distinct().collect() if r[0] is not None)
+        if not days:
             return
-        since = F.lit(lo).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
+        if lookback_days:
+            days = sorted({d - dt.timedelta(days=i) for d in days for i in range(int(lookback_days) + 1)})
         landed = (spark.read.schema(full_schema).parquet(landing_dir)
-                  .where(F.col(LANDING_PARTITION) >= since.cast("date"))
+                  .where(F.col(LANDING_PARTITION).isin(days))
                   .drop(LANDING_PARTITION))
-        write_merge(spark, target_path, build(landed, since), keys)
+        since = F.lit(days[0].isoformat()).cast("timestamp_ntz")
+        write_merge(spark, target_path, build(landed, since), keys, batch_keys_unique=True)
 
     writer = (stream.writeStream.foreachBatch(upsert_batch)
               .option("checkpointLocation", checkpoint))
