@@ -130,11 +130,19 @@ def _touched_partitions(target: DataFrame, batch: DataFrame, partition_by: Seque
     return target.join(batch.select(*partition_by).distinct(), list(partition_by), "left_semi")
 
 
-def _stage(df: DataFrame, partition_by: Sequence[str] | None, name: str) -> DataFrame:
+def _stage(df: DataFrame, partition_by: Sequence[str] | None, name: str) -> tuple[DataFrame, str]:
+    """Materialize ``df`` under the shared checkpoint folder; returns (reader, path)."""
     spark = df.sparkSession
     stage = scratch_dir(spark, name)
     _writer(df, partition_by, None).parquet(stage)
-    return read_stored(spark, stage, df.schema)
+    return read_stored(spark, stage, df.schema), stage
+
+
+def _drop_stage(spark: SparkSession, stage: str | None) -> None:
+    """Remove a staged copy once the write that read it has committed."""
+    if stage:
+        fs, p, _ = _fs(spark, stage)
+        fs.delete(p, True)
 
 
 def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
@@ -143,11 +151,21 @@ def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str
     if not table_exists(spark, path):
         return write_table(batch, path, partition_by, sort_within)
     partitioned = bool(partition_by) and set(partition_by) <= set(keys)
+    stage = None
     if check_conflicts or partitioned:
         # The batch is read more than once (conflict check, partition list,
         # merge): stage it so its source scan runs once and later steps never
         # recompute it from upstream.
-        batch = _stage(batch, None, "batch-stage")
+        batch, stage = _stage(batch, None, "batch-stage")
+    try:
+        return _upsert_staged(spark, path, batch, keys, partition_by, target_pred, check_conflicts,
+                              sort_within, partitioned)
+    finally:
+        _drop_stage(spark, stage)
+
+
+def _upsert_staged(spark, path, batch, keys, partition_by, target_pred, check_conflicts, sort_within,
+                   partitioned) -> str:
     target = read_stored(spark, path, batch.schema)
     if check_conflicts:
         bad = upsert.merge_conflicts(target, batch, keys, target_pred).limit(1).collect()
@@ -193,8 +211,11 @@ def write_append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Seq
     if not table_exists(spark, path):
         return write_table(batch, path, partition_by)
     target = read_stored(spark, path, batch.schema)
-    new = _stage(upsert.new_rows(target, batch, keys, target_pred), partition_by, "append-stage")
-    _writer(new, partition_by, None).mode("append").parquet(path)
+    new, stage = _stage(upsert.new_rows(target, batch, keys, target_pred), partition_by, "append-stage")
+    try:
+        _writer(new, partition_by, None).mode("append").parquet(path)
+    finally:
+        _drop_stage(spark, stage)
     return path
 
 
