@@ -27,7 +27,7 @@ ORDER = ["product_revenue", "epoch_info", "staking_native", "staking_revenue", "
 
 
 def run(spark, sources_dir: str, warehouse: str, p: Params, select: list[str] | None, full_refresh: bool,
-        bodies_one_per_line: bool = False):
+        bodies_one_per_line: bool = False, optimize: bool = False):
     src = load_source_tables(spark, sources_dir, bodies_one_per_line)
     wh = pipeline.Warehouse(warehouse)
     chosen = [m for m in ORDER if not select or m in select]
@@ -47,7 +47,8 @@ def run(spark, sources_dir: str, warehouse: str, p: Params, select: list[str] |
             pipeline.run_rollup(spark, wh, p, period, full_refresh)
         else:
             strategy = m.removeprefix("tx_per_block_")
-            blocks.run_tx_per_block(spark, src.transactions, wh.path(m), strategy, p.as_of, full_refresh)
+            blocks.run_tx_per_block(spark, src.transactions, wh.path(m), strategy, p.as_of, full_refresh,
+                                    compact_after=optimize)
     return chosen
 
 
@@ -83,6 +84,7 @@ def main(argv=None) -> int:
     r.add_argument("--lookback-anchor", choices=["target", "as_of"], default="target")
     r.add_argument("--master", default=None)
     r.add_argument("--bodies-one-per-line", action="store_true")
+    r.add_argument("--optimize", action="store_true", help="compact partitioned tables after writing")
     t = sub.add_parser("test")
     t.add_argument("--warehouse", required=True)
     t.add_argument("--master", default=None)
@@ -91,7 +93,8 @@ def main(argv=None) -> int:
     if a.cmd == "run":
         p = Params(lookback_days=a.lookback_days, start_date=a.start_date, epoch_offset=a.epoch_offset,
                    as_of=a.as_of, lookback_anchor=a.lookback_anchor)
-        done = run(spark, a.sources, a.warehouse, p, a.select, a.full_refresh, a.bodies_one_per_line)
+        done = run(spark, a.sources, a.warehouse, p, a.select, a.full_refresh, a.bodies_one_per_line,
+                   a.optimize)
         print(json.dumps({"ran": done}))
         return 0
     results = test(spark, a.warehouse)

@@ -34,7 +34,7 @@ STRATEGIES = ("view", "table", "merge", "delete_insert", "append")
 
 
 def run_tx_per_block(spark, tx: DataFrame, path: str | None, strategy: str, as_of,
-                     full_refresh: bool = False) -> DataFrame:
+                     full_refresh: bool = False, compact_after: bool = False) -> DataFrame:
     """Maintain ``tx_per_block`` with one of the five materializations.
 
     * ``view``: nothing is stored; the 1-day window is recomputed per read (K2).
@@ -44,6 +44,9 @@ def run_tx_per_block(spark, tx: DataFrame, path: str | None, strategy: str, as_o
       the same window (K3/K4 + K6).
     * ``append``: as above, but only keys absent from the target window are
       appended; the first count of a key wins (K5, J5).
+
+    ``compact_after`` runs the compaction post-hook (K10) on the stored table:
+    partitions left with several small files by the write are rewritten.
     """
     from tallyspark.sinks import tables
 
@@ -54,6 +57,8 @@ def run_tx_per_block(spark, tx: DataFrame, path: str | None, strategy: str, as_o
     if strategy == "table":
         df = tx_per_block(tx, as_of, INCREMENTAL_DAYS)
         tables.write_table(df, path, partition_by=["block_date"])
+        if compact_after:
+            tables.compact(spark, path, partition_by=["block_date"], schema=df.schema)
         return tables.read_stored(spark, path, df.schema)
     first = full_refresh or not tables.table_exists(spark, path)
     batch = tx_per_block(tx, as_of, FIRST_RUN_DAYS if first else INCREMENTAL_DAYS)
@@ -67,4 +72,6 @@ def run_tx_per_block(spark, tx: DataFrame, path: str | None, strategy: str, as_o
             tables.write_delete_insert(spark, path, batch, BLOCK_KEYS, ["block_date"], pred)
         else:
             tables.write_append_new(spark, path, batch, BLOCK_KEYS, ["block_date"], pred)
+    if compact_after:
+        tables.compact(spark, path, partition_by=["block_date"], schema=batch.schema)
     return tables.read_stored(spark, path, batch.schema)

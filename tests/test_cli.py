@@ -35,7 +35,18 @@ def test_cli_run_and_test(spark):
     want = round_doubles(revenue.product_revenue(s.activity, s.prices, s.mapping, P.with_(weth_cutoff=
                                                  "2024-03-11 00:00:00")))
     assert checks.differences(want, got).count() == 0
-    assert cli.main(args) == 0                       # incremental run on unchanged sources
+    assert cli.main(args + ["--optimize"]) == 0      # incremental run on unchanged sources, compacted
     assert checks.differences(want, round_doubles(read_stored(spark, f"{wh}/product_revenue"))).count() == 0
     assert read_stored(spark, f"{wh}/tx_per_block_merge").count() > 0
     assert cli.main(["test", "--warehouse", wh]) == 0
+
+
+def test_compact_after_merge_leaves_one_file_per_day(spark):
+    from tallyspark.plans import blocks
+    from tallyspark.sinks import tables
+    s = load_sources(spark, SF_SMALL)
+    path = scratch_dir(spark, "post-hook")
+    blocks.run_tx_per_block(spark, s.transactions.repartition(8), path, "merge", "2001-09-30 00:00:00")
+    blocks.run_tx_per_block(spark, s.transactions.repartition(8), path, "merge", "2001-10-01 00:00:00",
+                            compact_after=True)
+    assert max(tables.file_counts(spark, path).values()) == 1
