@@ -25,6 +25,8 @@ class Params:
     ``lookback_anchor`` picks where an incremental run's lookback starts:
     ``"target"`` = newest date already stored (the models' rule), ``"as_of"``
     = the run's clock (the documented late-data backfill pattern, T6).
+    ``per_source_cutoff`` gives each staking source its own cutoff (from its
+    own newest stored date) instead of one shared cutoff.
     """
 
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
@@ -34,6 +36,7 @@ class Params:
     recipients: tuple[str, ...] = DEFAULT_RECIPIENTS
     as_of: str | None = None
     lookback_anchor: str = "target"
+    per_source_cutoff: bool = False
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

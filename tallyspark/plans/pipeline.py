@@ -111,7 +111,13 @@ def run_staking_revenue(spark, src: Sources, wh: Warehouse, p: Params, full_refr
     path = wh.path("staking_revenue")
     since = _cutoff(spark, path, "date", p.lookback_days, full=full_refresh, p=p)
     native = read_stored(spark, wh.path("staking_native"))
-    batch = revenue.staking_revenue(native, staking_jito_view(spark, src, wh), src.prices, since)
+    since_jito = "same"
+    if since is not None and p.per_source_cutoff:
+        t = read_stored(spark, path)
+        row = t.agg(*[minus_days(F.max(F.when(F.col("fee_source") == src_name, F.col("date"))),
+                                 p.lookback_days).alias(src_name) for src_name in ("native", "jito")]).first()
+        since, since_jito = row["native"], row["jito"]
+    batch = revenue.staking_revenue(native, staking_jito_view(spark, src, wh), src.prices, since, since_jito)
     return _materialize(spark, path, batch, UNIQUE_KEYS["staking_revenue"], since is None)
 
 

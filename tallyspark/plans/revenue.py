@@ -161,12 +161,21 @@ def sol_prices(prices: DataFrame, since=None) -> DataFrame:
     return f.groupBy(F.col("timestamp").alias("date")).agg(F.avg("price").alias("price"))
 
 
-def staking_revenue(native: DataFrame, jito: DataFrame, prices: DataFrame, since=None) -> DataFrame:
-    """M5: native and MEV staking revenue tagged by source, priced per day."""
+def staking_revenue(native: DataFrame, jito: DataFrame, prices: DataFrame, since=None,
+                    since_jito="same") -> DataFrame:
+    """M5: native and MEV staking revenue tagged by source, priced per day.
+
+    By default one cutoff bounds both branches (as the SQL project does, so a
+    branch lagging by more than the lookback is skipped for good). Passing
+    ``since_jito`` gives the MEV branch its own bound; prices then start at
+    the earlier of the two.
+    """
+    sj = since if isinstance(since_jito, str) and since_jito == "same" else since_jito
     raw = (_where(native, _since("date", since)).select("date", F.lit("native").alias("fee_source"), "amount_sol")
-           .unionByName(_where(jito, _since("date", since))
+           .unionByName(_where(jito, _since("date", sj))
                         .select("date", F.lit("jito").alias("fee_source"), "amount_sol")))
-    j = raw.join(sol_prices(prices, since), "date", "left")
+    price_since = None if since is None or sj is None else (since if since <= sj else sj)
+    j = raw.join(sol_prices(prices, price_since), "date", "left")
     return j.select("date", F.lit("staking").alias("fee_type"), "fee_source", F.lit("sol").alias("token"),
                     F.col("price").alias("usd_price"), F.col("amount_sol").alias("amount"),
                     (F.col("amount_sol") * F.col("price")).alias("usd_amount"))

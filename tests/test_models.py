@@ -200,3 +200,26 @@ def test_staking_native_filters(spark):
             (D(2023, 5, 31), "Fee", "id_key", 16_000_000_000)]          # before start date
     r = revenue.staking_native(_rewards(spark, rows), P).collect()
     assert [(x.date, x.amount_sol) for x in r] == [(D(2024, 1, 5), 3.0)]
+
+
+def test_unused_priority_fields_are_never_parsed(spark):
+    """A bad value in a field the model does not sum must not fail the model."""
+    df = spark.createDataFrame([('[{"epoch": 140, "mev_commission_bps": 800, "mev_rewards": 1000000000, '
+                                 '"priority_fee_rewards": "not-a-number"}]',)], "body string")
+    ep = spark.createDataFrame([(140, D(2024, 1, 1, 5), D(2024, 1, 1))],
+                               "epoch bigint, epoch_end_time timestamp_ntz, date timestamp_ntz")
+    assert revenue.staking_jito(df, ep).count() == 1
+    with pytest.raises(Exception):
+        revenue.jito_api_rows(df).collect()          # asking for the field does parse it
+
+
+def test_per_source_cutoff(spark):
+    schema = "date timestamp_ntz, amount_sol double"
+    native = spark.createDataFrame([(D(2024, 1, d), 1.0) for d in range(1, 11)], schema)
+    jito = spark.createDataFrame([(D(2024, 1, d), 2.0) for d in range(1, 6)], schema)
+    prices = spark.createDataFrame([], PRICES_SCHEMA)
+    shared = revenue.staking_revenue(native, jito, prices, since=D(2024, 1, 7))
+    assert shared.where("fee_source = 'jito'").count() == 0            # lagging branch skipped
+    own = revenue.staking_revenue(native, jito, prices, since=D(2024, 1, 7), since_jito=D(2024, 1, 2))
+    assert own.where("fee_source = 'jito'").count() == 4
+    assert own.where("fee_source = 'native'").count() == 4
