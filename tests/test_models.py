@@ -223,3 +223,18 @@ def test_per_source_cutoff(spark):
     own = revenue.staking_revenue(native, jito, prices, since=D(2024, 1, 7), since_jito=D(2024, 1, 2))
     assert own.where("fee_source = 'jito'").count() == 4
     assert own.where("fee_source = 'native'").count() == 4
+
+
+def test_models_as_sql_views(spark):
+    from conftest import SF_SMALL
+    from tallyspark.plans.views import register_views
+    from tallyspark.sources.fixtures import load_sources
+    s = load_sources(spark, SF_SMALL)
+    names = register_views(spark, s, P.with_(as_of="2001-10-01 12:00:00"), prefix="v_")
+    assert "v_unified_revenue" in names and "v_weekly_unified_revenue" in names
+    n = spark.sql("SELECT count(*) AS n FROM v_product_revenue").first().n
+    assert n == revenue.product_revenue(s.activity, s.prices, s.mapping, P).count()
+    r = spark.sql("""SELECT u.type, sum(u.total_usd_amount) AS t FROM v_unified_revenue u
+                     JOIN v_daily_unified_revenue d ON d.aggregated_date = u.date GROUP BY u.type""").collect()
+    assert len(r) > 0
+    assert spark.sql("SELECT count(*) AS n FROM v_tx_per_block").first().n == 67
