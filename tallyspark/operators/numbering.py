@@ -4,8 +4,11 @@
 Here the rows are numbered inside time buckets (one window partition per
 bucket, spread over all tasks), and each bucket gets the count of all earlier
 rows as its offset. Only the per-bucket count table (one row per bucket) goes
-through a single task. The result equals the global row_number when the order
-column has no ties (callers pass distinct values).
+through a single task (one row per hour of the time span: 87,600 rows for ten
+years). Each window partition holds the distinct times of one hour, at most
+3,600 for second-resolution block times, however many rows share a time.
+The result equals the global row_number when the order column has no ties
+(callers pass distinct values).
 """
 
 from __future__ import annotations

@@ -174,7 +174,13 @@ def staking_revenue(native: DataFrame, jito: DataFrame, prices: DataFrame, since
     raw = (_where(native, _since("date", since)).select("date", F.lit("native").alias("fee_source"), "amount_sol")
            .unionByName(_where(jito, _since("date", sj))
                         .select("date", F.lit("jito").alias("fee_source"), "amount_sol")))
-    price_since = None if since is None or sj is None else (since if since <= sj else sj)
+    if since is None or sj is None:
+        price_since = None
+    elif isinstance(since, Column) or isinstance(sj, Column):
+        as_col = [x if isinstance(x, Column) else ts_lit(x) for x in (since, sj)]
+        price_since = F.least(*as_col)
+    else:
+        price_since = min(since, sj)
     j = raw.join(sol_prices(prices, price_since), "date", "left")
     return j.select("date", F.lit("staking").alias("fee_type"), "fee_source", F.lit("sol").alias("token"),
                     F.col("price").alias("usd_price"), F.col("amount_sol").alias("amount"),
