@@ -26,8 +26,8 @@ from tallyspark.params import TEST_PARAMS as P
 from tallyspark.plans import blocks, epochs, pipeline, revenue
 from tallyspark.session import apply_conf, scratch_dir
 from tallyspark.sinks import tables
-from tallyspark.sources.fixtures import (Sources, load_events, load_sources, read_table, sources_from)
-from tallyspark.sources.mapping import mapping_df
+from tallyspark.sources.fixtures import (Sources, load_events, load_sources, read_table, slot_address,
+                                         sources_from)
 from tallyspark.streaming.microbatch import stream_upsert, land_event_files
 
 # Scenario constants (shared with the SQL oracle).
@@ -88,10 +88,9 @@ def _first_run_sources(spark, sf_dir, cond) -> Sources:
 
 def _raw_activity(spark, sf_dir) -> DataFrame:
     """Activity whose address stays NULL for unmapped users (for NULL-key cases)."""
-    ev = load_events(spark, sf_dir)
-    m = F.broadcast(mapping_df(spark).select("idx", "address"))
-    return (ev.withColumn("idx", (F.col("user_id") % 25).cast("int")).join(m, "idx", "left")
-            .select(F.col("ts").alias("block_time"), "address", "event_type", "value"))
+    return load_events(spark, sf_dir).select(F.col("ts").alias("block_time"),
+                                             slot_address(F.col("user_id")).alias("address"),
+                                             "event_type", "value")
 
 
 def _daily_events(ev: DataFrame) -> DataFrame:

@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.time import day_start, period_start
-from tallyspark.operators.joins import bounded_broadcast
-from tallyspark.sources.mapping import mapping_df, mapping_size
+from tallyspark.sources.mapping import MAPPING_ROWS, mapping_df, mapping_size
 from tallyspark.sources.readers import Sources
 
 # Adapter rules: the slot of a user in the mapping list; one more slot than
@@ -33,16 +32,21 @@ def _cents(value: Column) -> Column:
     return F.round(value * F.lit(100)).cast("bigint")
 
 
-def account_activity(events: DataFrame, mapping: DataFrame) -> DataFrame:
-    """events ⟕ mapping on ``idx = user_id % 25`` -> balance-change facts."""
-    e = events.select("ts", "user_id", "event_type", "value",
-                      (F.col("user_id") % F.lit(MAPPING_SLOTS)).cast("int").alias("idx"))
-    m = bounded_broadcast(mapping.select("idx", "address"), mapping_size())
-    j = e.join(m, "idx", "left")
+def slot_address(user_id: Column) -> Column:
+    """Mapped address of a user's slot (``user_id % 25``); NULL for the unmapped slot.
+
+    A literal-array lookup: a projection, no join and no broadcast job.
+    """
+    addresses = F.array(*[F.lit(r[0]) for r in MAPPING_ROWS])
+    return F.try_element_at(addresses, (user_id % F.lit(MAPPING_SLOTS)).cast("int") + F.lit(1))
+
+
+def account_activity(events: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
+    """events -> balance-change facts; the address is the user's mapping slot."""
     cents = _cents(F.col("value"))
-    return j.select(
+    return events.select(
         F.col("ts").alias("block_time"),
-        F.coalesce(F.col("address"), F.lit("unmapped")).alias("address"),
+        F.coalesce(slot_address(F.col("user_id")), F.lit("unmapped")).alias("address"),
         (F.col("event_type") != F.lit("error")).alias("tx_success"),
         ((cents - F.lit(3000)) * F.lit(1000000)).cast("bigint").alias("balance_change"),
         ((cents - F.lit(3000)).cast("double") / F.lit(100)).alias("token_balance_change"),
@@ -109,7 +113,7 @@ def sources_from(spark: SparkSession, events: DataFrame, lineitem: DataFrame) ->
     """Build every source relation from (possibly time-cut) events and lineitem."""
     mapping = mapping_df(spark)
     return Sources(
-        activity=account_activity(events, mapping),
+        activity=account_activity(events),
         prices=prices_day(events),
         mapping=mapping.select("address", "fee_type", "fee_source", "token"),
         mapping_rows=mapping_size(),
