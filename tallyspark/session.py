@@ -55,13 +55,22 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a local one only when it is unset (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared scratch base: ``spark.checkpoint.dir`` as the cluster names it.
+
+    Read from the session; failing that, the context's checkpoint directory.
+    Only when neither is set (local tests) a temporary local directory is
+    registered with ``setCheckpointDir`` (the config key itself cannot be
+    changed at runtime).
+    """
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        d = sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyspark-ckpt-"))
+        d = sc.getCheckpointDir()
+    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
