@@ -33,6 +33,15 @@ INCREMENTAL_DAYS = 1
 STRATEGIES = ("view", "table", "merge", "delete_insert", "append")
 
 
+def _window_start(as_of, days: int) -> str:
+    """First ISO date a rolling window can write (a date compares as its midnight)."""
+    import datetime as dt
+    now = dt.datetime.now() if as_of is None else dt.datetime.fromisoformat(str(as_of))
+    lo = now - dt.timedelta(days=days)
+    first = lo.date() if lo.time() == dt.time(0) else lo.date() + dt.timedelta(days=1)
+    return first.isoformat()
+
+
 def run_tx_per_block(spark, tx: DataFrame, path: str | None, strategy: str, as_of,
                      full_refresh: bool = False, compact_after: bool = False) -> DataFrame:
     """Maintain ``tx_per_block`` with one of the five materializations.
@@ -58,7 +67,9 @@ def run_tx_per_block(spark, tx: DataFrame, path: str | None, strategy: str, as_o
         df = tx_per_block(tx, as_of, INCREMENTAL_DAYS)
         tables.write_table(df, path, partition_by=["block_date"])
         if compact_after:
-            tables.compact(spark, path, partition_by=["block_date"], schema=df.schema)
+            start = _window_start(as_of, INCREMENTAL_DAYS)
+            tables.compact(spark, path, partition_by=["block_date"], schema=df.schema,
+                           keep=lambda v: v[0] >= start)
         return tables.read_stored(spark, path, df.schema)
     first = full_refresh or not tables.table_exists(spark, path)
     batch = tx_per_block(tx, as_of, FIRST_RUN_DAYS if first else INCREMENTAL_DAYS)
@@ -73,5 +84,7 @@ def run_tx_per_block(spark, tx: DataFrame, path: str | None, strategy: str, as_o
         else:
             tables.write_append_new(spark, path, batch, BLOCK_KEYS, ["block_date"], pred)
     if compact_after:
-        tables.compact(spark, path, partition_by=["block_date"], schema=batch.schema)
+        start = _window_start(as_of, FIRST_RUN_DAYS if first else INCREMENTAL_DAYS)
+        tables.compact(spark, path, partition_by=["block_date"], schema=batch.schema,
+                       keep=lambda v: v[0] >= start)
     return tables.read_stored(spark, path, batch.schema)

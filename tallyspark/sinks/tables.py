@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import uuid
 from urllib.parse import unquote
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -233,8 +233,14 @@ def file_counts(spark: SparkSession, path: str) -> dict[str, int]:
     return counts
 
 
-def partition_stats(spark: SparkSession, path: str, depth: int) -> dict[tuple, tuple[int, int]]:
-    """(partition values) -> (data files, bytes) from the file system, one call per partition."""
+def partition_stats(spark: SparkSession, path: str, depth: int,
+                    keep: Callable[[tuple], bool] | None = None) -> dict[tuple, tuple[int, int]]:
+    """(partition values) -> (data files, bytes) from the file system.
+
+    Directory names are listed once; ``keep`` picks partitions by their values
+    before any per-partition size call, so a post-write compaction looks only
+    at the partitions it just wrote.
+    """
     fs, root, _ = _fs(spark, path)
     dirs = [(root, ())]
     for _ in range(depth):
@@ -247,6 +253,8 @@ def partition_stats(spark: SparkSession, path: str, depth: int) -> dict[tuple, t
         dirs = nxt
     out = {}
     for d, vals in dirs:
+        if keep is not None and not keep(vals):
+            continue
         cs = fs.getContentSummary(d)
         out[vals] = (int(cs.getFileCount()), int(cs.getLength()))
     return out
@@ -254,25 +262,26 @@ def partition_stats(spark: SparkSession, path: str, depth: int) -> dict[tuple, t
 
 def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None = None,
             min_files: int = 2, target_file_bytes: int = TARGET_FILE_BYTES,
-            schema: StructType | None = None) -> int:
+            schema: StructType | None = None, keep: Callable[[tuple], bool] | None = None) -> int:
     """Rewrite partitions holding ``min_files`` or more files.
 
     Each rewritten partition gets ``ceil(bytes / target_file_bytes)`` files;
     rows are spread over them by a hash of the whole row, so a partition
     holding a large share of the table is written by several tasks, not one.
     Untouched partitions are neither read nor rewritten (dynamic overwrite).
+    ``keep`` limits the partitions examined (by their string values).
     Returns the number of partitions rewritten.
     """
     df = read_stored(spark, path, schema)
     if not partition_by:
-        n = len(df.inputFiles())
-        if n < min_files:
-            return 0
         fs, p, _ = _fs(spark, path)
-        size = int(fs.getContentSummary(p).getLength())
+        cs = fs.getContentSummary(p)
+        if int(cs.getFileCount()) - 1 < min_files:      # minus the _SUCCESS marker
+            return 0
+        size = int(cs.getLength())
         write_table(df.repartition(max(1, -(-size // target_file_bytes))), path)
         return 1
-    stats = partition_stats(spark, path, len(partition_by))
+    stats = partition_stats(spark, path, len(partition_by), keep)
     busy = {v: max(1, -(-size // target_file_bytes)) for v, (n, size) in stats.items() if n >= min_files}
     if not busy:
         return 0
