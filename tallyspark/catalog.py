@@ -256,7 +256,7 @@ def k9(spark, d):
 def k10(spark, d):
     df = _tx_monthly(_src(spark, d))
     path = scratch_dir(spark, "k10")
-    tables.write_table(df.repartition(4), path, partition_by=["block_month"])
+    df.repartition(4).write.partitionBy("block_month").parquet(path)   # fragmented by a plain writer
     tables.compact(spark, path, partition_by=["block_month"], schema=df.schema)
     return tables.read_stored(spark, path, df.schema)
 

@@ -87,6 +87,15 @@ def read_stored(spark: SparkSession, path: str, schema: StructType | None = None
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str] | None, sort_within: Sequence[str] | None):
+    """DataFrameWriter for a table layout.
+
+    Partitioned writes are rebalanced on the partition columns first: AQE then
+    coalesces small output partitions and splits a hot one over several
+    tasks, so each partition gets a few files near the advisory size instead
+    of one small file per upstream task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write
