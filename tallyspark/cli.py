@@ -4,9 +4,9 @@
     python -m tallyspark.cli test --warehouse DIR
 
 ``run`` executes the models in dependency order (optionally only the named
-ones); ``--full-refresh`` rebuilds instead of upserting. ``test`` runs the key
-checks on every stored model and exits non-zero when one fails, so a failed
-check blocks whatever runs next.
+ones); ``--full-refresh`` rebuilds instead of upserting; ``--test`` checks the
+keys right after. ``test`` runs the key checks on every stored model and exits
+non-zero when one fails, so a failed check blocks whatever runs next.
 """
 
 from __future__ import annotations
@@ -85,6 +85,7 @@ def main(argv=None) -> int:
     r.add_argument("--master", default=None)
     r.add_argument("--bodies-one-per-line", action="store_true")
     r.add_argument("--optimize", action="store_true", help="compact partitioned tables after writing")
+    r.add_argument("--test", action="store_true", help="run the key checks afterwards; exit 1 on failure")
     t = sub.add_parser("test")
     t.add_argument("--warehouse", required=True)
     t.add_argument("--master", default=None)
@@ -95,8 +96,11 @@ def main(argv=None) -> int:
                    as_of=a.as_of, lookback_anchor=a.lookback_anchor)
         done = run(spark, a.sources, a.warehouse, p, a.select, a.full_refresh, a.bodies_one_per_line,
                    a.optimize)
-        print(json.dumps({"ran": done}))
-        return 0
+        out = {"ran": done}
+        if a.test:
+            out["checks"] = test(spark, a.warehouse)
+        print(json.dumps(out, default=str))
+        return 0 if all(x["passed"] for x in out.get("checks", [])) else 1
     results = test(spark, a.warehouse)
     print(json.dumps(results, default=str))
     return 0 if all(x["passed"] for x in results) else 1

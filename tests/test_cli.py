@@ -35,7 +35,7 @@ def test_cli_run_and_test(spark):
     want = round_doubles(revenue.product_revenue(s.activity, s.prices, s.mapping, P.with_(weth_cutoff=
                                                  "2024-03-11 00:00:00")))
     assert checks.differences(want, got).count() == 0
-    assert cli.main(args + ["--optimize"]) == 0      # incremental run on unchanged sources, compacted
+    assert cli.main(args + ["--optimize", "--test"]) == 0   # incremental run, compacted, checked
     assert checks.differences(want, round_doubles(read_stored(spark, f"{wh}/product_revenue"))).count() == 0
     assert read_stored(spark, f"{wh}/tx_per_block_merge").count() > 0
     assert cli.main(["test", "--warehouse", wh]) == 0
