@@ -1,6 +1,7 @@
 """Command line: build or update the model tables, then check them.
 
     python -m tallyspark.cli run --sources DIR --warehouse DIR [--select M ...] [--full-refresh]
+    python -m tallyspark.cli stream --sources DIR --warehouse DIR --model product_revenue [--continuous]
     python -m tallyspark.cli test --warehouse DIR
 
 ``run`` executes the models in dependency order (optionally only the named
@@ -52,6 +53,38 @@ def run(spark, sources_dir: str, warehouse: str, p: Params, select: list[str] |
     return chosen
 
 
+STREAMED = {"product_revenue": ("account_activity", "ACTIVITY_SCHEMA"),
+            "staking_native": ("rewards", "REWARDS_SCHEMA")}
+
+
+def stream(spark, sources_dir: str, warehouse: str, model: str, p: Params, landing: str | None = None,
+           once: bool = True, max_files_per_trigger: int | None = None):
+    """Keep ``model`` current from fact files landing (``block_date=``-partitioned) under ``landing``
+    (default: the model's source folder): each micro-batch recomputes the days it touches and merges."""
+    from tallyspark.sources import readers
+    from tallyspark.streaming import stream_upsert
+    from tallyspark.plans import revenue
+
+    folder, schema_name = STREAMED[model]
+    landing = landing or f"{sources_dir.rstrip('/')}/{folder}"
+    schema = getattr(readers, schema_name)
+    wh = pipeline.Warehouse(warehouse)
+    if model == "product_revenue":
+        src = load_source_tables(spark, sources_dir)
+
+        def build(facts, since):
+            return revenue.product_revenue(facts, src.prices, src.mapping, p, since, src.mapping_rows)
+        keys = revenue.PRODUCT_KEYS
+    else:
+        def build(facts, since):
+            return revenue.staking_native(facts, p, since)
+        keys = ["date"]
+    return stream_upsert(spark, landing, schema, wh.path(model), build, keys,
+                         f"{warehouse.rstrip('/')}/_streams/{model}", time_col="block_time",
+                         max_files_per_trigger=max_files_per_trigger, available_now=once,
+                         partition_col="block_date")
+
+
 def test(spark, warehouse: str):
     wh = pipeline.Warehouse(warehouse)
     suite = []
@@ -86,6 +119,15 @@ def main(argv=None) -> int:
     r.add_argument("--bodies-one-per-line", action="store_true")
     r.add_argument("--optimize", action="store_true", help="compact partitioned tables after writing")
     r.add_argument("--test", action="store_true", help="run the key checks afterwards; exit 1 on failure")
+    st = sub.add_parser("stream")
+    st.add_argument("--sources", required=True)
+    st.add_argument("--warehouse", required=True)
+    st.add_argument("--model", choices=sorted(STREAMED), required=True)
+    st.add_argument("--landing", default=None)
+    st.add_argument("--continuous", action="store_true", help="keep running (1-minute trigger)")
+    st.add_argument("--max-files-per-trigger", type=int, default=None)
+    st.add_argument("--start-date", default=Params.start_date)
+    st.add_argument("--master", default=None)
     t = sub.add_parser("test")
     t.add_argument("--warehouse", required=True)
     t.add_argument("--master", default=None)
@@ -101,6 +143,13 @@ def main(argv=None) -> int:
             out["checks"] = test(spark, a.warehouse)
         print(json.dumps(out, default=str))
         return 0 if all(x["passed"] for x in out.get("checks", [])) else 1
+    if a.cmd == "stream":
+        q = stream(spark, a.sources, a.warehouse, a.model, Params(start_date=a.start_date), a.landing,
+                   once=not a.continuous, max_files_per_trigger=a.max_files_per_trigger)
+        if q is not None:
+            q.awaitTermination()
+        print(json.dumps({"streamed": a.model}))
+        return 0
     results = test(spark, a.warehouse)
     print(json.dumps(results, default=str))
     return 0 if all(x["passed"] for x in results) else 1

@@ -40,14 +40,17 @@ def land_event_files(spark: SparkSession, events: DataFrame, landing_dir: str, t
 def stream_upsert(spark: SparkSession, landing_dir: str, schema: T.StructType, target_path: str,
                   build: Callable[[DataFrame, object], DataFrame], keys: Sequence[str],
                   checkpoint: str, time_col: str = "ts", lookback_days: int = 0,
-                  max_files_per_trigger: int | None = None, available_now: bool = True):
+                  max_files_per_trigger: int | None = None, available_now: bool = True,
+                  partition_col: str = LANDING_PARTITION):
     """Run the stream until all landed files are processed (or return the handle).
 
-    ``build(facts, since)`` is the model function: it receives the landed
+    ``partition_col`` is the landing folder's day partition (``block_date``
+    for fact sources). ``build(facts, since)`` is the model function: it receives the landed
     facts of the touched days (plus ``lookback_days`` before each) and their
     earliest midnight; its batch must be grouped on ``keys``.
     """
-    full_schema = T.StructType(list(schema.fields) + [T.StructField(LANDING_PARTITION, T.DateType())])
+    fields = [f for f in schema.fields if f.name != partition_col]
+    full_schema = T.StructType(fields + [T.StructField(partition_col, T.DateType())])
     reader = spark.readStream.schema(full_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -55,14 +58,14 @@ def stream_upsert(spark: SparkSession, landing_dir: str, schema: T.StructType, t
 
     def upsert_batch(micro: DataFrame, epoch_id: int) -> None:
         # distinct landing days of this micro-batch: one value per day, bounded
-        days = sorted(r[0] for r in micro.select(LANDING_PARTITION).distinct().collect() if r[0] is not None)
+        days = sorted(r[0] for r in micro.select(partition_col).distinct().collect() if r[0] is not None)
         if not days:
             return
         if lookback_days:
             days = sorted({d - dt.timedelta(days=i) for d in days for i in range(int(lookback_days) + 1)})
         landed = (spark.read.schema(full_schema).parquet(landing_dir)
-                  .where(F.col(LANDING_PARTITION).isin(days))
-                  .drop(LANDING_PARTITION))
+                  .where(F.col(partition_col).isin(days))
+                  .drop(partition_col))
         since = F.lit(days[0].isoformat()).cast("timestamp_ntz")
         write_merge(spark, target_path, build(landed, since), keys, batch_keys_unique=True)
 

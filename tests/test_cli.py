@@ -50,3 +50,26 @@ def test_compact_after_merge_leaves_one_file_per_day(spark):
     blocks.run_tx_per_block(spark, s.transactions.repartition(8), path, "merge", "2001-10-01 00:00:00",
                             compact_after=True)
     assert max(tables.file_counts(spark, path).values()) == 1
+
+
+def test_cli_stream_keeps_product_revenue_current(spark):
+    from pyspark.sql import functions as F
+    root = scratch_dir(spark, "cli-stream-src")
+    wh = scratch_dir(spark, "cli-stream-wh")
+    s = load_sources(spark, SF_SMALL)
+    s.prices.write.parquet(f"{root}/prices_day")
+    s.rewards.write.parquet(f"{root}/rewards")
+    s.transactions.write.parquet(f"{root}/transactions")
+    s.responses.select("body").write.text(f"{root}/mev_responses")
+    act = s.activity.withColumn("block_date", F.to_date("block_time"))
+    act.where(F.col("block_date") < F.lit("2024-01-15").cast("date")) \
+        .write.partitionBy("block_date").parquet(f"{root}/account_activity")
+    assert cli.main(["stream", "--sources", root, "--warehouse", wh, "--model", "product_revenue"]) == 0
+    act.where(F.col("block_date") >= F.lit("2024-01-15").cast("date")) \
+        .write.mode("append").partitionBy("block_date").parquet(f"{root}/account_activity")
+    assert cli.main(["stream", "--sources", root, "--warehouse", wh, "--model", "product_revenue",
+                     "--max-files-per-trigger", "5"]) == 0
+    got = round_doubles(read_stored(spark, f"{wh}/product_revenue"))
+    want = round_doubles(revenue.product_revenue(s.activity, s.prices, s.mapping,
+                                                 P.with_(weth_cutoff="2024-03-11 00:00:00")))
+    assert checks.differences(want, got).count() == 0
