@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.time import as_of_lit, minus_days, period_start
+from tallyspark.operators.upsert import lookback_cutoff
 from tallyspark.params import Params
 from tallyspark.plans import epochs, revenue
 from tallyspark.sinks.tables import read_stored, table_exists, write_merge, write_table
@@ -64,7 +65,7 @@ def _cutoff(spark: SparkSession, path: str, col: str, days: int, period: str = "
             return None
         row = t.sparkSession.range(1).select(period_start(period, minus_days(as_of_lit(p.as_of), days)).alias("c"))
         return row.first()["c"]
-    return t.agg(period_start(period, minus_days(F.max(col), days)).alias("c")).first()["c"]
+    return lookback_cutoff(t, col, days, period)
 
 
 def _materialize(spark: SparkSession, path: str, batch: DataFrame, keys, full: bool,
