@@ -97,6 +97,21 @@ def test(spark, warehouse: str):
         suite.append(checks.Check(f"unique_combination_{'_'.join(k)}", m, checks.check_unique_combination(df, k)))
         for c in k:
             suite.append(checks.Check(f"not_null_{c}", m, checks.check_not_null(df, c)))
+    # accepted values: what the fee mapping and the staking branch can produce
+    from tallyspark.sources.mapping import MAPPING_ROWS
+    fee_types = sorted({r[1] for r in MAPPING_ROWS} | {"staking"})
+    accepted = {
+        "product_revenue": {"token": sorted({r[3] for r in MAPPING_ROWS}),
+                            "fee_source": sorted({r[2] for r in MAPPING_ROWS})},
+        "staking_revenue": {"fee_source": ["native", "jito"]},
+        "unified_revenue": {"type": fee_types},
+    }
+    for m, cols in accepted.items():
+        if not table_exists(spark, wh.path(m)):
+            continue
+        df = read_stored(spark, wh.path(m))
+        for c, values in cols.items():
+            suite.append(checks.Check(f"accepted_values_{c}", m, checks.check_accepted_values(df, c, values)))
     if not suite:
         return []
     return [r.asDict() for r in checks.run_checks(suite).collect()]
