@@ -73,3 +73,13 @@ def test_cli_stream_keeps_product_revenue_current(spark):
     want = round_doubles(revenue.product_revenue(s.activity, s.prices, s.mapping,
                                                  P.with_(weth_cutoff="2024-03-11 00:00:00")))
     assert checks.differences(want, got).count() == 0
+
+
+def test_cli_test_blocks_on_duplicate_keys(spark):
+    from tallyspark.sinks import tables
+    wh = scratch_dir(spark, "cli-dup")
+    dup = spark.createDataFrame([("2024-01-01", "swap"), ("2024-01-01", "swap")], "d string, type string") \
+        .selectExpr("cast(d as timestamp_ntz) as date", "type", "0.0 as sol_amount", "0.0 as sol_price_usd",
+                    "0.0 as sol_amount_usd", "0.0 as usdc_amount", "0.0 as total_usd_amount")
+    tables.write_table(dup, f"{wh}/unified_revenue")
+    assert cli.main(["test", "--warehouse", wh]) == 1

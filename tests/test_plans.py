@@ -82,3 +82,10 @@ def test_incremental_bound_prunes_day_partitions(spark):
     full = catalog.revenue.product_revenue(s.activity, s.prices, s.mapping, P, since="2024-01-17 00:00:00",
                                            mapping_rows=s.mapping_rows)
     assert df.exceptAll(full).count() == 0 and full.exceptAll(df).count() == 0
+
+
+def test_partitioned_writes_are_rebalanced(spark):
+    df = spark.createDataFrame([(1, "2024-01-01")], "k int, d string")
+    w = tables._writer(df, ["d"], None)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(w._df, "simple")      # the frame the writer will write
+    assert "REBALANCE" not in plan(tables._writer(df, None, None)._df, "simple")
