@@ -39,3 +39,23 @@ def test_stream_waves_with_late_file_equal_full_build(spark):
     # a restart with nothing new changes nothing
     stream_upsert(spark, landing, ev.schema, target, build, revenue.PRODUCT_KEYS, ckpt)
     assert checks.differences(want, round_doubles(read_stored(spark, target))).count() == 0
+
+
+def test_continuous_trigger_returns_a_running_query(spark):
+    root = scratch_dir(spark, "stream-cont")
+    ev = load_events(spark, SF_SMALL)
+    lineitem = read_table(spark, SF_SMALL, "lineitem")
+
+    def build(events, since):
+        s = sources_from(spark, events, lineitem)
+        return revenue.product_revenue(s.activity, s.prices, s.mapping, P, since, s.mapping_rows)
+
+    land_event_files(spark, ev, f"{root}/landing")
+    q = stream_upsert(spark, f"{root}/landing", ev.schema, f"{root}/target", build, revenue.PRODUCT_KEYS,
+                      f"{root}/_ckpt", available_now=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = round_doubles(read_stored(spark, f"{root}/target"))
+    assert checks.differences(round_doubles(build(ev, None)), got).count() == 0
