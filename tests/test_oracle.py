@@ -6,7 +6,9 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_check import compare, duck
 
-NAMES = sorted(E.queries())
+from tallyspark import catalog
+
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(NAMES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
