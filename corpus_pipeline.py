@@ -44,10 +44,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = byte_bpe.encode_documents(docs, path, public_tokenizers.PATTERN)
-    bpe = F.col(coded.columns[-1])
-    ids, n, ok = fresh(docs, "ids", "n_tokens", "round_trip")
-    same = bpe["decoded"].eqNullSafe(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    return coded.select(*docs.columns, bpe["ids"].alias(ids), F.size(bpe["ids"]).cast("bigint").alias(n), same.alias(ok))
+    ids, decoded = (F.col(c) for c in coded.columns[-2:])
+    n, ok = fresh(coded, "n_tokens", "round_trip")
+    same = decoded.eqNullSafe(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return coded.withColumn(n, F.size(ids).cast("bigint")).withColumn(ok, same).drop(coded.columns[-1])
 
 
 STAGES = [

@@ -21,7 +21,9 @@ other columns, null ids and repeated rows stay as they are.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
+from collections.abc import Callable
 
 import duckdb
 import numpy as np
@@ -38,7 +40,7 @@ from tallyspark.llm.text import chunks
 #: Entries that a rank file may have at most to be broadcast.
 MAX_RANKS = 1_000_000
 #: Texts handled together, words contracted together (bytes), longest word of the plain query, cache entries.
-TEXT_BYTES, WORD_BYTES, SHORT, KEPT = 6 << 20, 300_000, 48, 400_000
+TEXT_BYTES, WORD_BYTES, SHORT, KEPT = 4 << 20, 200_000, 48, 300_000
 #: Rows that the long-word query may gather before it starts anew from where it is.
 LONG_ROWS = 1_500_000
 
@@ -108,20 +110,26 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Kept:
-    """A bounded cache of two generations."""
+    """A bounded cache of two generations: ids and decoded bytes by match, in one bytes object each."""
 
     def __init__(self, most: int = KEPT):
         self.most, self.new, self.old = most, {}, {}
 
-    def get(self, key):
+    def get(self, key: str) -> tuple[bytes, bytes] | None:
         got = self.new.get(key)
         if got is None:
             got = self.old.get(key)
-            if got is not None:
-                self.put(key, got)
-        return got
+            if got is None:
+                return None
+            self._add(key, got)
+        edge = 4 * got[0] + 1
+        return got[1:edge], got[edge:]
+
+    def put(self, key: str, ids: bytes, joined: bytes) -> None:
+        if len(ids) < 4 * 256:
+            self._add(key, bytes([len(ids) // 4]) + ids + joined)
 
-    def put(self, key, value) -> None:
+    def _add(self, key: str, value: bytes) -> None:
         if len(self.new) >= self.most:
             self.old, self.new = self.new, {}
         self.new[key] = value
@@ -263,9 +271,9 @@ class Codec:
         words = [m.encode() for m in new.values()]
         ids = self.contract(words)
         for key, got, joined in zip(new, ids, self.join(ids)):
-            known[key] = value = (got, joined)
+            known[key] = got, joined
             if len(joined) <= SHORT:
-                self.kept.put(key, value)
+                self.kept.put(key, got, joined)
         none = (b"", b"")
         values = [none] * len(names)
         for k in np.flatnonzero(used).tolist():
@@ -333,24 +341,24 @@ class Tokenizer:
         self.ranks, self.pattern = spark.sparkContext.broadcast(read_ranks(path)), pattern
         self.name = f"bpe {path} {pattern}"
 
-    def encode(self, text: Column) -> Column:
-        """Struct of the ids of a text column (array of int) and the bytes (binary) they decode to."""
-        ranks, pattern, name = self.ranks, self.pattern, self.name
+    def encode(self, docs: DataFrame, text: str, add: str, then: Callable[[np.ndarray, np.ndarray, pa.Array], dict]) \
+            -> DataFrame:
+        """``docs`` with the columns ``add`` (DDL) that ``then`` makes of each chunk: flat ids, where each text's
+        ids begin, and decoded bytes. Chunks are a few MB of text, whatever the batches are."""
+        ranks, pattern, name, at = self.ranks, self.pattern, self.name, docs.columns.index(text)
 
-        def bpe_encode(texts: pa.Array) -> pa.Array:
+        def bpe_encode(batches):
             codec = of_process(name, lambda: Codec(ranks.value, pattern))
-            ids, ends, decoded = [], [np.zeros(1, np.int64)], []
-            for c in chunks(texts, TEXT_BYTES):
-                flat, edge, joined = codec.encode(c)
-                ids.append(flat)
-                ends.append(edge[1:] + ends[-1][-1])
-                decoded.append(joined)
-            values = pa.array(np.concatenate(ids) if ids else np.empty(0, "<i4"), pa.int32())
-            lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate(ends)), values).cast(pa.list_(pa.int32()))
-            joined = pa.concat_arrays(decoded) if decoded else pa.array([], pa.large_binary())
-            return pa.StructArray.from_arrays([lists, joined.cast(pa.binary())], names=["ids", "decoded"])
-
-        return arrow_udf(bpe_encode, "struct<ids:array<int>,decoded:binary>")(text)
+            for batch in batches:
+                start = 0
+                for c in chunks(batch.column(at).cast(pa.large_string()), TEXT_BYTES):
+                    own = batch.slice(start, len(c))
+                    start += len(c)
+                    new = then(*codec.encode(c))
+                    yield pa.RecordBatch.from_arrays([*own.columns, *new.values()], names=[*own.schema.names, *new])
+
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+        return docs.mapInArrow(bpe_encode, f"{schema}, {add}")
 
     def decode(self, ids: Column) -> Column:
         """Bytes (binary) of a column of ids."""
@@ -376,30 +384,37 @@ def _id_rows(part: pa.Array) -> list[np.ndarray]:
     return [values[a:b] if ok else values[:0] for a, b, ok in zip(off[:-1], off[1:], live)]
 
 
-def _sha256(rows: pa.Array) -> pa.Array:
-    import hashlib
+def id_lists(ids: np.ndarray, edge: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(ids, pa.int32()))
+
 
-    out, at, step = [], 0, 512
-    while at < len(rows):
-        part = _id_rows(rows.slice(at, step))
-        flat = np.concatenate(part) if part else np.empty(0, "<i4")
-        names, codes = np.unique(flat, return_inverse=True)
-        written = pa.array([f"{x} " for x in names.tolist()], pa.large_string()).take(pa.array(codes))
-        _, off, data = written.buffers()
-        edge = np.frombuffer(off, np.int64)[np.concatenate([[0], np.cumsum([len(p) for p in part])])].tolist() \
-            if len(flat) else [0] * (len(part) + 1)
-        raw = memoryview(data) if len(flat) else memoryview(b"")
-        out += [hashlib.sha256(raw[a : max(a, b - 1)]).hexdigest() for a, b in zip(edge, edge[1:])]
-        at += step
-    return pa.array(out, pa.string())
+def sha256_of_ids(ids: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """SHA-256 (hex) of each text's decimal ids, joined by one space."""
+    if not len(ids):
+        return pa.array([hashlib.sha256().hexdigest()] * (len(edge) - 1), pa.string())
+    names = pa.array([f"{x} " for x in range(int(ids.max()) + 1)], pa.large_string())
+    _, off, data = names.take(pa.array(ids)).buffers()
+    at = np.frombuffer(off, np.int64)[edge].tolist()
+    raw = memoryview(data)
+    return pa.array([hashlib.sha256(raw[a : max(a, b - 1)]).hexdigest() for a, b in zip(at, at[1:])], pa.string())
 
 
-def ids_sha256(ids: Column) -> Column:
-    """SHA-256 (hex) of the decimal ids of each row, joined by one space."""
-    return arrow_udf(_sha256, "string")(ids)
+def sha256_of_bytes(rows: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(r.as_buffer()).hexdigest() for r in rows], pa.string())
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with a last column ``bpe``: ids (array of int) and decoded (binary, joined from the ids)."""
-    (bpe,) = fresh(docs, "bpe")
-    return docs.withColumn(bpe, Tokenizer(docs.sparkSession, path, pattern).encode(F.col(text)))
+    """``docs`` with two last columns: ``ids`` (array of int) and ``decoded`` (binary, joined from the ids)."""
+    ids, decoded = fresh(docs, "ids", "decoded")
+    return Tokenizer(docs.sparkSession, path, pattern).encode(
+        docs, text, f"{ids} array<int>, {decoded} binary",
+        lambda flat, edge, joined: {ids: id_lists(flat, edge), decoded: joined.cast(pa.binary())})
+
+
+def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens`` and the SHA-256 of the ids and of the decoded bytes, made of the same ids and
+    bytes beside them, so that the ids of all texts need not leave the tasks."""
+    return Tokenizer(docs.sparkSession, path, pattern).encode(
+        docs, text, "n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+        lambda flat, edge, joined: {"n_tokens": pa.array(np.diff(edge), pa.int64()),
+                                    "ids_sha256": sha256_of_ids(flat, edge), "decoded_sha256": sha256_of_bytes(joined)})

@@ -36,11 +36,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = byte_bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    ids = F.col("bpe.ids")
-    return coded.select("doc_id", F.size(ids).cast("bigint").alias("n_tokens"),
-                        byte_bpe.ids_sha256(ids).alias("ids_sha256"),
-                        F.sha2(F.col("bpe.decoded"), 256).alias("decoded_sha256"))
+    coded = byte_bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.drop("text")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
