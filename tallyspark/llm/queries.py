@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import byte_bpe, decontamination, quality_rules, secret_scan, simhash
+from tallyspark.llm import (byte_bpe, decontamination, language_model, quality_classifier, quality_rules, secret_scan,
+                            sharding, simhash, surrogates, toxicity)
+from tallyspark.llm.calibration import id_remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontamination.contaminated(m).alias("contaminated"), m["longest"].alias("longest_match"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = id_remainder(F.col("doc_id"), 3)
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), where=part != 1)
+    scored = quality_classifier.score_documents(docs.select("doc_id", "text", (part == 1).alias("held_out")), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality_rules.fit_rules(docs, table(spark, sf_dir, "labels"))
@@ -40,6 +50,24 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.drop("text")
 
 
+#: The key of the registered query's surrogates; users pass their own secret.
+SURROGATE_KEY = "tallyspark"
+
+
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kinds = F.map_values("kinds")
+    return surrogates.replace_pii(docs, SURROGATE_KEY).select(
+        "doc_id", F.aggregate(kinds, F.lit(0), lambda a, n: a + n).alias("n_entities"),
+        F.array_join(F.array_sort(F.map_keys("kinds")), ",").alias("kinds"), "text")
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         F.col("slot").cast("int").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secret_scan.scan(docs)
@@ -51,10 +79,27 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.written(spans).alias("spans"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = id_remainder(F.col("doc_id"), 5) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
+    model = language_model.fit(docs.withColumn("train", ~F.col("held_out")))
+    return language_model.score_documents(docs, model).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model["total"]).cast("bigint").alias("train_tokens"),
+        "base_score", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, distance=4)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = id_remainder(F.col("doc_id"), 4)
+    fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"), where=part != 2)
+    scored = toxicity.score_documents(docs.select("doc_id", "text", (part == 2).alias("held_out")), fitted)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -63,10 +108,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_surrogates": op5_surrogates,
+    "op6_sharding": op6_sharding,
     "op7_secret_scan": op7_secret_scan,
+    "op8_language_model": op8_language_model,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
     "pipeline": pipeline,
 }
 
