@@ -40,7 +40,7 @@ from tallyspark.llm.text import chunks
 #: Entries that a rank file may have at most to be broadcast.
 MAX_RANKS = 1_000_000
 #: Texts handled together, words contracted together (bytes), longest word of the plain query, cache entries.
-TEXT_BYTES, WORD_BYTES, SHORT, KEPT = 4 << 20, 200_000, 48, 300_000
+TEXT_BYTES, WORD_BYTES, SHORT, KEPT = 3 << 20, 150_000, 48, 150_000
 #: Rows that the long-word query may gather before it starts anew from where it is.
 LONG_ROWS = 1_500_000
 
@@ -149,7 +149,7 @@ class Codec:
                 if a is not None and b is not None:
                     rows.append((a, b, rank))
                     alone.update(x for x in (a, b) if x > rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         table = np.array(rows, np.int32).reshape(-1, 3)
         merges = pa.table({"l": table[:, 0], "r": table[:, 1], "m": table[:, 2],
                            "alone": np.isin(table[:, 2], np.fromiter(alone, np.int32, len(alone)))})

@@ -80,7 +80,7 @@ def fingerprint(text: Column, size: int = 4, seed: int = 42) -> Column:
 
     @arrow_udf("bigint")
     def simhash(arr: pa.Array) -> pa.Array:
-        parts = [chunk_fingerprints(c, size, seed).view(np.int64) for c in chunks(arr, 2 << 20)]
+        parts = [chunk_fingerprints(c, size, seed).view(np.int64) for c in chunks(arr)]
         return pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64), pa.int64())
 
     return simhash(text)

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text handled at once; a longer single document makes a chunk of its own.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 
 _bytes = np.arange(256, dtype=np.uint8)
 #: Lower-cases A-Z and nothing else.
