@@ -12,14 +12,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def scalar_only(raw: Column) -> Column:
-    """Extracted JSON text -> NULL when it is an object or an array."""
-    return F.when(raw.rlike(r"^\s*[\[{]"), F.lit(None).cast("string")).otherwise(raw)
+def scalar_only(raw: Column, element: Column, field: str) -> Column:
+    """Extracted JSON text -> NULL when the field is an object or an array.
+
+    Only text that looks like one is parsed again for its type (a string may
+    begin with a bracket too).
+    """
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(element), f"$['{field}']", "variant"))
+    return F.when(raw.rlike(r"^\s*[\[{]") & F.coalesce(kind != "STRING", F.lit(True)),
+                  F.lit(None).cast("string")).otherwise(raw)
 
 
 def json_scalar(element: Column, field: str) -> Column:
     """Scalar text of ``$.field``; NULL when missing, JSON null, object or array."""
-    return scalar_only(F.get_json_object(element, f"$.{field}"))
+    return scalar_only(F.get_json_object(element, f"$.{field}"), element, field)
+
+
+def json_elements(body: Column) -> Column:
+    """The elements of a JSON array body as texts; NULL for a NULL body or JSON null.
+
+    Any other body (an error object, a page, a cut-off array) raises and names
+    its file, so bad responses never turn into missing rows.
+    """
+    parsed = F.from_json(body, "array<string>", {"mode": "PERMISSIVE"})
+    fine = body.isNull() | (F.trim(body) == "null") | (parsed.isNotNull() & body.rlike(r"^\s*\["))
+    bad = F.raise_error(F.concat(F.lit("response body is not a JSON array: "), F.input_file_name(), F.lit(" "),
+                                 F.substring(body, 1, 80)))
+    return F.when(fine, parsed).otherwise(bad.cast("array<string>"))
 
 
 def parse_json_rows(df: DataFrame, body_col: str, fields: dict[str, str],
@@ -32,7 +51,7 @@ def parse_json_rows(df: DataFrame, body_col: str, fields: dict[str, str],
     """
     keep = list(keep or [])
     names = list(fields)
-    elements = df.select(*keep, F.explode(F.from_json(F.col(body_col), "array<string>")).alias("_el"))
+    elements = df.select(*keep, F.explode(json_elements(F.col(body_col))).alias("_el"))
     # json_tuple parses each element once for all fields (get_json_object would parse it per field)
-    raw = elements.select(*keep, F.json_tuple(F.col("_el"), *names).alias(*[f"_{n}" for n in names]))
-    return raw.select(*keep, *[scalar_only(F.col(f"_{n}")).cast(t).alias(n) for n, t in fields.items()])
+    raw = elements.select(*keep, "_el", F.json_tuple(F.col("_el"), *names).alias(*[f"_{n}" for n in names]))
+    return raw.select(*keep, *[scalar_only(F.col(f"_{n}"), F.col("_el"), n).cast(t).alias(n) for n, t in fields.items()])

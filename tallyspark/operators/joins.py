@@ -55,12 +55,3 @@ def time_bounded_join(left: DataFrame, right: DataFrame, left_key: str, right_ke
     l = left.where(F.col(left_time) >= since)
     r = right.where(F.col(right_time) >= since)
     return l.join(r, l[left_key] == r[right_key], "inner")
-
-
-def key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Composite key equality with plain ``=`` (a NULL key never matches)."""
-    cond = None
-    for k in keys:
-        c = left[k] == right[k]
-        cond = c if cond is None else cond & c
-    return cond

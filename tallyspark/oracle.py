@@ -10,7 +10,7 @@ the compared values.
 from __future__ import annotations
 
 from tallyspark.catalog import (AS_OF, EPOCH_SPLIT, JOIN_SINCE, LATE_DAY, LOOKBACK_FROM, NARROW_PRED,
-                                PARENT_NATION_LIMIT, RUN1_AS_OF, RUN2_AS_OF, SPLIT)
+                                RUN1_AS_OF, RUN2_AS_OF, SPLIT)
 from tallyspark.functions.keys import NULL_PLACEHOLDER, SEPARATOR
 from tallyspark.params import TEST_PARAMS as P
 from tallyspark.sources.fixtures import BODY_SPAN, MAPPING_SLOTS
@@ -71,76 +71,80 @@ mev_api AS (
 transactions AS (
     SELECT CAST(l_linenumber AS BIGINT) AS block_number, CAST(l_shipdate AS DATE) AS block_date
     FROM lineitem),
+chain_quotes AS (
+    SELECT "timestamp" AS day, symbol, avg(price) AS quote FROM prices_day WHERE blockchain = 'solana' GROUP BY ALL),
 product_prices AS (
-    SELECT "timestamp" AS date, lower(symbol) AS token, avg(price) AS price
-    FROM prices_day
-    WHERE blockchain = 'solana' AND symbol IN ('SOL', 'WETH') AND "timestamp" >= {START}
-    GROUP BY 1, 2),
+    SELECT day AS date, lower(symbol) AS token, quote AS price FROM chain_quotes
+    WHERE list_contains(['SOL', 'WETH'], symbol) AND day >= {START}),
+sol_prices AS (SELECT day AS date, quote AS price FROM chain_quotes WHERE symbol = 'SOL'),
+-- a token's price key: wrapped SOL is worth SOL
+token_quotes AS (
+    FROM product_prices SELECT date, token, price
+    UNION ALL
+    FROM product_prices SELECT date, 'wsol', price WHERE token = 'sol'),
+mapped AS (
+    SELECT date_trunc('day', block_time) AS date, fee_type, fee_source, token, balance_change AS lamports,
+           token_balance_change AS units, concat(fee_type, '/', fee_source) = 'instant_unstake/rfq' AS rfq
+    FROM account_activity JOIN mapping USING (address)
+    WHERE tx_success AND block_time >= {START} AND (token <> 'weth' OR block_time < {WETH})),
+-- every fee rule as a contribution of its own
 fees_raw AS (
-    SELECT date_trunc('day', a.block_time) AS date, m.fee_type, m.fee_source, m.token,
-           CASE
-               WHEN m.fee_type = 'instant_unstake' AND m.fee_source = 'rfq' AND a.balance_change < 0
-                   THEN (abs(a.balance_change) / power(10, 9)) * 2.0 / 98.0
-               WHEN m.fee_type = 'instant_unstake' AND m.fee_source = 'rfq' THEN 0
-               WHEN m.token = 'sol' THEN a.balance_change / power(10, 9)
-               ELSE a.token_balance_change
-           END AS raw_amount
-    FROM account_activity a JOIN mapping m ON a.address = m.address
-    WHERE a.block_time >= {START}
-      AND a.tx_success = true
-      AND NOT (m.token = 'weth' AND a.block_time >= {WETH})
-      AND ((m.token != 'sol' AND a.token_balance_change > 0)
-           OR (m.token = 'sol' AND a.balance_change > 0)
-           OR (m.fee_type = 'instant_unstake' AND m.fee_source = 'rfq' AND a.balance_change < 0))),
+    -- an outgoing unstake transfer is 98 % of the whole; the fee is the rest
+    SELECT date, fee_type, fee_source, token, -lamports / 1e9 * 2.0 / 98.0 AS raw_amount
+    FROM mapped WHERE rfq AND lamports < 0
+    UNION ALL
+    -- what comes in on that route is no fee
+    SELECT date, fee_type, fee_source, token, 0.0
+    FROM mapped WHERE rfq AND (lamports < 0) IS NOT TRUE AND if(token = 'sol', lamports > 0, units > 0)
+    UNION ALL
+    SELECT date, fee_type, fee_source, token, lamports / 1e9
+    FROM mapped WHERE NOT rfq AND token = 'sol' AND lamports > 0
+    UNION ALL
+    SELECT date, fee_type, fee_source, token, units
+    FROM mapped WHERE NOT rfq AND token <> 'sol' AND units > 0),
+fee_totals AS (
+    SELECT date, fee_type, fee_source, token, sum(raw_amount) AS amount FROM fees_raw GROUP BY ALL),
 product_revenue AS (
-    SELECT f.date, f.fee_type, f.fee_source, f.token, p.price AS usd_price,
-           sum(f.raw_amount) AS amount,
-           CASE WHEN f.token = 'usdc' THEN sum(f.raw_amount) ELSE sum(f.raw_amount) * p.price END AS usd_amount
-    FROM fees_raw f
-    LEFT JOIN product_prices p
-        ON ((f.token = p.token) OR (f.token = 'wsol' AND p.token = 'sol')) AND f.date = p.date
-    GROUP BY 1, 2, 3, 4, 5),
-voting_times AS (
-    SELECT block_time FROM rewards WHERE reward_type = 'Voting' GROUP BY block_time),
+    SELECT date, fee_type, fee_source, token, price AS usd_price, amount,
+           amount * if(token = 'usdc', 1.0, price) AS usd_amount
+    FROM fee_totals LEFT JOIN token_quotes USING (date, token)),
+voting_times AS (SELECT DISTINCT block_time FROM rewards WHERE reward_type = 'Voting'),
+-- an epoch's number is the offset and the votes up to its end
 epoch_info AS (
-    SELECT CAST({P.epoch_offset} + row_number() OVER (ORDER BY block_time) AS BIGINT) AS epoch,
+    SELECT DISTINCT {P.epoch_offset} + dense_rank() OVER (ORDER BY block_time) AS epoch,
            block_time AS epoch_end_time, date_trunc('day', block_time) AS date
-    FROM voting_times),
+    FROM rewards WHERE reward_type = 'Voting'),
 staking_native AS (
-    SELECT date_trunc('day', block_time) AS date, CAST(sum(lamports) AS DOUBLE) / power(10, 9) AS amount_sol
-    FROM rewards
-    WHERE recipient IN ({_RECIPIENTS}) AND reward_type IN ('Fee', 'Rent', 'Voting')
-      AND block_time >= {START}
-    GROUP BY 1),
+    SELECT date_trunc('day', block_time) AS date, sum(lamports) / 1e9 AS amount_sol
+    FROM rewards SEMI JOIN (VALUES ('Fee'), ('Rent'), ('Voting')) kept(reward_type) USING (reward_type)
+    WHERE list_contains([{_RECIPIENTS}], recipient) AND block_time >= {START}
+    GROUP BY ALL),
+epoch_commission AS (
+    SELECT epoch, sum(mev_rewards * mev_commission_bps / 10000) AS lamports FROM mev_api GROUP BY ALL),
 staking_jito AS (
-    SELECT ei.date, sum((api.mev_rewards * api.mev_commission_bps / 10000) / power(10, 9)) AS amount_sol
-    FROM mev_api api JOIN epoch_info ei ON ei.epoch = api.epoch
-    GROUP BY ei.date),
-sol_prices AS (
-    SELECT "timestamp" AS date, avg(price) AS price
-    FROM prices_day WHERE blockchain = 'solana' AND symbol = 'SOL'
-    GROUP BY 1),
+    SELECT date, sum(lamports) / 1e9 AS amount_sol FROM epoch_commission JOIN epoch_info USING (epoch) GROUP BY ALL),
 staking_raw AS (
-    SELECT date, 'native' AS fee_source, amount_sol FROM staking_native
+    FROM staking_native SELECT date, 'native' AS fee_source, amount_sol
     UNION ALL
-    SELECT date, 'jito' AS fee_source, amount_sol FROM staking_jito),
+    FROM staking_jito SELECT date, 'jito', amount_sol),
 staking_revenue AS (
-    SELECT s.date, 'staking' AS fee_type, s.fee_source, 'sol' AS token, p.price AS usd_price,
-           s.amount_sol AS amount, s.amount_sol * p.price AS usd_amount
-    FROM staking_raw s LEFT JOIN sol_prices p ON p.date = s.date),
+    SELECT date, 'staking' AS fee_type, fee_source, 'sol' AS token, price AS usd_price, amount_sol AS amount,
+           price * amount_sol AS usd_amount
+    FROM staking_raw LEFT JOIN sol_prices USING (date)),
 revenue_union AS (
-    SELECT date, fee_type, token, usd_price, amount, usd_amount FROM product_revenue
-    UNION ALL
-    SELECT date, fee_type, token, usd_price, amount, usd_amount FROM staking_revenue),
+    SELECT * EXCLUDE (fee_source) FROM product_revenue
+    UNION ALL BY NAME
+    SELECT * EXCLUDE (fee_source) FROM staking_revenue),
+-- one slice for each coin of a day and type, then one column for each coin
+coin_slices AS (
+    SELECT date, fee_type AS type, CASE token WHEN 'wsol' THEN 'sol' ELSE token END AS coin, sum(amount) AS amount,
+           sum(usd_amount) AS usd, max(usd_price) AS quote
+    FROM revenue_union GROUP BY ALL),
 unified_revenue AS (
-    SELECT date, fee_type AS type,
-           sum(CASE WHEN token IN ('sol', 'wsol') THEN amount ELSE 0 END) AS sol_amount,
-           max(CASE WHEN token IN ('sol', 'wsol') THEN usd_price END) AS sol_price_usd,
-           sum(CASE WHEN token IN ('sol', 'wsol') THEN usd_amount ELSE 0 END) AS sol_amount_usd,
-           sum(CASE WHEN token = 'usdc' THEN amount ELSE 0 END) AS usdc_amount,
-           sum(usd_amount) AS total_usd_amount
-    FROM revenue_union
-    GROUP BY date, fee_type),
+    SELECT date, type, sum(if(coin = 'sol', amount, 0)) AS sol_amount,
+           max(quote) FILTER (coin = 'sol') AS sol_price_usd, sum(if(coin = 'sol', usd, 0)) AS sol_amount_usd,
+           sum(if(coin = 'usdc', amount, 0)) AS usdc_amount, sum(usd) AS total_usd_amount
+    FROM coin_slices GROUP BY ALL),
 tx_counts AS (
     SELECT block_number, block_date, count(*) AS total_tx_per_block FROM transactions GROUP BY 1, 2),
 tgt AS (
@@ -170,19 +174,22 @@ tmpl_appended AS (
     WHERE NOT EXISTS (SELECT 1 FROM tmpl_r1 t
                       WHERE t.block_date >= {_ts(RUN2_AS_OF)} - INTERVAL 1 DAY
                         AND t.block_number = b.block_number AND t.block_date = b.block_date)),
-parents AS (
-    SELECT * FROM customer WHERE c_nationkey < {PARENT_NATION_LIMIT}),
-orders_customers AS (
-    SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, c.c_name, c.c_mktsegment
-    FROM orders o LEFT JOIN parents c ON o.o_custkey = c.c_custkey)
+event_users AS (
+    SELECT user_id, min(event_type) AS first_type, max(event_type) AS last_type FROM events GROUP BY ALL),
+customer_users AS (
+    SELECT c_custkey, c_name, c_mktsegment, first_type, last_type
+    FROM customer LEFT JOIN event_users ON user_id = c_custkey)
 """
 
 
 def _rollup(period: str, src: str = "unified_revenue") -> str:
-    return f"""SELECT date_trunc('{period}', date) AS aggregated_date,
-       sum(sol_amount) AS sol_amount, sum(sol_amount_usd) AS sol_usd_amount,
+    """Periods as half-open intervals of a calendar that the days fall into."""
+    return f"""WITH days AS (SELECT min(date_trunc('{period}', date)) AS a, max(date) AS b FROM {src}),
+calendar AS (SELECT unnest(range(a, b + INTERVAL 1 DAY, INTERVAL 1 {period})) AS aggregated_date FROM days)
+SELECT aggregated_date, sum(sol_amount) AS sol_amount, sum(sol_amount_usd) AS sol_usd_amount,
        sum(usdc_amount) AS usdc_amount, sum(total_usd_amount) AS total_usd_amount
-FROM {src} GROUP BY 1"""
+FROM calendar JOIN {src} ON date >= aggregated_date AND date < aggregated_date + INTERVAL 1 {period}
+GROUP BY ALL"""
 
 
 def _lineitem_period(period: str) -> str:
@@ -226,6 +233,16 @@ ON m.address = n.address""", []),
 WHERE block_date >= {_ts(AS_OF)} - INTERVAL 1 DAY GROUP BY 1, 2""", []),
     "K3": ("""SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n_events, sum(value) AS value_sum
 FROM events GROUP BY 1, 2""", ["value_sum"]),
+    "K3_null": ("""SELECT date_trunc('day', ts) AS day, event_type, nullif(event_type, 'view') AS kind, user_id % 50 AS slot,
+       max(event_id) AS last_event FROM events GROUP BY ALL""", []),
+    "K3_carry": (f"""SELECT day, event_type, n_events, value_sum,
+       if(NOT EXISTS (SELECT 1 FROM bat b WHERE b.day = a.day AND b.event_type = a.event_type), 'first run', NULL) AS note
+FROM (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n_events, sum(value) AS value_sum
+      FROM events GROUP BY ALL) a""", ["value_sum"]),
+    "K4_dup": ("""SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM bat WHERE bat.day = tgt.day AND bat.event_type = tgt.event_type)
+UNION ALL FROM bat UNION ALL FROM bat""", ["value_sum"]),
+    "K3_month": ("""SELECT *, CAST(date_trunc('month', block_date) AS DATE) AS block_month FROM tmpl_merged""", []),
+    "K5_month": ("""SELECT *, CAST(date_trunc('month', block_date) AS DATE) AS block_month FROM tmpl_appended""", []),
     "K5": ("""SELECT * FROM tgt UNION ALL
 SELECT * FROM bat b WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.day = b.day AND t.event_type = b.event_type)""",
            ["value_sum"]),
@@ -263,8 +280,7 @@ WHERE a.block_time >= {START} AND a.tx_success
 FROM account_activity a JOIN mapping m ON a.address = m.address
 WHERE a.block_time >= {START} AND a.tx_success""", ["token_balance_change"]),
     "J2": ("""SELECT f.date, f.fee_type, f.fee_source, f.token, f.raw_amount, p.price AS usd_price
-FROM fees_raw f LEFT JOIN product_prices p
-  ON ((f.token = p.token) OR (f.token = 'wsol' AND p.token = 'sol')) AND f.date = p.date""",
+FROM fees_raw f LEFT JOIN token_quotes p USING (date, token)""",
            ["raw_amount", "usd_price"]),
     "J3": ("SELECT n.date, n.amount_sol, p.price FROM staking_native n LEFT JOIN sol_prices p ON p.date = n.date",
            ["amount_sol", "price"]),
@@ -276,7 +292,7 @@ FROM mev_api api JOIN epoch_info ei ON ei.epoch = api.epoch""", ["mev_rewards",
     "J6": (f"""SELECT * FROM product_revenue
 WHERE date >= (SELECT max(date) - INTERVAL {P.lookback_days} DAY FROM product_revenue)""",
            ["usd_price", "amount", "usd_amount"]),
-    "J7": ("SELECT * FROM orders_customers", []),
+    "J7": ("SELECT * FROM customer_users", []),
     "J8": (f"""SELECT date_trunc('month', l.l_shipdate) AS ship_month, count(*) AS n_lines,
        sum(l.l_extendedprice * (1 - l.l_discount)) AS revenue
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey AND o.o_orderdate >= {_ts(JOIN_SINCE)}
@@ -316,8 +332,8 @@ ORDER BY total_usd_amount DESC NULLS LAST, aggregated_date LIMIT 10""",
     "F2": ("""SELECT l_orderkey, l_linenumber, date_trunc('week', l_shipdate) AS week,
        date_trunc('month', l_shipdate) AS month, date_trunc('quarter', l_shipdate) AS quarter FROM lineitem""", []),
     "F3": (f"SELECT event_id, ts - INTERVAL {P.lookback_days} DAY AS ts_minus FROM events", []),
-    "F4": ("""SELECT block_number, block_date, count(*) AS total_tx_per_block FROM transactions
-WHERE block_date >= CAST(now() AS TIMESTAMP) - INTERVAL 1 DAY GROUP BY 1, 2""", []),
+    "F4": ("""SELECT block_number, current_date AS block_date, count(*) AS total_tx_per_block FROM transactions
+WHERE block_number % 4 = 0 GROUP BY ALL""", []),
     "F5": (f"""SELECT event_id, ts >= {WETH} AS after_cutoff, ts - INTERVAL 1 DAY AS day_before,
        CAST(ts AS DATE) >= DATE '2024-01-15' AS after_date FROM events""", []),
     "F6": ('SELECT "timestamp", lower(symbol) AS token, price FROM prices_day', ["price"]),
@@ -339,13 +355,13 @@ FROM lineitem""", []),
     "T5": ("SELECT * FROM tmpl_merged", []),
     "Q1": ("""SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
 GROUP BY 1, 2 HAVING count(*) > 1""", []),
-    "Q2": ("SELECT o_orderkey, o_custkey, c_name FROM orders_customers WHERE c_name IS NULL", []),
+    "Q2": ("SELECT c_custkey, c_name FROM customer_users WHERE last_type IS NULL", []),
     "Q3": ("""SELECT o_custkey, count(*) AS n_records FROM orders WHERE o_custkey IS NOT NULL
 GROUP BY 1 HAVING count(*) > 1""", []),
     "Q4": ("""SELECT event_type, count(*) AS n_records FROM events
 WHERE event_type IS NOT NULL AND event_type NOT IN ('view', 'click', 'purchase', 'signup') GROUP BY 1""", []),
-    "Q5": ("""SELECT o_orderkey, o_custkey FROM orders o
-WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM parents c WHERE c.c_custkey = o.o_custkey)""", []),
+    "Q5": ("""SELECT c_custkey, c_name FROM customer
+WHERE c_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM event_users WHERE user_id = c_custkey)""", []),
     "Q6": ("""SELECT *, failing_rows = 0 AS passed FROM (
     SELECT 'unique_combination_date_type' AS check_name, 'unified_revenue' AS table_name,
            (SELECT count(*) FROM (SELECT date, type FROM unified_revenue GROUP BY 1, 2 HAVING count(*) > 1))
@@ -358,9 +374,9 @@ WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM parents c WHERE c.c_cu
     SELECT 'unique_combination_orderkey_linenumber', 'lineitem',
            (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))
     UNION ALL
-    SELECT 'relationships_custkey', 'orders',
-           (SELECT count(*) FROM orders o WHERE o_custkey IS NOT NULL
-               AND NOT EXISTS (SELECT 1 FROM parents c WHERE c.c_custkey = o.o_custkey))
+    SELECT 'relationships_custkey', 'customer',
+           (SELECT count(*) FROM customer WHERE c_custkey IS NOT NULL
+               AND NOT EXISTS (SELECT 1 FROM event_users WHERE user_id = c_custkey))
 ) s""", []),
     "Q7": ("""SELECT 'product_revenue' AS model, (SELECT count(*) FROM product_revenue) AS full_rows,
        (SELECT count(*) FROM product_revenue) AS incremental_rows, CAST(0 AS BIGINT) AS n_diff""", []),

@@ -36,7 +36,7 @@ STRATEGIES = ("view", "table", "merge", "delete_insert", "append")
 def _window_start(as_of, days: int) -> str:
     """First ISO date a rolling window can write (a date compares as its midnight)."""
     import datetime as dt
-    now = dt.datetime.now() if as_of is None else dt.datetime.fromisoformat(str(as_of))
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) if as_of is None else dt.datetime.fromisoformat(str(as_of))
     lo = now - dt.timedelta(days=days)
     first = lo.date() if lo.time() == dt.time(0) else lo.date() + dt.timedelta(days=1)
     return first.isoformat()

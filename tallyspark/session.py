@@ -58,14 +58,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared scratch base: ``spark.checkpoint.dir`` as the cluster names it.
 
     Read from the session; failing that, the context's checkpoint directory.
-    Only when neither is set (local tests) a temporary local directory is
+    Only in local mode with neither set (tests) a temporary local directory is
     registered with ``setCheckpointDir`` (the config key itself cannot be
-    changed at runtime).
+    changed at runtime); on a cluster that is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
+    if not d and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyspark-ckpt-"))
         d = sc.getCheckpointDir()

@@ -1,7 +1,7 @@
 """Materializations on parquet directories.
 
 Plain parquet has no row-level MERGE/DELETE, so upserts are expressed as
-relational plans and written with *dynamic partition overwrite*:
+relational plans over the touched partitions:
 
 * the batch's partition values (one per day in a lookback window) select the
   target partitions to read; the rest of the table is neither read nor
@@ -9,14 +9,20 @@ relational plans and written with *dynamic partition overwrite*:
 * the batch is staged once to the shared checkpoint folder (it is read by
   the conflict check, the partition list and the merge), cutting its lineage
   to the sources;
-* ``target ⋉̸ batch ∪ batch`` (left anti join on the keys) then overwrites
-  exactly the touched partitions. Old files are replaced only at job
-  commit, so a task retried after a lost executor still reads them.
+* ``target ⋉̸ batch ∪ batch`` (left anti join on the keys) is written whole
+  beside the table, with a manifest of the old files it replaces; only then
+  are the new files moved in and the old ones deleted. A crash at any step is
+  rolled forward from the manifest by the next writer, so kept rows always
+  exist in one complete copy.
 
 Unpartitioned targets (the small model outputs) are rebuilt into a fresh
-directory and swapped in by rename; a path is never overwritten while it is
-being read. One writer per table is assumed; a dynamic overwrite touching
-several partitions is not atomic across them.
+directory, marked ready and swapped in by rename; an unfinished swap is known
+by its ready copy alone, so a dropped table never comes back. One writer per
+table is assumed. Between the two renames readers use the ready copy; while
+files move in, a reader of a partitioned table may see old and new rows.
+
+A batch may lack columns of the table (they become NULL in its rows); a batch
+with columns that the table lacks is an error.
 """
 
 from __future__ import annotations
@@ -30,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyspark.operators import upsert
+from tallyspark.operators.joins import bounded_broadcast
 from tallyspark.session import scratch_dir
 
 
@@ -41,46 +48,117 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when the table directory exists (after restoring an interrupted swap)."""
+def _glob(spark: SparkSession, pattern: str) -> list:
+    fs, _, jvm = _fs(spark, pattern)
+    return list(fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or [])
+
+
+def _current(spark: SparkSession, path: str) -> str | None:
+    """Where the table is: its path, or between the two renames of a swap its ready copy."""
     fs, p, _ = _fs(spark, path)
     if fs.exists(p):
-        return True
-    return _recover_swap(spark, path)
+        return path
+    ready = _glob(spark, f"{path}.__ready-*")
+    return str(ready[0].getPath()) if ready else None
 
 
-def _recover_swap(spark: SparkSession, path: str) -> bool:
-    """A swap that died between its two renames leaves only ``path.__old-*``:
-    move the newest such copy back so the table is not rebuilt from nothing."""
-    fs, p, jvm = _fs(spark, path)
-    olds = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}.__old-*"))
-    if not olds:
-        return False
-    newest = max(olds, key=lambda st: st.getModificationTime())
-    return bool(fs.rename(newest.getPath(), p))
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when the table, or the complete copy of an unfinished swap, is there. Changes nothing."""
+    return _current(spark, path) is not None
 
 
-def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace ``path`` by the completely written ``staged`` directory."""
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish what a writer that died had begun (called by the next writer).
+
+    A ready copy is swapped in, a manifest's files are moved in; whatever was
+    not complete yet is removed. Old copies without a ready copy are leftovers.
+    """
+    fs, p, jvm = _fs(spark, path)
+    for st in _glob(spark, f"{path}.__ready-*"):
+        _swap_ready(spark, str(st.getPath()), path)
+    for st in _glob(spark, f"{path}.__part-*"):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), MANIFEST)):
+            _move_in(spark, str(st.getPath()), path)
+        else:
+            fs.delete(st.getPath(), True)
+    for kind in ("old", "staging"):
+        for st in _glob(spark, f"{path}.__{kind}-*"):
+            fs.delete(st.getPath(), True)
+
+
+def _swap_ready(spark: SparkSession, ready: str, path: str) -> None:
+    """Replace ``path`` by the complete copy ``path.__ready-id``; may be called again after a crash."""
     fs, dst, jvm = _fs(spark, path)
-    src = jvm.org.apache.hadoop.fs.Path(staged)
-    old = None
-    if fs.exists(dst):
-        old = jvm.org.apache.hadoop.fs.Path(f"{path}.__old-{uuid.uuid4().hex[:8]}")
-        if not fs.rename(dst, old):
-            raise IOError(f"could not move {path} aside")
-    if not fs.rename(src, dst):
-        if old is not None:
-            fs.rename(old, dst)
-        raise IOError(f"could not move {staged} to {path}")
-    if old is not None:
-        fs.delete(old, True)
+    old = jvm.org.apache.hadoop.fs.Path(ready.replace(".__ready-", ".__old-"))
+    if fs.exists(dst) and not fs.rename(dst, old):
+        raise IOError(f"could not move {path} aside")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(ready), dst):
+        raise IOError(f"could not move {ready} to {path}")
+    fs.delete(old, True)
+
+
+MANIFEST = "_manifest"
+
+
+def _files(fs, root) -> list:
+    out, it = [], fs.listFiles(root, True)
+    while it.hasNext():
+        st = it.next()
+        if not st.getPath().getName().startswith(("_", ".")):
+            out.append(st.getPath())
+    return out
+
+
+def _move_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Move the files of a complete staged copy into the table, then delete the files its manifest names.
+
+    File names are unique, so every step may be repeated after a crash.
+    """
+    fs, root, jvm = _fs(spark, staged)
+    table = jvm.org.apache.hadoop.fs.Path(path)
+    base = fs.makeQualified(root).toUri().getPath()
+    for f in _files(fs, root):
+        to = jvm.org.apache.hadoop.fs.Path(table, f.toUri().getPath()[len(base) + 1:])
+        fs.mkdirs(to.getParent())
+        if not fs.rename(f, to):
+            raise IOError(f"could not move {f} to {to}")
+    manifest = jvm.org.apache.hadoop.fs.Path(root, MANIFEST)
+    stream = fs.open(manifest)
+    try:
+        old = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    for line in old.split("\n"):
+        if line:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(line)), False)
+    fs.delete(root, True)
+
+
+def _replace_partitions(scope: DataFrame, merged: DataFrame, path: str, partition_by: Sequence[str],
+                        sort_within: Sequence[str] | None, as_dealt: bool = False) -> str:
+    """Replace the files that ``scope`` reads by the rows of ``merged`` (``as_dealt``: keep its partitioning)."""
+    spark = merged.sparkSession
+    staged = f"{path}.__part-{uuid.uuid4().hex[:8]}"
+    old = [r[0] for r in scope.select(F.col("_metadata.file_path")).distinct().collect()]
+    writer = merged.write.partitionBy(*partition_by) if as_dealt else _writer(merged, partition_by, sort_within)
+    writer.parquet(staged)
+    fs, root, jvm = _fs(spark, staged)
+    draft = jvm.org.apache.hadoop.fs.Path(root, f"{MANIFEST}.draft")
+    stream = fs.create(draft)
+    stream.write("\n".join(old).encode())
+    stream.close()
+    if not fs.rename(draft, jvm.org.apache.hadoop.fs.Path(root, MANIFEST)):
+        raise IOError(f"could not write the manifest of {staged}")
+    _move_in(spark, staged, path)
+    spark.catalog.refreshByPath(path)
+    return path
 
 
 def read_stored(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Read a stored table; with ``schema`` partition columns keep their declared types
     and the columns come back in the declared order (a partitioned read puts
     partition columns last)."""
+    path = _current(spark, path) or path
     if schema is None:
         return spark.read.parquet(path)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
@@ -110,33 +188,70 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
                 sort_within: Sequence[str] | None = None) -> str:
     """K1 full rebuild: write to a staging directory, then swap it in.
 
-    Readers see either the old or the new table, never a partial one.
+    Readers see either the old or the new table, never a partial one (with
+    ``read_stored``, which also finds the table between the two renames).
     ``partition_by`` gives the hive layout (K7); ``sort_within`` orders rows
     inside each output file (K9; row order is not part of the result).
     """
     spark = df.sparkSession
     staged = f"{path}.__staging-{uuid.uuid4().hex[:8]}"
     _writer(df, partition_by, sort_within).mode("errorifexists").parquet(staged)
-    _swap_in(spark, staged, path)
+    fs, src, jvm = _fs(spark, staged)
+    ready = staged.replace(".__staging-", ".__ready-")
+    if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(ready)):
+        raise IOError(f"could not move {staged} to {ready}")
+    _swap_ready(spark, ready, path)
+    spark.catalog.refreshByPath(path)
     return path
 
 
-def _touched_partitions(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target restricted to the partitions the batch writes.
+#: Partitions of a batch that become a literal filter of the target scan; more are joined.
+MAX_LITERAL_PARTITIONS = 1000
+
+
+def _in_partitions(target: DataFrame, parts: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Target restricted to the partitions ``parts`` names; NULL is a partition like others.
 
     The distinct partition values of a batch are few (one per day of a
-    lookback window), so they are fetched and turned into a literal filter the
-    scan resolves as a partition filter. Multi-column layouts use a semi join.
+    lookback window), so they become a literal filter that the scan resolves
+    as a partition filter. More than ``MAX_LITERAL_PARTITIONS`` are semi
+    joined, null-safe, and never come to the driver.
     """
-    if len(partition_by) == 1:
-        c = partition_by[0]
-        values = [r[0] for r in batch.select(c).distinct().collect()]
-        non_null = [v for v in values if v is not None]
-        cond = F.col(c).isin(non_null) if non_null else F.lit(False)
-        if len(non_null) != len(values):
-            cond = cond | F.col(c).isNull()
-        return target.where(cond)
-    return target.join(batch.select(*partition_by).distinct(), list(partition_by), "left_semi")
+    parts = parts.select(*partition_by).distinct()
+    rows = parts.limit(MAX_LITERAL_PARTITIONS + 1).collect()
+    if len(rows) > MAX_LITERAL_PARTITIONS:
+        named = parts.select(*[F.col(c).alias(f"_p_{c}") for c in partition_by])
+        cond = None
+        for c in partition_by:
+            same = target[c].eqNullSafe(named[f"_p_{c}"])
+            cond = same if cond is None else cond & same
+        return target.join(named, cond, "left_semi")
+    first = partition_by[0]
+    values = {r[0] for r in rows}
+    some = [v for v in values if v is not None]
+    cond = F.col(first).isin(some) if some else F.lit(False)
+    if None in values:
+        cond = cond | F.col(first).isNull()
+    if len(partition_by) > 1:
+        each = F.lit(False)
+        for r in rows:
+            one = F.lit(True)
+            for c, v in zip(partition_by, r):
+                one = one & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
+            each = each | one
+        cond = cond & each
+    return target.where(cond)
+
+
+def _aligned(batch: DataFrame, stored: StructType, path: str) -> DataFrame:
+    """The batch with all columns of the table; its own types stay."""
+    extra = [c for c in batch.columns if c not in stored.fieldNames()]
+    if extra:
+        raise ValueError(f"{path} has no column {', '.join(extra)}; rebuild it with a full refresh")
+    for f in stored.fields:
+        if f.name not in batch.columns:
+            batch = batch.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return batch
 
 
 def _stage(df: DataFrame, partition_by: Sequence[str] | None, name: str) -> tuple[DataFrame, str]:
@@ -157,41 +272,40 @@ def _drop_stage(spark: SparkSession, stage: str | None) -> None:
 def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
             partition_by: Sequence[str] | None, target_pred: Column | None,
             check_conflicts: bool, sort_within: Sequence[str] | None) -> str:
+    recover(spark, path)
     if not table_exists(spark, path):
         return write_table(batch, path, partition_by, sort_within)
-    partitioned = bool(partition_by) and set(partition_by) <= set(keys)
+    batch = _aligned(batch, read_stored(spark, path).schema, path)
     stage = None
-    if check_conflicts or partitioned:
+    if check_conflicts or partition_by:
         # The batch is read more than once (conflict check, partition list,
         # merge): stage it so its source scan runs once and later steps never
         # recompute it from upstream.
         batch, stage = _stage(batch, None, "batch-stage")
     try:
-        return _upsert_staged(spark, path, batch, keys, partition_by, target_pred, check_conflicts,
-                              sort_within, partitioned)
+        target = scope = read_stored(spark, path, batch.schema)
+        if partition_by:
+            parts = batch.select(*partition_by)
+            if not set(partition_by) <= set(keys):
+                # a matched row may lie in another partition than its new version
+                parts = parts.unionByName(target.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+                                          .select(*partition_by))
+            scope = _in_partitions(target, parts, partition_by)
+        if check_conflicts:
+            # repeated batch keys are rare; only if there are any does the target matter
+            twice = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+            if not twice.isEmpty():
+                bad = upsert.merge_conflicts(scope, batch, keys, target_pred).limit(1).collect()
+                if bad:
+                    raise ValueError(f"merge: several batch rows match one target row for key {bad[0].asDict()}")
+        merged = upsert.merge(scope, batch, keys, target_pred)
+        if partition_by:
+            return _replace_partitions(scope, merged, path, partition_by, sort_within)
+        return write_table(merged, path, partition_by, sort_within)
     finally:
         _drop_stage(spark, stage)
 
 
-def _upsert_staged(spark, path, batch, keys, partition_by, target_pred, check_conflicts, sort_within,
-                   partitioned) -> str:
-    target = read_stored(spark, path, batch.schema)
-    if check_conflicts:
-        bad = upsert.merge_conflicts(target, batch, keys, target_pred).limit(1).collect()
-        if bad:
-            raise ValueError(f"merge: several batch rows match one target row for key {bad[0].asDict()}")
-    if partitioned:
-        # Old files are replaced only when the job commits, so a retried task
-        # still reads them; re-running after a failed commit gives the same
-        # table (the merge is idempotent for a given batch).
-        merged = upsert.merge(_touched_partitions(target, batch, partition_by), batch, keys, target_pred)
-        _writer(merged, partition_by, sort_within).mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").parquet(path)
-        return path
-    merged = upsert.merge(target, batch, keys, target_pred)
-    return write_table(merged, path, partition_by, sort_within)
-
-
 def write_merge(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                 partition_by: Sequence[str] | None = None, target_pred: Column | None = None,
                 sort_within: Sequence[str] | None = None, batch_keys_unique: bool = False) -> str:
@@ -217,9 +331,13 @@ def write_append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Seq
     The new rows are staged before the append, so the anti join never reads
     files that the same job adds. Replaying the same batch appends nothing.
     """
+    recover(spark, path)
     if not table_exists(spark, path):
         return write_table(batch, path, partition_by)
+    batch = _aligned(batch, read_stored(spark, path).schema, path)
     target = read_stored(spark, path, batch.schema)
+    if partition_by and set(partition_by) <= set(keys):
+        target = _in_partitions(target, batch, partition_by)
     new, stage = _stage(upsert.new_rows(target, batch, keys, target_pred), partition_by, "append-stage")
     try:
         _writer(new, partition_by, None).mode("append").parquet(path)
@@ -272,34 +390,54 @@ def partition_stats(spark: SparkSession, path: str, depth: int,
 def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None = None,
             min_files: int = 2, target_file_bytes: int = TARGET_FILE_BYTES,
             schema: StructType | None = None, keep: Callable[[tuple], bool] | None = None) -> int:
-    """Rewrite partitions holding ``min_files`` or more files.
+    """Rewrite partitions that have ``min_files`` or more files and more than they need.
 
-    Each rewritten partition gets ``ceil(bytes / target_file_bytes)`` files;
+    A rewritten partition gets ``ceil(bytes / target_file_bytes)`` files;
     rows are spread over them by a hash of the whole row, so a partition
     holding a large share of the table is written by several tasks, not one.
-    Untouched partitions are neither read nor rewritten (dynamic overwrite).
+    A partition at its file count stays, so a second call rewrites nothing.
+    Untouched partitions are neither read nor rewritten.
     ``keep`` limits the partitions examined (by their string values).
     Returns the number of partitions rewritten.
     """
     df = read_stored(spark, path, schema)
+    recover(spark, path)
     if not partition_by:
         fs, p, _ = _fs(spark, path)
-        cs = fs.getContentSummary(p)
-        if int(cs.getFileCount()) - 1 < min_files:      # minus the _SUCCESS marker
+        size, n = int(fs.getContentSummary(p).getLength()), len(_files(fs, p))
+        if n < min_files or n <= max(1, -(-size // target_file_bytes)):
             return 0
-        size = int(cs.getLength())
         write_table(df.repartition(max(1, -(-size // target_file_bytes))), path)
         return 1
     stats = partition_stats(spark, path, len(partition_by), keep)
-    busy = {v: max(1, -(-size // target_file_bytes)) for v, (n, size) in stats.items() if n >= min_files}
-    if not busy:
+    plan = [(*v, max(1, -(-size // target_file_bytes))) for v, (n, size) in stats.items() if n >= min_files]
+    plan = [r for r in plan if stats[r[:-1]][0] > r[-1]]
+    if not plan:
         return 0
-    part_key = F.concat_ws("/", *[F.col(c).cast("string") for c in partition_by])
-    keys = list(busy)
-    scope = df.where(part_key.isin(["/".join(v) for v in keys]))
-    files = F.create_map(*[x for v in keys for x in (F.lit("/".join(v)), F.lit(busy[v]))])
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), files[part_key])
-    scope.repartition(*[F.col(c) for c in partition_by], salt) \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*partition_by).parquet(path)
-    return len(busy)
+    # one file for each (partition, part): numbered files, dealt by number
+    rows, at = [], 0
+    for r in plan:
+        rows.append((*[None if v == NULL_PARTITION else v for v in r[:-1]], r[-1], at))
+        at += r[-1]
+    names = [f"_p_{c}" for c in partition_by]
+    layout = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names) + ", _parts long, _first long")
+    layout = bounded_broadcast(layout, len(rows))
+    cond = None
+    for c, n in zip(partition_by, names):
+        same = df[c].cast("string").eqNullSafe(layout[n])
+        cond = same if cond is None else cond & same
+    scope = _in_partitions(df, layout.select(*[F.col(n).cast(df.schema[c].dataType).alias(c)
+                                               for c, n in zip(partition_by, names)]), partition_by)
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_parts"))
+    numbered = scope.join(layout, cond).withColumn("_file", F.col("_first") + part)
+    dealt = numbered.repartitionByRange(at, "_file").select(*df.columns)
+    return _compacted(scope, dealt, path, partition_by, len(plan))
+
+
+#: The directory value of a NULL partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _compacted(scope: DataFrame, dealt: DataFrame, path: str, partition_by: Sequence[str], n: int) -> int:
+    _replace_partitions(scope, dealt, path, partition_by, None, as_dealt=True)
+    return n

@@ -32,7 +32,7 @@ def land_event_files(spark: SparkSession, events: DataFrame, landing_dir: str, t
     """Write facts as day-partitioned files, the layout an upstream loader lands
     (``mode="append"`` adds a later wave, late days included)."""
     (events.withColumn(LANDING_PARTITION, F.col(time_col).cast("date"))
-     .repartition(F.col(LANDING_PARTITION))
+     .hint("rebalance", LANDING_PARTITION)
      .write.mode(mode).partitionBy(LANDING_PARTITION).parquet(landing_dir))
     return landing_dir
 
@@ -57,14 +57,20 @@ def stream_upsert(spark: SparkSession, landing_dir: str, schema: T.StructType, t
     stream = reader.parquet(landing_dir)
 
     def upsert_batch(micro: DataFrame, epoch_id: int) -> None:
-        # distinct landing days of this micro-batch: one value per day, bounded
-        days = sorted(r[0] for r in micro.select(partition_col).distinct().collect() if r[0] is not None)
-        if not days:
+        # distinct days of this micro-batch: one value per day, bounded. A row without a landing day (a flat
+        # folder, a NULL partition) takes it from its time column; a row without either must not be lost.
+        own = F.coalesce(F.col(partition_col), F.to_date(F.col(time_col)))
+        found = [r[0] for r in micro.select(own.alias("day")).distinct().collect()]
+        if None in found:
+            raise ValueError(f"{landing_dir} has rows without {partition_col} and without {time_col}")
+        if not found:
             return
+        days = sorted(found)
         if lookback_days:
             days = sorted({d - dt.timedelta(days=i) for d in days for i in range(int(lookback_days) + 1)})
         landed = (spark.read.schema(full_schema).parquet(landing_dir)
-                  .where(F.col(partition_col).isin(days))
+                  .where(F.col(partition_col).isin(days)
+                         | (F.col(partition_col).isNull() & F.to_date(F.col(time_col)).isin(days)))
                   .drop(partition_col))
         since = F.lit(days[0].isoformat()).cast("timestamp_ntz")
         write_merge(spark, target_path, build(landed, since), keys, batch_keys_unique=True)

@@ -121,6 +121,8 @@ def test_interrupted_swap_is_recovered(spark):
     path = scratch_dir(spark, "t-swap")
     tables.write_table(_df(spark, [(1, D(2024, 1, 1), 1)]), path)
     fs, p, jvm = tables._fs(spark, path)
+    tables.write_table(_df(spark, [(1, D(2024, 1, 1), 1)]), path + "-new")
+    fs.rename(jvm.org.apache.hadoop.fs.Path(path + "-new"), jvm.org.apache.hadoop.fs.Path(path + ".__ready-deadbeef"))
     fs.rename(p, jvm.org.apache.hadoop.fs.Path(path + ".__old-deadbeef"))   # died after the first rename
     assert tables.table_exists(spark, path)
     assert _rows(tables.read_stored(spark, path)) == [(1, D(2024, 1, 1), 1)]
