@@ -74,8 +74,9 @@ def rebuild_equals_incremental(model: str, full: DataFrame, incremental: DataFra
 
     One grouped pass over both sides: rows meet on all columns that are not
     doubles; doubles of a group may differ by ``tolerance`` of their size,
-    since the order of a sum changes its last bits. ``n_diff`` counts the rows
-    of groups that differ in number or in a double (NULL differs from a value).
+    since the order of a sum changes its last bits. ``n_diff`` counts rows that
+    one side has more of in a group, and all rows of groups whose doubles differ
+    (NULL differs from a value).
     """
     doubles = [c for c, t in full.dtypes if t in ("double", "float")]
     exact = [c for c in full.columns if c not in doubles]
@@ -87,7 +88,8 @@ def rebuild_equals_incremental(model: str, full: DataFrame, incremental: DataFra
             aggs += [F.sum(F.when(side[k], F.col(c))).alias(f"_{n}_{c}"), F.count(F.when(side[k], F.col(c))).alias(f"_{n}n_{c}")]
         aggs.append(F.sum(F.abs(F.col(c))).alias(f"_s_{c}"))
     groups = both.groupBy(*exact).agg(*aggs)
-    same = F.col("_full") == F.col("_incr")
+    surplus = F.abs(F.col("_full") - F.col("_incr"))
+    same = F.lit(True)
     for c in doubles:
         near = F.abs(F.coalesce(F.col(f"_f_{c}"), F.lit(0.0)) - F.coalesce(F.col(f"_i_{c}"), F.lit(0.0))) \
             <= F.lit(tolerance) * F.coalesce(F.col(f"_s_{c}"), F.lit(0.0))
@@ -97,5 +99,5 @@ def rebuild_equals_incremental(model: str, full: DataFrame, incremental: DataFra
         return F.coalesce(F.sum(x), F.lit(0)).cast("bigint")
 
     return groups.agg(total(F.col("_full")).alias("full_rows"), total(F.col("_incr")).alias("incremental_rows"),
-                      total(F.when(~same, F.col("_full") + F.col("_incr")).otherwise(0)).alias("n_diff")) \
+                      total(F.when((surplus == 0) & ~same, F.col("_full") + F.col("_incr")).otherwise(surplus)).alias("n_diff")) \
         .select(F.lit(model).alias("model"), "full_rows", "incremental_rows", "n_diff")
