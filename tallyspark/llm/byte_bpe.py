@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyspark.llm.storage import fresh, of_process
+from tallyspark.llm.storage import fresh, of_process, release
 from tallyspark.llm.text import chunks
 
 #: Entries that a rank file may have at most to be broadcast.
@@ -356,6 +356,7 @@ class Tokenizer:
                     start += len(c)
                     new = then(*codec.encode(c))
                     yield pa.RecordBatch.from_arrays([*own.columns, *new.values()], names=[*own.schema.names, *new])
+                release(keep=True)
 
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
         return docs.mapInArrow(bpe_encode, f"{schema}, {add}")

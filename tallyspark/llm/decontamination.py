@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyspark.llm.storage import cut, fresh
+from tallyspark.llm.storage import cut, fresh, release
 from tallyspark.llm.text import ALNUM, Words, chunks, code_points
 
 #: Item text that one automaton holds at most.
@@ -221,6 +221,7 @@ def _matcher(auto, window: int):
             old = before.slice(at, len(c)).to_pylist() if before.null_count < len(before) else None
             rows += chunk_matches(c, model, vocabulary, window, old)
             at += len(c)
+        release()
         return pa.array(rows, _MATCH_ARROW)
 
     return match_texts

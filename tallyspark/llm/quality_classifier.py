@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tallyspark.llm.calibration import fit_logistic, labelled_texts, logistic
+from tallyspark.llm.storage import release
 
 #: Labelled texts of each class that the classifier is fitted on at most.
 PER_CLASS = 2000
@@ -94,6 +95,7 @@ def score(text: Column, model) -> Column:
         else:
             good, bad = compressors(m["dictionaries"])
             d = np.array([difference(t.as_py(), good, bad) for t in texts])
+        release()
         return pa.array(logistic(m["slope"] * d + m["intercept"]), pa.float64())
 
     return arrow_udf(compress, "double")(text)

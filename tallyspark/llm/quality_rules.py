@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyspark.llm.storage import fresh
+from tallyspark.llm.storage import fresh, release
 from tallyspark.llm.text import CHAR_START, NOT_SPACE, Words, chunks, per_doc
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_punct",
@@ -95,6 +95,7 @@ def chunk_stats(arr: pa.Array) -> dict[str, np.ndarray]:
 
 def _stats(text: pa.Array) -> pa.Array:
     parts = [chunk_stats(c) for c in chunks(text)]
+    release()
     cols = [np.concatenate([p[c] for p in parts]) if parts else np.empty(0, np.int64) for c in STATS]
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], names=STATS)
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyspark.llm.storage import fresh
+from tallyspark.llm.storage import fresh, release
 from tallyspark.llm.text import LOWER, Words, chunks, code_points, flat
 
 KINDS = ["assign", "access", "hex", "github", "npm", "jwt", "pem"]
@@ -134,6 +134,7 @@ _SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
 def _spans(texts: pa.Array) -> pa.Array:
     automaton = keyword_automaton()
     rows = [spans for c in chunks(texts) for spans in chunk_spans(c, automaton)]
+    release()
     return pa.array([[dict(zip(("kind", "start", "end"), s)) for s in spans] for spans in rows], _SPANS_ARROW)
 
 

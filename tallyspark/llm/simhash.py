@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyspark.llm.storage import cut, fresh
+from tallyspark.llm.storage import cut, fresh, release
 from tallyspark.llm.text import NOT_SPACE, Words, chunks
 from tallyspark.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
 
@@ -81,6 +81,7 @@ def fingerprint(text: Column, size: int = 4, seed: int = 42) -> Column:
     @arrow_udf("bigint")
     def simhash(arr: pa.Array) -> pa.Array:
         parts = [chunk_fingerprints(c, size, seed).view(np.int64) for c in chunks(arr)]
+        release()
         return pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64), pa.int64())
 
     return simhash(text)
@@ -229,6 +230,7 @@ def links(fps: DataFrame, distance: int = 4, blocks: int = 3) -> DataFrame:
             pairs = near_links(fp[home], fp[~home], distance, within=True)
         else:
             pairs = near_links(fp[part == i], fp[part == j], distance, within=False)
+        release()
         pairs = pairs.view(np.int64)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 

@@ -57,3 +57,19 @@ def of_process(name: str, make):
     if name not in kept:
         kept[name] = make()
     return kept[name]
+
+
+def release(keep: bool = False) -> None:
+    """Give unused memory of this worker process back to the system after a batch; without ``keep`` also what
+    ``of_process`` holds, so that one operator's cache does not stay beside the next one's arrays."""
+    import ctypes
+    import sys
+
+    import pyarrow as pa
+
+    if not keep:
+        sys.modules.pop("_tallyspark_llm_kept", None)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

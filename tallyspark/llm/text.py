@@ -111,10 +111,3 @@ def code_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     before = np.zeros(len(data) + 1, np.int64)
     np.cumsum(CHAR_START[data], out=before[1:])
     return before, before[off]
-
-
-def crc_text(ids) -> np.ndarray:
-    """crc32 of ids written as decimal text."""
-    import zlib
-
-    return np.fromiter((zlib.crc32(str(x).encode()) for x in ids), np.int64)

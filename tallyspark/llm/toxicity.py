@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tallyspark.llm.calibration import fit_logistic, labelled_texts, logistic
+from tallyspark.llm.storage import release
 from tallyspark.llm.text import NOT_SPACE, Words, chunks
 
 #: Labelled texts of each class that the models are fitted on at most.
@@ -155,6 +156,7 @@ def score(text: Column, fitted) -> Column:
             return pa.array(np.full(len(texts), f["prior"]), pa.float64())
         vocabulary = pa.array(f["model"]["words"], pa.large_binary())
         parts = [logistic(features(c, f["model"], vocabulary) @ f["coef"] + f["intercept"]) for c in chunks(texts)]
+        release()
         return pa.array(np.concatenate(parts) if parts else np.empty(0), pa.float64())
 
     return arrow_udf(compare, "double")(text)
