@@ -40,7 +40,7 @@ from tallyspark.llm.text import chunks
 #: Entries that a rank file may have at most to be broadcast.
 MAX_RANKS = 1_000_000
 #: Texts handled together, words contracted together (bytes), longest word of the plain query, cache entries.
-TEXT_BYTES, WORD_BYTES, SHORT, KEPT = 3 << 20, 150_000, 48, 150_000
+TEXT_BYTES, WORD_BYTES, SHORT, KEPT = 4 << 20, 200_000, 48, 300_000
 #: Rows that the long-word query may gather before it starts anew from where it is.
 LONG_ROWS = 1_500_000
 
@@ -138,10 +138,10 @@ class Kept:
 class Codec:
     """The merge table and vocabulary in DuckDB, for the texts of one worker process."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, kept: int = KEPT):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.kept = Kept()
+        self.kept = Kept(kept)
         rows, alone = [], set()
         for token, rank in ranks.items():
             for k in range(1, len(token)):
@@ -335,26 +335,31 @@ class Codec:
 
 
 class Tokenizer:
-    """Encoding and decoding columns for one rank file and pattern."""
+    """Encoding and decoding columns for one rank file and pattern.
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str):
-        self.ranks, self.pattern = spark.sparkContext.broadcast(read_ranks(path)), pattern
-        self.name = f"bpe {path} {pattern}"
+    ``kept`` (cache entries of a worker process) and ``chunk`` (bytes of text encoded together) trade memory for
+    time; results are the same.
+    """
 
-    def encode(self, docs: DataFrame, text: str, add: str, then: Callable[[np.ndarray, np.ndarray, pa.Array], dict]) \
+    def __init__(self, spark: SparkSession, path: str, pattern: str, kept: int = KEPT, chunk: int = TEXT_BYTES):
+        self.ranks, self.pattern, self.kept, self.chunk = spark.sparkContext.broadcast(read_ranks(path)), pattern, kept, chunk
+        self.name = f"bpe {path} {pattern} {kept}"
+
+    def encode(self, docs: DataFrame, text: str, add: str, then: Callable[[pa.Array, np.ndarray, np.ndarray, pa.Array], dict]) \
             -> DataFrame:
-        """``docs`` with the columns ``add`` (DDL) that ``then`` makes of each chunk: flat ids, where each text's
-        ids begin, and decoded bytes. Chunks are a few MB of text, whatever the batches are."""
+        """``docs`` with the columns ``add`` (DDL) that ``then`` makes of each chunk: its texts, flat ids,
+        where each text's ids begin, and decoded bytes. Chunks are a few MB of text, whatever the batches are."""
         ranks, pattern, name, at = self.ranks, self.pattern, self.name, docs.columns.index(text)
+        kept, size = self.kept, self.chunk
 
         def bpe_encode(batches):
-            codec = of_process(name, lambda: Codec(ranks.value, pattern))
+            codec = of_process(name, lambda: Codec(ranks.value, pattern, kept))
             for batch in batches:
                 start = 0
-                for c in chunks(batch.column(at).cast(pa.large_string()), TEXT_BYTES):
+                for c in chunks(batch.column(at).cast(pa.large_string()), size):
                     own = batch.slice(start, len(c))
                     start += len(c)
-                    new = then(*codec.encode(c))
+                    new = then(c, *codec.encode(c))
                     yield pa.RecordBatch.from_arrays([*own.columns, *new.values()], names=[*own.schema.names, *new])
                 release(keep=True)
 
@@ -409,7 +414,20 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     ids, decoded = fresh(docs, "ids", "decoded")
     return Tokenizer(docs.sparkSession, path, pattern).encode(
         docs, text, f"{ids} array<int>, {decoded} binary",
-        lambda flat, edge, joined: {ids: id_lists(flat, edge), decoded: joined.cast(pa.binary())})
+        lambda texts, flat, edge, joined: {ids: id_lists(flat, edge), decoded: joined.cast(pa.binary())})
+
+
+def encode_checked(docs: DataFrame, path: str, pattern: str, text: str = "text", **options) -> DataFrame:
+    """``docs`` with three last columns: ``ids``, ``n_tokens`` and ``round_trip``, whether the ids decode to the
+    text; the decoded bytes stay in the tasks."""
+    ids, n, ok = fresh(docs, "ids", "n_tokens", "round_trip")
+
+    def check(texts, flat, edge, joined):
+        same = [(t.as_py() or "").encode() == j.as_py() for t, j in zip(texts, joined)]
+        return {ids: id_lists(flat, edge), n: pa.array(np.diff(edge), pa.int64()), ok: pa.array(same, pa.bool_())}
+
+    return Tokenizer(docs.sparkSession, path, pattern, **options).encode(
+        docs, text, f"{ids} array<int>, {n} bigint, {ok} boolean", check)
 
 
 def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -417,5 +435,5 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text")
     bytes beside them, so that the ids of all texts need not leave the tasks."""
     return Tokenizer(docs.sparkSession, path, pattern).encode(
         docs, text, "n_tokens bigint, ids_sha256 string, decoded_sha256 string",
-        lambda flat, edge, joined: {"n_tokens": pa.array(np.diff(edge), pa.int64()),
+        lambda texts, flat, edge, joined: {"n_tokens": pa.array(np.diff(edge), pa.int64()),
                                     "ids_sha256": sha256_of_ids(flat, edge), "decoded_sha256": sha256_of_bytes(joined)})
