@@ -15,10 +15,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyspark.llm import byte_bpe, decontamination, quality_rules, secret_scan, simhash
-from tallyspark.llm.storage import cut, fresh
+from tallyspark.llm.storage import cut
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,11 +42,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = byte_bpe.encode_documents(docs, path, public_tokenizers.PATTERN)
-    ids, decoded = (F.col(c) for c in coded.columns[-2:])
-    n, ok = fresh(coded, "n_tokens", "round_trip")
-    same = decoded.eqNullSafe(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    return coded.withColumn(n, F.size(ids).cast("bigint")).withColumn(ok, same).drop(coded.columns[-1])
+    return byte_bpe.encode_checked(docs, path, public_tokenizers.PATTERN, kept=100_000, chunk=2 << 20)
 
 
 STAGES = [
