@@ -19,12 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.llm import byte_bpe, decontamination, quality_rules, secret_scan, simhash
 from tallyspark.llm.storage import cut
 
+#: Rows that go to Python together: the stages carry whole documents, and a batch is held several times.
+BATCH_ROWS = 2000
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # the session of the pipeline keeps this setting: a plan reads it when it runs
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return quality_rules.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
@@ -42,7 +47,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return byte_bpe.encode_checked(docs, path, public_tokenizers.PATTERN, kept=100_000, chunk=2 << 20)
+    return byte_bpe.encode_checked(docs, path, public_tokenizers.PATTERN, kept=100_000, chunk=1 << 20,
+                                   stay=False)
 
 
 STAGES = [

@@ -337,12 +337,14 @@ class Codec:
 class Tokenizer:
     """Encoding and decoding columns for one rank file and pattern.
 
-    ``kept`` (cache entries of a worker process) and ``chunk`` (bytes of text encoded together) trade memory for
-    time; results are the same.
+    ``kept`` (cache entries of a worker process), ``chunk`` (bytes of text encoded together) and ``stay`` (whether a
+    worker keeps its tables and cache for its next task) trade memory for time; results are the same.
     """
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str, kept: int = KEPT, chunk: int = TEXT_BYTES):
+    def __init__(self, spark: SparkSession, path: str, pattern: str, kept: int = KEPT, chunk: int = TEXT_BYTES,
+                 stay: bool = True):
         self.ranks, self.pattern, self.kept, self.chunk = spark.sparkContext.broadcast(read_ranks(path)), pattern, kept, chunk
+        self.stay = stay
         self.name = f"bpe {path} {pattern} {kept}"
 
     def encode(self, docs: DataFrame, text: str, add: str, then: Callable[[pa.Array, np.ndarray, np.ndarray, pa.Array], dict]) \
@@ -350,7 +352,7 @@ class Tokenizer:
         """``docs`` with the columns ``add`` (DDL) that ``then`` makes of each chunk: its texts, flat ids,
         where each text's ids begin, and decoded bytes. Chunks are a few MB of text, whatever the batches are."""
         ranks, pattern, name, at = self.ranks, self.pattern, self.name, docs.columns.index(text)
-        kept, size = self.kept, self.chunk
+        kept, size, stay = self.kept, self.chunk, self.stay
 
         def bpe_encode(batches):
             codec = of_process(name, lambda: Codec(ranks.value, pattern, kept))
@@ -362,6 +364,9 @@ class Tokenizer:
                     new = then(c, *codec.encode(c))
                     yield pa.RecordBatch.from_arrays([*own.columns, *new.values()], names=[*own.schema.names, *new])
                 release(keep=True)
+            if not stay:
+                del codec
+                release()
 
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
         return docs.mapInArrow(bpe_encode, f"{schema}, {add}")

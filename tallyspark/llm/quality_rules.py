@@ -41,6 +41,8 @@ _NOT_NEWLINE = _b != 10
 
 #: Labelled rows that the list is learned from at most.
 MAX_ROWS = 20_000
+#: Text whose statistics are made together: they take some 60 bytes a byte of text.
+STATS_BYTES = 1 << 20
 
 
 def _narrow(key: np.ndarray) -> tuple[np.ndarray, int]:
@@ -94,7 +96,7 @@ def chunk_stats(arr: pa.Array) -> dict[str, np.ndarray]:
 
 
 def _stats(text: pa.Array) -> pa.Array:
-    parts = [chunk_stats(c) for c in chunks(text)]
+    parts = [chunk_stats(c) for c in chunks(text, STATS_BYTES)]
     release()
     cols = [np.concatenate([p[c] for p in parts]) if parts else np.empty(0, np.int64) for c in STATS]
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], names=STATS)
