@@ -1,14 +1,14 @@
 """Toxicity (10): class-conditional Kneser-Ney bigram models, toxic against ordinary.
 
 Each class has discounted bigram counts over words (lower-cased A-Z, cut at ASCII white space) and Kneser-Ney
-continuation counts as unigrams. Both levels back off to counts shared by the classes, and an expression that a
-class has only rarely backs off entirely, so that it says little. The log-likelihoods are normalised by
-length: over the whole text, and over its windows of a few lengths, of which the most toxic one of each length
+continuation counts as unigrams. The discounts are estimated from the counts, for each class and level, and are
+below one, so every word and bigram of the sample keeps a part of its own; what they take away goes to the lower
+level, at the end to a distribution that the classes share. The log-likelihoods are normalised by length: over the whole text, and over its windows of a few lengths, of which the most toxic one of each length
 counts, since a few words make a long text toxic. Logistic
 regression on labelled texts that the models have not seen turns these means into a probability.
 
 The models come from at most ``PER_CLASS`` whole labelled texts of each class (documented bound), a third of
-which calibrates; bigrams seen once go to the back-off mass. Repeated texts count once. Scoring is one Arrow pass, no shuffle.
+which calibrates; all their bigrams are kept. Repeated texts count once. Scoring is one Arrow pass, no shuffle.
 
 Defined results: null and empty texts have log-likelihood ratio zero and get the calibrated score of that; with
 labels of one kind only, or none, every score is the share of toxic labels (0 without any); other columns stay.
@@ -16,6 +16,8 @@ labels of one kind only, or none, every score is the share of toxic labels (0 wi
 
 from __future__ import annotations
 
+from math import lgamma
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,9 +31,14 @@ from tallyspark.llm.text import NOT_SPACE, Words, chunks
 
 #: Labelled texts of each class that the models are fitted on at most.
 PER_CLASS = 2500
-#: Discounts of a class's own counts of words and of pairs (an expression that a class has no more often than
-#: that backs off entirely), and the window lengths.
-RARE, RARE_PAIR, WINDOWS = 3.0, 30.0, (1, 4, 16, 64)
+#: The window lengths.
+WINDOWS = (1, 4, 16, 64)
+
+
+def discount(counts: np.ndarray) -> float:
+    """Kneser-Ney discount n1 / (n1 + 2 n2) of a level's counts; half a type more of each keeps it inside (0, 1)."""
+    one, two = (counts == 1).sum() + 0.5, (counts == 2).sum() + 0.5
+    return one / (one + 2 * two)
 
 
 def _pairs(words: Words, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,6 +49,23 @@ def _pairs(words: Words, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return before, ids
 
 
+def reliability(toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+    """Probability that an entry's rate differs between the classes, given its counts in both.
+
+    Equal rates give binomial counts at the classes' shares, different ones any split alike; the share of
+    entries that differ is estimated by EM."""
+    pairs, place, n = np.unique(np.stack([toxic, ordinary]), axis=1, return_inverse=True, return_counts=True)
+    t, o = pairs
+    share = np.clip(toxic.sum() / max(1.0, toxic.sum() + ordinary.sum()), 1e-9, 1 - 1e-9)
+    ways = np.array([lgamma(a + b + 1) - lgamma(a + 1) - lgamma(b + 1) for a, b in zip(t, o)])
+    odds = np.exp(np.minimum(-np.log(t + o + 1) - ways - t * np.log(share) - o * np.log(1 - share), 700))
+    differ = 0.1
+    for _ in range(100):
+        s = differ * odds / (differ * odds + 1 - differ)
+        differ = float(np.clip((s * n).sum() / max(1, n.sum()), 1e-9, 1 - 1e-9))
+    return s[place.reshape(-1)]
+
+
 def fit_models(texts: list[str], toxic: np.ndarray) -> dict:
     """Both models over one vocabulary; the last unigram entry stands for unseen words."""
     words = Words(pa.array(texts, pa.large_string()), NOT_SPACE, lower=True)
@@ -64,25 +88,28 @@ def fit_models(texts: list[str], toxic: np.ndarray) -> dict:
         own = np.zeros(len(found))
         own[np.searchsorted(found, mine)] = count
         counts.append((own, np.bincount(mine % (size + 1), minlength=size + 1).astype(float)))
-    kept = np.maximum(counts[0][0], counts[1][0]) > RARE_PAIR
-    model["key"] = found[kept]
-    # the shared back-off has what the classes give away: counts up to the discount, and one for unseen words
-    shared = sum(np.minimum(continuation, RARE) for _, continuation in counts)
+    model["key"] = found
+    model["trust"] = reliability(counts[0][0], counts[1][0])
+    # a word that no class has says nothing
+    model["trust_word"] = np.append(reliability(counts[0][1][:size], counts[1][1][:size]), 0.0)
+    # the shared back-off has what the classes give away: the discounts, and one for unseen words
+    rare = [discount(continuation) for _, continuation in counts]
+    shared = sum(np.minimum(continuation, d) for d, (_, continuation) in zip(rare, counts))
     shared[size] = 1.0
     shared /= shared.sum()
     context = found // (size + 1)
-    for own, continuation in counts:
-        p = np.maximum(continuation - RARE, 0) / max(1.0, continuation.sum())
+    for d, (own, continuation) in zip(rare, counts):
+        p = np.maximum(continuation - d, 0) / max(1.0, continuation.sum())
         p += (1 - p.sum()) * shared
         of_context = np.maximum(np.bincount(context, weights=own, minlength=size + 1), 1)
-        direct = np.maximum(own - RARE_PAIR, 0) / of_context[context] if len(own) else own
+        direct = np.maximum(own - discount(own), 0) / of_context[context] if len(own) else own
         back = 1 - np.bincount(context, weights=direct, minlength=size + 1)
-        model["classes"].append({"p": p, "back": np.append(back, 1.0), "direct": direct[kept]})
+        model["classes"].append({"p": p, "back": np.append(back, 1.0), "direct": direct})
     return model
 
 
 def ratios(words: Words, model: dict, vocabulary: pa.Array) -> np.ndarray:
-    """log p(word | toxic) - log p(word | ordinary) of every word."""
+    """log p(word | toxic) - log p(word | ordinary) of every word, each level as far as its counts can be trusted."""
     ids, names = words.ids()
     size = len(vocabulary)
     known = pc.index_in(names, value_set=vocabulary).fill_null(size).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -96,11 +123,12 @@ def ratios(words: Words, model: dict, vocabulary: pa.Array) -> np.ndarray:
     if len(model["key"]):
         at = np.minimum(np.searchsorted(model["key"], key), len(model["key"]) - 1)
         hit = model["key"][at] == key
-    out = np.zeros(len(ids))
-    for sign, c in zip((1, -1), model["classes"]):
-        p = c["back"][context] * c["p"][after]
-        p[hit] += c["direct"][at[hit]]
-        out += sign * np.log(p)
+    toxic, ordinary = model["classes"]
+    out = model["trust_word"][after] * np.log(toxic["p"] / ordinary["p"])[after]
+    at, context, after = at[hit], context[hit], after[hit]
+    pair = [np.log(c["direct"][at] + c["back"][context] * c["p"][after]) for c in (toxic, ordinary)]
+    trust = model["trust"][at]
+    out[hit] = trust * (pair[0] - pair[1]) + (1 - trust) * out[hit]
     return out
 
 
