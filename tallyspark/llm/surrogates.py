@@ -1,16 +1,22 @@
 r"""PII surrogates (5): keyed, type-consistent replacements for personal data. DataFrame functions only.
 
 One pattern finds e-mail addresses, phone numbers, IPv4 addresses, card numbers, social security numbers and
-names after a title. The distinct entities of all texts get surrogates from a keyed SHA-256: letters become
-letters and digits digits of the same script and case in the same format; an e-mail's domain follows the domain
-alone, so addresses of one domain stay together; a valid card number stays valid (Luhn); an IPv4 address stays
-one; names are built from syllables of their script, with an ending that matches the title's gender.
+names after a title. An entity is known by a canonical key: the lower-cased e-mail address, the digits of a phone
+(with country code) or card number, each word of a name with the gender of its title. The distinct entities of
+all texts get surrogates from a keyed SHA-256: letters become letters and digits digits; an e-mail's domain
+follows the domain alone, so addresses of one domain stay together; a valid card number stays valid (Luhn); an
+IPv4 address stays one; names are built from syllables of their script, with an ending that matches the title's
+gender. Each mention is written in its own format: letter case, separators, title and number of names.
 
 Collision rounds preserve distinctness: a candidate is taken by one entity only and never equals an entity of
 the corpus; the others try again with the next attempt number, until none is left. One entity has one surrogate
-in all documents (coreference). Only entities and rows that have some are shuffled; other documents pass by.
+in all documents and spellings (coreference): "Mr Smith" and "Mr. John Smith" share the surrogate of "Smith", and
+a document's other mentions of a titled name's words, with or without the rest, are replaced by the same words. Only entities and rows that have some are shuffled; other documents pass by.
 A very frequent entity meets a table with one row for each entity, so its rows can be split freely.
 
+Names are found by a title only, in scripts with letter case; ``kinds`` counts what the pattern finds, not the
+untitled mentions.
+
 Defined results: null and empty texts stay; documents without entities stay as they are; null and repeated
 ids are rows like others; other columns stay.
 """
@@ -31,11 +37,17 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w.-])\d{3}-\d{3}-\d{4}(?![\w-])"
 SSN = r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
-CARD = r"(?<![\w.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4}(?![\w-])"
+CARD = (r"(?<![\w.-])(?:[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4}|3\d{3}[ -]?\d{6}[ -]?\d{4,5}"
+        r"|(?:222[1-9]|22[3-9]\d|2[3-6]\d{2}|27[01]\d|2720)(?:[ -]?\d{4}){3})(?![\w-])")
 NAME = r"(?<!\p{L})(?:" + "|".join(TITLES_M + TITLES_F) + r")\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?(?!\p{L})"
 KINDS = {"email": EMAIL, "phone": PHONE, "ssn": SSN, "ip": IPV4, "card": CARD, "name": NAME}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 
+#: Country codes of one and two digits; all others have three.
+COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+#: Starts the keys of names, which no text matched by a pattern has.
+MARK = "\x1f"
+
 #: Syllables of the scripts that names are built from.
 SYLLABLES = {
     "latin": "ba be da do fa ga ha jo ka la li ma mi na no pe ra ri sa ta te va vi za",
@@ -86,40 +98,98 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(reversed_, value), F.lit(0), lambda a, x: a + x) % 10
 
 
-def _card(value: Column, digest: Column) -> Column:
-    digits = F.regexp_replace(value, "[^0-9]", "")
-    swapped = F.concat(F.substr(value, F.lit(1), F.lit(1)),
-                       F.substr(_same_format(value, digest), F.lit(2), F.char_length(value)))
+def _digits(value: Column) -> Column:
+    return F.regexp_replace(value, "[^0-9]", "")
+
+
+def _card(digits: Column, digest: Column) -> Column:
+    # the first digit, and the whole prefix where only some of that digit are cards, stay
+    stay = F.when(digits.startswith("2"), 4).otherwise(1)
+    swapped = F.concat(F.substr(digits, F.lit(1), stay),
+                       F.substr(_same_format(digits, digest), stay + 1, F.char_length(digits)))
     body = F.substr(swapped, F.lit(1), F.char_length(swapped) - 1)
-    check = (10 - _luhn(F.concat(F.regexp_replace(body, "[^0-9]", ""), F.lit("0")))) % 10
+    check = (10 - _luhn(F.concat(body, F.lit("0")))) % 10
     return F.when(_luhn(digits) == 0, F.concat(body, check.cast("string"))).otherwise(swapped)
 
 
-def _phone(value: Column, digest: Column) -> Column:
-    lead = F.regexp_extract(value, r"^\+\d{1,3}(?=[ .-])", 0)
-    rest = F.substr(value, F.char_length(lead) + 1, F.char_length(value))
-    return F.concat(lead, _same_format(rest, digest))
+def _phone(digits: Column, digest: Column) -> Column:
+    lead = F.regexp_extract(digits, COUNTRY, 0)
+    return F.concat(lead, _same_format(F.substr(digits, F.char_length(lead) + 1, F.char_length(digits)), digest))
 
 
 def _name(value: Column, digest: Column, attempt: Column) -> Column:
-    title = F.regexp_extract(value, r"^\p{L}+\.?", 0)
-    female = F.regexp_replace(title, r"\.", "").isin(TITLES_F)
-    words = F.split(F.substr(value, F.char_length(title) + 2, F.char_length(value)), " ")
+    """The surrogate of one word of a name, by its key (``name_key``)."""
+    female, word = F.substr(value, F.lit(2), F.lit(1)) == "f", _plain(value)
 
-    def word(script: str, at: Column, last: Column) -> Column:
+    def built(script: str) -> Column:
         syllables = SYLLABLES[script].split()
         table = F.array(*[F.lit(s) for s in syllables])
         parts = F.transform(F.sequence(F.lit(0), 2 + attempt.cast("int")),
-                            lambda k: F.element_at(table, _byte(digest, at * 8 + k) % len(syllables) + 1))
+                            lambda k: F.element_at(table, _byte(digest, k) % len(syllables) + 1))
         m, f = ENDINGS[script]
-        ending = F.when(last, F.when(female, F.lit(f)).otherwise(F.lit(m))).otherwise(F.lit(""))
-        return F.initcap(F.concat(F.array_join(parts, ""), ending))
+        return F.initcap(F.concat(F.array_join(parts, ""), F.when(female, F.lit(f)).otherwise(F.lit(m))))
+
+    return F.when(word.rlike(r"^\p{IsCyrillic}"), built("cyrillic")) \
+        .when(word.rlike(r"^\p{IsGreek}"), built("greek")).otherwise(built("latin"))
+
+
+def _title(mention: Column) -> Column:
+    return F.regexp_extract(mention, r"^\p{L}+\.?", 0)
+
+
+def _names(mention: Column) -> Column:
+    """The words after the title."""
+    return F.split(F.substr(mention, F.char_length(_title(mention)) + 2, F.char_length(mention)), " ")
+
+
+def _gender(mention: Column) -> Column:
+    return F.when(F.regexp_replace(_title(mention), r"\.", "").isin(TITLES_F), "f").otherwise("m")
+
+
+def name_key(gender: Column, word: Column) -> Column:
+    return F.concat(F.lit(MARK), gender, word)
+
+
+def _plain(key: Column) -> Column:
+    """A key as it stands in a text: of a name's the word."""
+    return F.when(key.startswith(MARK), F.substr(key, F.lit(3), F.char_length(key))).otherwise(key)
 
-    def swap(w: Column, i: Column) -> Column:
-        return F.when(w.rlike(r"^\p{IsCyrillic}"), word("cyrillic", i, i == 0)) \
-            .when(w.rlike(r"^\p{IsGreek}"), word("greek", i, i == 0)).otherwise(word("latin", i, i == 0))
 
-    return F.concat(title, F.lit(" "), F.array_join(F.transform(words, swap), " "))
+def canonical(mention: Column, kind: Column) -> Column:
+    """The key all spellings of an entity share."""
+    national = F.when(mention.startswith("+"), "").otherwise("1")
+    return F.when(kind == "email", F.lower(mention)).when(kind == "card", _digits(mention)) \
+        .when(kind == "phone", F.concat(national, _digits(mention))).otherwise(mention)
+
+
+def _filled(mention: Column, digits: Column) -> Column:
+    """``mention`` with its digits replaced in order; more digits follow at the end."""
+
+    def fill(c: Column, i: Column) -> Column:
+        nth = F.char_length(_digits(F.substr(mention, F.lit(1), i + 1)))
+        return F.when(c.rlike("^[0-9]$"), F.substr(digits, nth, F.lit(1))).otherwise(c)
+
+    more = F.substr(digits, F.char_length(_digits(mention)) + 1, F.char_length(digits))
+    return F.concat(F.array_join(F.transform(F.split(mention, ""), fill), ""), more)
+
+
+def _cased(mention: Column, surrogate: Column) -> Column:
+    """``surrogate`` with capitals where ``mention`` has them, counted from the end."""
+    ahead = F.char_length(surrogate) - F.char_length(mention)
+
+    def case(c: Column, i: Column) -> Column:
+        upper = (i >= ahead) & F.substr(mention, F.greatest(i - ahead, F.lit(0)) + 1, F.lit(1)).rlike("^[A-Z]$")
+        return F.when(upper, F.upper(c)).otherwise(c)
+
+    return F.when(mention == F.lower(mention), surrogate).otherwise(
+        F.array_join(F.transform(F.split(surrogate, ""), case), ""))
+
+
+def rendered(mention: Column, kind: Column, surrogate: Column) -> Column:
+    """The surrogate of an entity in a mention's format."""
+    number = F.when(mention.startswith("+"), surrogate).otherwise(F.substr(surrogate, F.lit(2), F.char_length(surrogate)))
+    return F.when(kind == "email", _cased(mention, surrogate)).when(kind == "card", _filled(mention, surrogate)) \
+        .when(kind == "phone", _filled(mention, number)).otherwise(surrogate)
 
 
 def candidate(entity: Column, kind: Column, attempt: Column, key: str) -> Column:
@@ -146,21 +216,24 @@ def candidate(entity: Column, kind: Column, attempt: Column, key: str) -> Column
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
-    """(entity, kind, surrogate) for distinct entities: all surrogates differ, and none is an entity."""
-    entities = cut(entities.select("entity").distinct().withColumn("kind", kind_of(F.col("entity"))), "entities")
-    known = entities.select(F.col("entity").alias("surrogate"))
+    """(entity, kind, surrogate) for distinct keys of entities: all surrogates of a kind differ, and none is an
+    entity. Different kinds are never written alike."""
+    if "kind" not in entities.columns:
+        entities = entities.withColumn("kind", kind_of(F.col("entity")))
+    entities = cut(entities.select("entity", "kind").distinct(), "entities")
+    known = entities.select(_plain(F.col("entity")).alias("surrogate"), "kind").distinct()
     taken = None
     pending, attempt = entities, 0
     while attempt == 0 or not pending.isEmpty():
         offered = pending.withColumn("surrogate", candidate(F.col("entity"), F.col("kind"), F.lit(attempt), key))
-        free = offered.join(known, "surrogate", "left_anti")
+        free = offered.join(known, ["surrogate", "kind"], "left_anti")
         if taken is not None:
-            free = free.join(taken, "surrogate", "left_anti")
-        won = free.groupBy("surrogate").agg(F.min(F.struct("entity", "kind")).alias("w")) \
-            .select("w.entity", "w.kind", "surrogate")
+            free = free.join(taken, ["surrogate", "kind"], "left_anti")
+        won = free.groupBy("surrogate", "kind").agg(F.min("entity").alias("entity")) \
+            .select("entity", "kind", "surrogate")
         won = cut(won, "surrogates")
         taken = won if taken is None else taken.unionByName(won)
-        pending = cut(pending.join(won.select("entity"), "entity", "left_anti"), "pending")
+        pending = cut(pending.join(won.select("entity", "kind"), ["entity", "kind"], "left_anti"), "pending")
         attempt += 1
     return taken
 
@@ -180,18 +253,39 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
     hit = cut(docs.where(has).withColumn(found, entities_of(F.col(text))).withColumn(
         rid, F.monotonically_increasing_id()), "entity-documents")
-    each = hit.select(F.col(rid).alias("rid"), F.explode(F.array_distinct(found)).alias("entity"))
+    is_name = lambda e: e.rlike(f"^(?:{NAME})$")
+    words = F.flatten(F.transform(F.filter(found, is_name), lambda e: F.transform(
+        _names(e), lambda w: name_key(_gender(e), w))))
+    each = hit.select(F.col(rid).alias("rid"), F.explode(F.array_distinct(F.concat(
+        F.filter(found, lambda e: ~is_name(e)), words))).alias("mention"))
+    each = each.withColumn("kind", F.when(F.col("mention").startswith(MARK), "name").otherwise(kind_of(F.col("mention"))))
+    each = each.withColumn("entity", canonical(F.col("mention"), F.col("kind")))
     table = cut(surrogate_table(each, key), "surrogate-table")
     table = bounded_broadcast(table, table.limit(MAX_BROADCAST_ROWS + 1).count())
-    maps = each.join(table, "entity").groupBy("rid").agg(
-        F.collect_list(F.struct("entity", "kind", "surrogate")).alias("own")).withColumnRenamed("own", own)
+    maps = each.join(table, ["entity", "kind"]).withColumn(
+        "surrogate", rendered(F.col("mention"), F.col("kind"), F.col("surrogate"))).groupBy("rid").agg(
+        F.collect_list(F.struct("mention", "kind", "surrogate")).alias("own")).withColumnRenamed("own", own)
     joined = hit.join(maps, hit[rid] == maps["rid"]).drop(maps["rid"])
-    lookup = F.map_from_arrays(F.transform(own, lambda x: x["entity"]), F.transform(own, lambda x: x["surrogate"]))
-    kind_map = F.map_from_arrays(F.transform(own, lambda x: x["entity"]), F.transform(own, lambda x: x["kind"]))
+    lookup = F.map_from_arrays(F.transform(own, lambda x: x["mention"]), F.transform(own, lambda x: x["surrogate"]))
+    kind_map = F.map_from_arrays(F.transform(own, lambda x: x["mention"]), F.transform(own, lambda x: x["kind"]))
+    named = F.exists(own, lambda x: x["kind"] == "name")
+
+    def word(w: Column) -> Column:
+        known = [F.element_at(lookup, name_key(F.lit(g), w)) for g in "mf"]
+        return F.when(w.rlike(r"^\p{Lu}\p{Ll}+$"), F.coalesce(*known, w)).otherwise(w)
+
+    def untitled(piece: Column) -> Column:
+        return F.when(named, F.array_join(F.transform(F.split(piece, r"(?<=\p{L})(?!\p{L})|(?<!\p{L})(?=\p{L})"), word), "")) \
+            .otherwise(piece)
+
+    def titled(e: Column) -> Column:
+        return F.concat(_title(e), F.lit(" "), F.array_join(F.transform(
+            _names(e), lambda w: F.element_at(lookup, name_key(_gender(e), w))), " "))
+
     pieces = F.split(F.col(text), ANY, -1)
     new = F.transform(F.arrays_zip(pieces.alias("p"), F.col(found).alias("e")), lambda z: F.concat(
-        z["p"], F.coalesce(F.element_at(lookup, z["e"]), F.lit(""))))
-    seen = F.transform(found, lambda e: F.element_at(kind_map, e))
+        untitled(z["p"]), F.coalesce(F.element_at(lookup, z["e"]), titled(z["e"]), F.lit(""))))
+    seen = F.transform(found, lambda e: F.coalesce(F.element_at(kind_map, e), F.lit("name")))
     count = F.map_from_arrays(F.array(*[F.lit(k) for k in KINDS]), F.array(
         *[F.size(F.array_remove(F.transform(seen, _same(kind)), False)) for kind in KINDS]))
     replaced = joined.withColumn(kinds, F.map_filter(count, lambda k, v: v > 0)).withColumn(text, F.array_join(new, ""))
