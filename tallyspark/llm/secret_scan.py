@@ -54,7 +54,9 @@ PATTERNS = {
     "github": re.compile(r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])"),
     "npm": re.compile(r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"),
     "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+"),
-    "pem": re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY)-----[A-Za-z0-9+/=\s]*-----END \1-----"),
+    # header lines ("Name: value") may stand before the body; possessive, as no part can match otherwise
+    "pem": re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?)-----\s*+"
+                      r"(?:[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n\s*+)*+[A-Za-z0-9+/=\s]*+-----END \1-----"),
 }
 
 
