@@ -65,7 +65,7 @@ def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                         F.col("slot").cast("int").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+                         "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
