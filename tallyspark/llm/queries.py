@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import (byte_bpe, decontamination, language_model, quality_classifier, quality_rules, secret_scan,
+from tallyspark.llm import (binary_output, byte_bpe, decontamination, language_model, quality_classifier, quality_rules, secret_scan,
                             sharding, simhash, surrogates, toxicity)
 from tallyspark.llm.calibration import id_remainder
 
@@ -100,6 +100,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op12_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = binary_output.write_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return binary_output.digests(manifest)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op12_binary_output": op12_binary_output,
     "pipeline": pipeline,
 }
 
