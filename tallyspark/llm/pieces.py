@@ -10,6 +10,7 @@ places next to characters that share a first byte with Unicode spaces are not cu
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -69,10 +70,11 @@ class Pieces:
         cut[1:-1] = space[1:-1] & ~space[:-2] & _AFTER[raw[2:]]
         full = np.flatnonzero(np.diff(off))
         cut[off[full + 1] - 1] = False
-        cut[off[full]] = False
-        begin = np.union1d(np.flatnonzero(cut), off[full])
+        cut[off[full]] = True
+        begin = np.flatnonzero(cut)
         edge, kept = np.append(begin, len(raw)), raw
         if strip:
+            cut[off[full]] = False
             kept = raw[~cut]
             gone = np.zeros(len(raw) + 1, np.int64)
             np.cumsum(cut, out=gone[1:])
@@ -94,32 +96,39 @@ class Store:
 
     def __init__(self, make: Callable[[pa.Array], dict[str, Ragged]], most: int):
         self.make, self.most = make, most
-        self.names: pa.Array = pa.array([], pa.large_binary())
+        self.names, self.used = pa.array([], pa.large_binary()), np.zeros(0, np.int32)
         self.found: dict[str, Ragged] = {}
 
     def rows(self, names: pa.Array) -> np.ndarray:
         """The row of each of the distinct names in ``found``; new names are made first."""
         if len(self.names) > self.most:
-            self.names, self.found = pa.array([], pa.large_binary()), {}
+            self._forget()
         at = pc.index_in(names, value_set=self.names)
         new = names.filter(at.is_null())
+        place = at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         if len(new):
             made = self.make(new)
             self.found = {k: self.found[k].append(v) for k, v in made.items()} if self.found else made
-            place = at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             place[place < 0] = len(self.names) + np.arange(len(new))
             self.names = pa.concat_arrays([self.names, new])
-            return place
-        return at.to_numpy(zero_copy_only=False).astype(np.int64)
+            self.used = np.append(self.used, np.zeros(len(new), np.int32))
+        self.used[place] += 1
+        return place
 
+    def _forget(self) -> None:
+        """Keep the pieces that more than one chunk had, unless they are too many as well."""
+        kept = np.flatnonzero(self.used > 1)
+        if len(kept) > self.most // 2:
+            kept = kept[:0]
+        self.names, self.used = self.names.take(pa.array(kept)), np.zeros(len(kept), np.int32)
+        self.found = {k: v.take(kept) for k, v in self.found.items()} if len(kept) else {}
 
-def library_ids(tokenizer, texts: list[str], step: int = 20_000) -> Ragged:
+
+def library_ids(tokenizer, texts: list[str], step: int = 10_000) -> Ragged:
     """Ids of the tokenizers library for each text."""
-    parts = [[e.ids for e in tokenizer.encode_batch_fast(texts[k:k + step], add_special_tokens=False)]
-             for k in range(0, len(texts), step)]
-    done = [Ragged.of(p, np.int64) for p in parts]
-    if not done:
-        return Ragged(np.empty(0, np.int64), np.zeros(1, np.int64))
-    edges = np.cumsum([0] + [d.edge[-1] for d in done])
-    return Ragged(np.concatenate([d.values for d in done]),
-                  np.concatenate([[0], *[d.edge[1:] + e for d, e in zip(done, edges)]]))
+    done, edge = [np.empty(0, np.int64)], np.zeros(len(texts) + 1, np.int64)
+    for at in range(0, len(texts), step):
+        rows = [e.ids for e in tokenizer.encode_batch_fast(texts[at:at + step], add_special_tokens=False)]
+        edge[at + 1:at + 1 + len(rows)] = [len(r) for r in rows]
+        done.append(np.array(list(chain.from_iterable(rows)), np.int64))
+    return Ragged(np.concatenate(done), np.cumsum(edge))
