@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import (binary_output, byte_bpe, decontamination, language_model, quality_classifier, quality_rules, secret_scan,
-                            sharding, simhash, surrogates, toxicity)
+from tallyspark.llm import (alignment, binary_output, byte_bpe, collocations, decontamination, language_model, oracles,
+                            quality_classifier, quality_rules, secret_scan, sharding, simhash, surrogates, toxicity)
 from tallyspark.llm.calibration import id_remainder
 
 
@@ -100,12 +100,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), max_words=3, least=10, share=50, top=2000)
+
+
 def op12_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = binary_output.write_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return binary_output.digests(manifest)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -123,8 +133,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
     "op12_binary_output": op12_binary_output,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
