@@ -33,7 +33,7 @@ from tallyspark.llm.storage import cut, release
 from tallyspark.llm.text import Words
 
 #: Text of a shard and text of a range, phrases sampled for each range, nodes united at once.
-SHARD_BYTES, RANGE_BYTES, SAMPLED, NODES = 16 << 20, 8 << 20, 64, 1_500_000
+SHARD_BYTES, RANGE_BYTES, SAMPLED, NODES = 8 << 20, 8 << 20, 64, 1_000_000
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -102,15 +102,17 @@ def sample_splitters(docs: DataFrame, parts: int, rows: int, max_words: int) ->
     wanted = SAMPLED * parts
 
     def pick(batches):
-        for lang, texts in _shards(batches, SHARD_BYTES):
+        for lang, texts in _shards(batches, SHARD_BYTES // 4):
             paths = count_phrases(lang, texts, max_words)
+            names = paths.names.to_pylist()
             each = max(1, min(SAMPLED, 2 * wanted // max(1, min(rows, wanted)))) * len(texts)
             for d in range(1, len(paths.levels)):
                 n = len(paths.levels[d][0])
                 nodes = np.unique(np.linspace(0, n - 1, min(n, -(-each // max_words))).astype(np.int64)) if n else np.empty(0, np.int64)
-                names = paths.names.to_pylist()
                 found = [[names[s] for s in row if s >= 0] for row in automata.rows_of(paths, d, nodes, max_words + 1).tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.binary()))], names=["path"])
+            del paths, names
+            release()
 
     some = docs.sample(False, min(1.0, wanted / max(1, rows)), seed=11)
     found = sorted({tuple(r[0]) for r in some.mapInArrow(pick, "path array<binary>").collect()})
