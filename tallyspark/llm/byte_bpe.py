@@ -1,18 +1,20 @@
 r"""Byte-level BPE encoding and decoding (4) with DuckDB recursive queries inside the tasks.
 
-A text is cut into matches of the tokenizer's pattern. Each task gathers the distinct matches of its texts,
-and a recursive query contracts them: token-position rows meet the merge table, and each word's leftmost pair
-of least rank becomes one row, until no pair is left. An ordered aggregation then joins the bytes of each word's tokens; a text
-decodes to its words' bytes in order. Ids from elsewhere are cut before tokens that begin with a space (any cut
-decodes alike) and joined by the same aggregation.
+A text is cut into pieces (``pieces.py``) and these into matches of the tokenizer's pattern. Each task gathers the
+distinct matches of its texts, and a recursive query contracts them: token-position rows meet the merge table, and
+each word's leftmost pair of least rank becomes one row, until no pair is left. An ordered aggregation then joins the
+bytes of each word's tokens; a text decodes to its words' bytes in order. Ids from elsewhere are cut before tokens
+that begin with a space (any cut decodes alike) and joined by the same aggregation.
 
 The merge table comes from the rank file (two tokens merge if their joined bytes are a token), about 50,000
-ranks, broadcast after a check of its size. Matches already encoded and decoded stay in a bounded cache of the worker
-process, which only saves time. No shuffle; a lost task starts again from its own rows.
+ranks, broadcast after a check of its size. Pieces and matches already encoded stay in bounded stores of the worker
+process, which only save time. No shuffle; a lost task starts again from its own rows.
 
-Long words run in a second query that contracts all separate pairs of the least rank at once. That gives the
-same tokens unless the merged token could start a pair of a still lower rank; such tokens are known from the
-rank file and are contracted one by one. Its depth is bounded by memory; the outer loop goes on to the fixpoint.
+Words over ``SHORT`` bytes are contracted in blocks of that size, and the seams between blocks mended: a row of
+tokens is a word's encoding exactly if each two neighbours, contracted by themselves, stay these two tokens (a first
+merge across the border of two such neighbours would also happen in the contraction of the two alone). So each seam
+is tested by a contraction of its two tokens; where it does not hold, the tokens around it are contracted again
+together, and the borders of that window become seams. The work grows with the length of the word.
 
 Defined results: null and empty texts have no tokens and decode to no bytes; ids outside the vocabulary raise;
 other columns, null ids and repeated rows stay as they are.
@@ -21,31 +23,29 @@ other columns, null ids and repeated rows stay as they are.
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
-import re
 from collections.abc import Callable
+from itertools import chain
 
 import duckdb
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from tallyspark.llm.pieces import Pieces, Ragged, Store
 from tallyspark.llm.storage import fresh, of_process, release
 from tallyspark.llm.text import chunks
 
 #: Entries that a rank file may have at most to be broadcast.
 MAX_RANKS = 1_000_000
-#: Texts handled together, words contracted together (bytes), longest word of the plain query, cache entries.
-TEXT_BYTES, WORD_BYTES, SHORT, KEPT = 4 << 20, 200_000, 48, 300_000
-#: Rows that the long-word query may gather before it starts anew from where it is.
-LONG_ROWS = 1_500_000
-
-#: A space inside a run of white space: where it is absent, cutting before each space keeps all matches.
-_INNER_SPACE = re.compile(r"\s (?!\S)")
+#: Texts handled together, words contracted together (bytes), longest word of the plain query, entries of a store.
+TEXT_BYTES, WORD_BYTES, SHORT, KEPT = 8 << 20, 600_000, 64, 500_000
+#: Tokens before a seam that are contracted again with it, rounds in which all seams of a word are mended at once.
+BEFORE, ROUNDS = 4, 4
 
 _CONTRACT = """
 WITH RECURSIVE state(w, p, t, q, n, m, best) AS (
@@ -71,30 +71,6 @@ WITH RECURSIVE state(w, p, t, q, n, m, best) AS (
 SELECT w, p, t FROM state WHERE best IS NULL ORDER BY w, p
 """
 
-_CONTRACT_LONG = """
-WITH RECURSIVE state(w, p, t, n, depth, m, alone, best) AS (
-    SELECT *, min(CASE WHEN m IS NOT NULL THEN m::BIGINT * 4294967296 + p END) OVER (PARTITION BY w)
-    FROM (SELECT a.*, k.m, k.alone
-          FROM (SELECT w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS n, 0 AS depth FROM tokens) a
-          LEFT JOIN merges k ON k.l = a.t AND k.r = a.n)
-    UNION ALL
-    SELECT *, min(CASE WHEN m IS NOT NULL THEN m::BIGINT * 4294967296 + p END) OVER (PARTITION BY w) FROM (
-        SELECT a.*, k.m, k.alone
-        FROM (SELECT w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS n, depth + 1 AS depth
-              FROM (SELECT w, p, depth, CASE WHEN chosen THEN m ELSE t END AS t,
-                           lag(chosen, 1, false) OVER (PARTITION BY w ORDER BY p) AS gone
-                    FROM (SELECT *, pair AND (p = best & 4294967295 OR (NOT alone AND (t <> n OR
-                                    row_number() OVER (PARTITION BY w, pair, i - nth ORDER BY p) % 2 = 1))) AS chosen
-                          FROM (SELECT *, row_number() OVER (PARTITION BY w, pair ORDER BY p) AS nth
-                                FROM (SELECT *, coalesce(m = best >> 32, false) AS pair,
-                                             row_number() OVER (PARTITION BY w ORDER BY p) AS i
-                                      FROM state WHERE best IS NOT NULL AND depth < {most}))))
-              WHERE NOT gone) a
-        LEFT JOIN merges k ON k.l = a.t AND k.r = a.n)
-)
-SELECT w, p, t, best IS NULL AS done FROM state WHERE best IS NULL OR depth = {most} ORDER BY w, p
-"""
-
 _JOIN_BYTES = """
 SELECT string_agg(v.hex, '' ORDER BY k.p) AS hex FROM pieces k JOIN vocabulary v ON v.t = k.t GROUP BY k.w ORDER BY k.w
 """
@@ -109,53 +85,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-class Kept:
-    """A bounded cache of two generations: ids and decoded bytes by match, in one bytes object each."""
-
-    def __init__(self, most: int = KEPT):
-        self.most, self.new, self.old = most, {}, {}
-
-    def get(self, key: str) -> tuple[bytes, bytes] | None:
-        got = self.new.get(key)
-        if got is None:
-            got = self.old.get(key)
-            if got is None:
-                return None
-            self._add(key, got)
-        edge = 4 * got[0] + 1
-        return got[1:edge], got[edge:]
-
-    def put(self, key: str, ids: bytes, joined: bytes) -> None:
-        if len(ids) < 4 * 256:
-            self._add(key, bytes([len(ids) // 4]) + ids + joined)
-
-    def _add(self, key: str, value: bytes) -> None:
-        if len(self.new) >= self.most:
-            self.old, self.new = self.new, {}
-        self.new[key] = value
-
-
 class Codec:
     """The merge table and vocabulary in DuckDB, for the texts of one worker process."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, kept: int = KEPT):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.kept = Kept(kept)
-        rows, alone = [], set()
+        self.tokens = {r: t for t, r in ranks.items()}
+        self.matches, self.pieces = Store(self._coded_matches, kept), Store(self._coded_pieces, kept)
+        rows = []
         for token, rank in ranks.items():
             for k in range(1, len(token)):
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     rows.append((a, b, rank))
-                    alone.update(x for x in (a, b) if x > rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         table = np.array(rows, np.int32).reshape(-1, 3)
-        merges = pa.table({"l": table[:, 0], "r": table[:, 1], "m": table[:, 2],
-                           "alone": np.isin(table[:, 2], np.fromiter(alone, np.int32, len(alone)))})
-        vocabulary = pa.table({"t": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]})
-        self._load("merges", merges)
-        self._load("vocabulary", vocabulary)
+        self._load("merges", pa.table({"l": table[:, 0], "r": table[:, 1], "m": table[:, 2]}))
+        self._load("vocabulary", pa.table({"t": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
         spaces = np.zeros(max(ranks.values()) + 1, bool)
         spaces[[r for t, r in ranks.items() if t[:1] == b" "]] = True
         self.begins = spaces
@@ -172,149 +119,157 @@ class Codec:
         finally:
             self.db.unregister(name)
 
-    def contract(self, words: list[bytes]) -> list[bytes]:
-        """The ids (int32, little-endian) of each word."""
-        out: list[bytes] = [b""] * len(words)
-        part: list[int] = []
-        long: list[int] = []
-        size = 0
+    def contract(self, words: list[bytes]) -> Ragged:
+        """The ids of each word."""
+        whole, at, short, long = [], [], [], []
         for k, word in enumerate(words):
-            whole = self.ranks.get(word)
-            if whole is not None:
-                out[k] = whole.to_bytes(4, "little")
+            rank = self.ranks.get(word)
+            if rank is not None:
+                whole.append(rank)
+                at.append(k)
             elif len(word) > SHORT:
                 long.append(k)
             elif word:
-                part.append(k)
-                size += len(word)
-                if size >= WORD_BYTES:
-                    self._short(words, part, out)
-                    part, size = [], 0
-        if part:
-            self._short(words, part, out)
-        if long:
-            for k, ids in zip(long, self._long([words[k] for k in long])):
-                out[k] = ids
+                short.append(k)
+        # words of a length end together, so that no round runs for a few words only
+        short.sort(key=lambda k: len(words[k]))
+        parts = self._contracted([words[k] for k in short])
+        w = [np.array(at, np.int64), np.repeat(np.array(short, np.int64), parts.lengths())]
+        ids = [np.array(whole, np.int32), parts.values]
+        for k, found in zip(long, self._long([words[k] for k in long])):
+            w.append(np.full(len(found), k))
+            ids.append(found)
+        w, ids = np.concatenate(w), np.concatenate(ids)
+        return Ragged(ids[np.argsort(w, kind="stable")], np.searchsorted(np.sort(w), np.arange(len(words) + 1)))
+
+    def _contracted(self, words: list[bytes]) -> Ragged:
+        """The ids that merges alone make of each word."""
+        lens = np.array([len(x) for x in words], np.int64)
+        upto = np.concatenate([[0], np.cumsum(lens)])
+        raw = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        ids, n, at = [np.empty(0, np.int32)], np.zeros(len(words) + 1, np.int64), 0
+        while at < len(words):
+            to = max(at + 1, int(np.searchsorted(upto, upto[at] + WORD_BYTES, "right")) - 1)
+            w = np.repeat(np.arange(to - at, dtype=np.int32), lens[at:to])
+            p = np.arange(len(w)) - np.repeat(upto[at:to] - upto[at], lens[at:to])
+            got = self._query(_CONTRACT, "tokens", pa.table({"w": w, "p": p.astype(np.int32), "t": raw[upto[at]:upto[to]]}))
+            ids.append(np.asarray(got["t"], np.int32))
+            n[at + 1:to + 1] = np.bincount(got["w"], minlength=to - at)
+            at = to
+        return Ragged(np.concatenate(ids), np.cumsum(n))
+
+    def _long(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of words of any length: blocks, and their seams mended until all hold."""
+        if not words:
+            return []
+        cut = [[x[k:k + SHORT] for k in range(0, len(x), SHORT)] for x in words]
+        blocks = {b: None for c in cut for b in c}
+        found = self._contracted(list(blocks))
+        ids_of = {b: found.values[x:y] for b, x, y in zip(blocks, found.edge[:-1].tolist(), found.edge[1:].tolist())}
+        out, seams = [], []
+        for c in cut:
+            parts = [ids_of[b] for b in c]
+            out.append(np.concatenate(parts))
+            seams.append(np.cumsum([len(p) for p in parts])[:-1].tolist())
+        holds: dict[tuple[int, int], bool] = {}
+        turn, reach, left = 0, [BEFORE] * len(words), [-1] * len(words)
+        while any(seams):
+            pairs = {(int(ids[i - 1]), int(ids[i])): None for ids, own in zip(out, seams) for i in own}
+            new = [p for p in pairs if p not in holds]
+            if new:
+                tested = self._contracted([self.tokens[a] + self.tokens[b] for a, b in new])
+                for p, x, y in zip(new, tested.edge[:-1].tolist(), tested.edge[1:].tolist()):
+                    holds[p] = tuple(tested.values[x:y].tolist()) == p
+            windows: list[list[tuple[int, int]]] = []
+            for k, (ids, own) in enumerate(zip(out, seams)):
+                open_ = [i for i in own if not holds[int(ids[i - 1]), int(ids[i])]]
+                # a shift that runs through the word is followed from its start, else all shifts would move at once
+                mended = open_ if turn < ROUNDS else open_[:1]
+                # a window that began too late begins earlier, twice as far each time
+                reach[k] = reach[k] * 2 if open_[:1] == [left[k]] else BEFORE
+                spans: list[tuple[int, int]] = []
+                for i in mended:
+                    a, b, size = max(0, i - reach[k]), i, 0
+                    while b < len(ids) and size < SHORT:
+                        size += len(self.tokens[int(ids[b])])
+                        b += 1
+                    if spans and a <= spans[-1][1]:
+                        a = spans.pop()[0]
+                    spans.append((a, b))
+                seams[k] = [i for i in open_ if not any(a < i < b for a, b in spans)]
+                windows.append(spans)
+            texts = [b"".join(self.tokens[t] for t in out[k][a:b].tolist()) for k, spans in enumerate(windows) for a, b in spans]
+            made = self._contracted(texts)
+            at = 0
+            for k, spans in enumerate(windows):
+                if not spans:
+                    continue
+                ids, parts, places, last, shift = out[k], [], [], 0, 0
+                moved = []
+                for a, b in spans:
+                    new_ids = made.values[made.edge[at]:made.edge[at + 1]]
+                    at += 1
+                    parts += [ids[last:a], new_ids]
+                    moved.append((b, len(new_ids) - (b - a)))
+                    places += [a + shift, a + shift + len(new_ids)]
+                    shift += len(new_ids) - (b - a)
+                    last = b
+                left[k] = places[0]
+                parts.append(ids[last:])
+                out[k] = np.concatenate(parts)
+                seams[k] = sorted({i for i in [*_shifted(seams[k], moved), *places] if 0 < i < len(out[k])})
+            turn += 1
         return out
 
-    def _short(self, words: list[bytes], part: list[int], out: list[bytes]) -> None:
-        lens = np.array([len(words[k]) for k in part])
-        raw = np.frombuffer(b"".join(words[k] for k in part), np.uint8)
-        w = np.repeat(np.arange(len(part), dtype=np.int32), lens)
-        p = (np.arange(len(raw)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32)
-        got = self._query(_CONTRACT, "tokens", pa.table({"w": w, "p": p, "t": self.byte_ids[raw]}))
-        ids = np.ascontiguousarray(got["t"], "<i4").tobytes()
-        edge = (np.searchsorted(got["w"], np.arange(len(part) + 1)) * 4).tolist()
-        for k, a, b in zip(part, edge, edge[1:]):
-            out[k] = ids[a:b]
-
-    def _long(self, words: list[bytes]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(words)
-        lens = np.array([len(x) for x in words])
-        w = np.repeat(np.arange(len(words), dtype=np.int32), lens)
-        t = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-        while len(w):
-            sql = _CONTRACT_LONG.format(most=max(4, LONG_ROWS // len(w)))
-            got = self._query(sql, "tokens", pa.table({"w": w, "p": np.arange(len(w), dtype=np.int32), "t": t}))
-            done, w, t = got["done"].astype(bool), got["w"], np.ascontiguousarray(got["t"], "<i4")
-            for k in np.unique(w[done]).tolist():
-                a, b = np.searchsorted(w, [k, k + 1])
-                out[k] = t[a:b].tobytes()
-            w, t = w[~done], t[~done]
+    def _coded_matches(self, names: pa.Array) -> dict[str, Ragged]:
+        ids = self.contract(names.to_pylist())
+        return {"ids": ids, "bytes": self._joined(ids)}
+
+    def _coded_pieces(self, names: pa.Array) -> dict[str, Ragged]:
+        split = self.pattern.findall
+        parts = [split(x) for x in names.cast(pa.large_string()).to_pylist()]
+        edge = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        coded = pa.array(list(chain.from_iterable(parts)), pa.large_string()).cast(pa.large_binary()).dictionary_encode()
+        rows = self.matches.rows(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        out = {}
+        for name in ("ids", "bytes"):
+            own = self.matches.found[name].take(rows) if len(rows) else Ragged(np.empty(0, np.int32), np.zeros(1, np.int64))
+            out[name] = Ragged(own.values, own.edge[edge])
         return out
 
     def encode(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-        """The ids of a chunk of texts (flat, and where each text's ids begin) and the decoded bytes.
-
-        Texts are cut before each space into pieces, and distinct pieces into matches of the pattern.
-        """
-        texts = arr.to_pylist()
-        whole = [not t or _INNER_SPACE.search(t) is not None for t in texts]
-        plain = pa.array(["" if w else t for t, w in zip(texts, whole)], pa.large_string()) if any(whole) else arr
-        lists = pc.split_pattern(plain, " ")
-        off = lists.offsets.to_numpy().astype(np.int64)
-        flat = lists.values.slice(off[0], off[-1] - off[0])
-        off = off - off[0]
-        coded = flat.dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        first = off[:-1]
-        rest = np.ones(len(codes), bool)
-        rest[first] = False
-        used = np.zeros(len(coded.dictionary), bool)
-        used[codes[rest]] = True
-
-        split, known = self.pattern.findall, {}
-        new: dict[str, str] = {}
-        parts: dict[int, list[str]] = {}
-
-        def look(match: str) -> str:
-            # a match after a space is kept without it; no piece has a space, so other keys can't clash
-            key = match[1:] if match[0] == " " and len(match) > 1 and " " not in match[1:] else f" {match}"
-            if key not in known and key not in new:
-                got = self.kept.get(key)
-                if got is None:
-                    new[key] = match
-                else:
-                    known[key] = got
-            return key
-
-        names = coded.dictionary.to_pylist()
-        for k in np.flatnonzero(used).tolist():
-            name = names[k]
-            got = self.kept.get(name)
-            if got is not None:
-                known[name] = got
-            else:
-                parts[k] = [look(m) for m in split(f" {name}")]
-        heads = [[look(m) for m in split((t or "") if w else names[c])]
-                 for t, w, c in zip(texts, whole, codes[first].tolist())]
-        words = [m.encode() for m in new.values()]
-        ids = self.contract(words)
-        for key, got, joined in zip(new, ids, self.join(ids)):
-            known[key] = got, joined
-            if len(joined) <= SHORT:
-                self.kept.put(key, got, joined)
-        none = (b"", b"")
-        values = [none] * len(names)
-        for k in np.flatnonzero(used).tolist():
-            if k in parts:
-                found = [known[key] for key in parts[k]]
-                values[k] = found[0] if len(found) == 1 else (b"".join([f[0] for f in found]), b"".join([f[1] for f in found]))
-            else:
-                values[k] = known[names[k]]
-        for h in heads:
-            found = [known[key] for key in h]
-            values.append((b"".join([f[0] for f in found]), b"".join([f[1] for f in found])))
-        codes[first] = len(names) + np.arange(len(texts))
-        take = pa.array(codes)
-
-        def gathered(side: int) -> tuple[np.ndarray, np.ndarray]:
-            _, edge, data = pa.array([v[side] for v in values], pa.large_binary()).take(take).buffers()
-            edge = np.frombuffer(edge, np.int64)[: len(codes) + 1][off]
-            return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), edge
-
-        raw, edge = gathered(0)
-        decoded, at = gathered(1)
-        return raw[: edge[-1]].view("<i4"), edge // 4, pa.Array.from_buffers(
-            pa.large_binary(), len(texts), [None, pa.py_buffer(np.ascontiguousarray(at)), pa.py_buffer(decoded)])
+        """The ids of a chunk of texts (flat, and where each text's ids begin) and the decoded bytes."""
+        p = Pieces(arr, strip=False)
+        if not len(p.codes):
+            return np.empty(0, np.int32), np.zeros(len(arr) + 1, np.int64), pa.array([b""] * len(arr), pa.large_binary())
+        rows = self.pieces.rows(p.names)[p.codes]
+        ids, whole = self.pieces.found["ids"].take(rows), self.pieces.found["bytes"]
+        names = pa.Array.from_buffers(pa.large_binary(), len(whole), [
+            None, pa.py_buffer(np.ascontiguousarray(whole.edge)), pa.py_buffer(np.ascontiguousarray(whole.values))])
+        _, edge, data = names.take(pa.array(rows)).buffers()
+        edge = np.ascontiguousarray(np.frombuffer(edge, np.int64)[: len(rows) + 1][p.first])
+        return ids.values, ids.edge[p.first], pa.Array.from_buffers(pa.large_binary(), len(arr), [None, pa.py_buffer(edge), data])
+
+    def _joined(self, ids: Ragged) -> Ragged:
+        """The bytes of each row of ids, by the ordered aggregation."""
+        n = ids.lengths()
+        hexes, size, at = [], np.zeros(len(ids) + 1, np.int64), 0
+        while at < len(ids):
+            to = max(at + 1, int(np.searchsorted(ids.edge, ids.edge[at] + 2 * WORD_BYTES, "right")) - 1)
+            t = np.asarray(ids.values[ids.edge[at]:ids.edge[to]], np.int32)
+            w = np.repeat(np.arange(to - at, dtype=np.int32), n[at:to])
+            got = self._query(_JOIN_BYTES, "pieces", pa.table({"w": w, "p": np.arange(len(t), dtype=np.int32), "t": t}))["hex"].tolist()
+            hexes += got
+            size[at + 1 + np.flatnonzero(n[at:to])] = [len(x) // 2 for x in got]
+            at = to
+        return Ragged(np.frombuffer(bytes.fromhex("".join(hexes)), np.uint8), np.cumsum(size))
 
     def join(self, pieces: list[bytes]) -> list[bytes]:
         """The bytes of each piece of ids (int32, little-endian)."""
-        out: list[bytes] = []
-        at = 0
-        while at < len(pieces):
-            part, size = [], 0
-            while at < len(pieces) and size < 8 * WORD_BYTES:
-                part.append(pieces[at])
-                size += len(pieces[at])
-                at += 1
-            lens = np.array([len(p) // 4 for p in part])
-            t = np.frombuffer(b"".join(part), "<i4")
-            w = np.repeat(np.arange(len(part), dtype=np.int32), lens)
-            got = self._query(_JOIN_BYTES, "pieces", pa.table({"w": w, "p": np.arange(len(t), dtype=np.int32), "t": t}))
-            hexes = iter(got["hex"])
-            out += [bytes.fromhex(next(hexes)) if n else b"" for n in lens.tolist()]
-        return out
+        edge = np.concatenate([[0], np.cumsum([len(p) // 4 for p in pieces])]).astype(np.int64)
+        raw = self._joined(Ragged(np.frombuffer(b"".join(pieces), "<i4"), edge))
+        whole = raw.values.tobytes()
+        return [whole[a:b] for a, b in zip(raw.edge[:-1].tolist(), raw.edge[1:].tolist())]
 
     def decode(self, rows: list[np.ndarray]) -> list[bytes]:
         """The bytes of each id row."""
@@ -334,6 +289,16 @@ class Codec:
         return [b"".join(map(known, c)) for c in cut]
 
 
+def _shifted(places: list[int], moved: list[tuple[int, int]]) -> list[int]:
+    """Places after windows that end at the given positions have become longer or shorter by the given numbers."""
+    ends, by = [b for b, _ in moved], np.cumsum([d for _, d in moved]).tolist()
+    out = []
+    for i in places:
+        k = bisect.bisect_right(ends, i)
+        out.append(i + (by[k - 1] if k else 0))
+    return out
+
+
 class Tokenizer:
     """Encoding and decoding columns for one rank file and pattern.
 
