@@ -33,7 +33,10 @@ from tallyspark.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
 TITLES_M = ["Mr", "Herr", "Señor", "Sr", "Monsieur", "Don", "Господин", "Κύριος"]
 TITLES_F = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Doña", "Госпожа", "Κυρία"]
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: A run of these characters is looked at once, from its start; local parts have at most 256 characters (mail allows
+#: 64), domains at most 126 labels before the last (names allow 127), so no text makes the search deep or long.
+EMAIL = (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]{1,256}+@"
+         r"(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}")
 PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w.-])\d{3}-\d{3}-\d{4}(?![\w-])"
 SSN = r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
