@@ -53,12 +53,17 @@ PATTERNS = {
     "access": re.compile(r"AKIA[A-Z0-9]+"),
     "github": re.compile(r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])"),
     "npm": re.compile(r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"),
-    "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+"),
-    # header lines ("Name: value") may stand before the body; possessive, as no part can match otherwise
+    # header lines ("Name: value", up to 32 of 200 characters) may stand before the body; possessive, as no part can
+    # match otherwise
     "pem": re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?)-----\s*+"
-                      r"(?:[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n\s*+)*+[A-Za-z0-9+/=\s]*+-----END \1-----"),
+                      r"(?:[A-Za-z][A-Za-z0-9-]{0,60}+:[^\n]{0,200}+\n\s*+){0,32}+[A-Za-z0-9+/=\s]*+-----END \1-----"),
 }
 
+#: A signed token: its header is the end of a run of base-64 characters; payload and signature follow.
+_RUN, _REST = re.compile(r"[A-Za-z0-9_-]+"), re.compile(r"\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
+#: Longest header of a signed token.
+HEADER = 4096
+
 
 def base62_crc(body: str) -> str:
     """CRC32 of ``body`` as six base-62 digits."""
@@ -84,11 +89,34 @@ def valid(kind: str, m: re.Match) -> bool:
         return len(m[0]) >= 16
     if kind in ("github", "npm"):
         return base62_crc(m[1][:30]) == m[1][30:]
-    if kind == "jwt":
-        return _json_object(m[1]) and _json_object(m[2])
     return True
 
 
+def signed_tokens(text: str, starts: list[int]):
+    """(start, end) of the signed tokens that begin at some of the sorted starts.
+
+    A run is read once for all starts inside it, and what follows it once; so long runs of starts cost no more.
+    """
+    done, end, rest = 0, -1, None
+    for start in starts:
+        if start < done:
+            continue
+        if start >= end:
+            m, rest = _RUN.match(text, start), None
+            if m is None:
+                continue
+            end = m.end()
+        if not 4 <= end - start <= HEADER or not text.startswith(".", end) or not text.startswith("eyJ", start) \
+                or not _json_object(text[start:end]):
+            continue
+        if rest is None:
+            m = _REST.match(text, end)
+            rest = m.end() if m and _json_object(m[1]) else 0
+        if rest:
+            yield start, rest
+            done = rest
+
+
 def keyword_automaton() -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
     for kind, words in KEYWORDS.items():
@@ -113,6 +141,9 @@ def chunk_spans(arr: pa.Array, automaton) -> list[list[tuple[str, int, int]]]:
             hits.setdefault((d, kind), []).append(start - int(doc_chars[d]))
     for (d, kind), starts in hits.items():
         text, done = arr[d].as_py(), 0
+        if kind == "jwt":
+            out[d] += [(kind, *span) for span in signed_tokens(text, sorted(starts))]
+            continue
         for start in sorted(starts):
             if start >= done and (m := PATTERNS[kind].match(text, start)):
                 # a failed checksum does not take the place of a later match
