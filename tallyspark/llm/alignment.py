@@ -36,7 +36,7 @@ from tallyspark.llm.storage import cut, fresh, of_process, release
 from tallyspark.llm.text import chunks, per_doc
 
 #: Text of a chunk, pieces that a worker keeps aligned, pairs expanded at once, pieces of documents handled at once.
-TEXT_BYTES, KEPT, PAIRS, STEP = 16 << 20, 300_000, 2_000_000, 300_000
+TEXT_BYTES, KEPT, PAIRS, STEP = 8 << 20, 200_000, 2_000_000, 150_000
 #: Marks of the written groups.
 COMMA, BAR, END, NONE = (pa.scalar(x, pa.large_string()) for x in (",", "|", ";", ""))
 #: Columns that every document gets, in order.

@@ -243,12 +243,9 @@ class Codec:
         if not len(p.codes):
             return np.empty(0, np.int32), np.zeros(len(arr) + 1, np.int64), pa.array([b""] * len(arr), pa.large_binary())
         rows = self.pieces.rows(p.names)[p.codes]
-        ids, whole = self.pieces.found["ids"].take(rows), self.pieces.found["bytes"]
-        names = pa.Array.from_buffers(pa.large_binary(), len(whole), [
-            None, pa.py_buffer(np.ascontiguousarray(whole.edge)), pa.py_buffer(np.ascontiguousarray(whole.values))])
-        _, edge, data = names.take(pa.array(rows)).buffers()
-        edge = np.ascontiguousarray(np.frombuffer(edge, np.int64)[: len(rows) + 1][p.first])
-        return ids.values, ids.edge[p.first], pa.Array.from_buffers(pa.large_binary(), len(arr), [None, pa.py_buffer(edge), data])
+        ids, joined = (self.pieces.found[name].take(rows) for name in ("ids", "bytes"))
+        return ids.values, ids.edge[p.first], pa.Array.from_buffers(
+            pa.large_binary(), len(arr), [None, pa.py_buffer(joined.edge[p.first]), pa.py_buffer(joined.values)])
 
     def _joined(self, ids: Ragged) -> Ragged:
         """The bytes of each row of ids, by the ordered aggregation."""

@@ -50,8 +50,17 @@ class Ragged:
         return np.repeat(self.edge[rows] - edge[:-1], n) + np.arange(edge[-1]), edge
 
     def take(self, rows: np.ndarray) -> Ragged:
-        at, edge = self.positions(rows)
-        return Ragged(self.values[at], edge)
+        if self.values.ndim > 1 or not len(self):
+            at, edge = self.positions(rows)
+            return Ragged(self.values[at], edge)
+        # as byte strings, which Arrow copies row by row
+        size, kind = self.values.itemsize, self.values.dtype
+        whole = pa.Array.from_buffers(pa.large_binary(), len(self), [
+            None, pa.py_buffer(np.ascontiguousarray(self.edge * size)), pa.py_buffer(np.ascontiguousarray(self.values))])
+        _, edge, data = whole.take(pa.array(rows)).buffers()
+        edge = np.frombuffer(edge, np.int64)[:len(rows) + 1] if len(rows) else np.zeros(1, np.int64)
+        values = np.frombuffer(data, np.uint8)[:edge[-1]] if data is not None else np.empty(0, np.uint8)
+        return Ragged(values.view(kind), edge // size)
 
     def append(self, other: Ragged) -> Ragged:
         return Ragged(np.concatenate([self.values, other.values]),
