@@ -87,16 +87,8 @@ def stream(spark, sources_dir: str, warehouse: str, model: str, p: Params, landi
 
 def test(spark, warehouse: str):
     wh = pipeline.Warehouse(warehouse)
-    suite = []
     keys = {**pipeline.UNIQUE_KEYS, **{f"tx_per_block_{s}": blocks.BLOCK_KEYS
                                        for s in ("merge", "delete_insert", "append")}}
-    for m, k in keys.items():
-        if not table_exists(spark, wh.path(m)):
-            continue
-        df = read_stored(spark, wh.path(m))
-        suite.append(checks.Check(f"unique_combination_{'_'.join(k)}", m, checks.check_unique_combination(df, k)))
-        for c in k:
-            suite.append(checks.Check(f"not_null_{c}", m, checks.check_not_null(df, c)))
     # accepted values: what the fee mapping and the staking branch can produce
     from tallyspark.sources.mapping import MAPPING_ROWS
     fee_types = sorted({r[1] for r in MAPPING_ROWS} | {"staking"})
@@ -106,15 +98,14 @@ def test(spark, warehouse: str):
         "staking_revenue": {"fee_source": ["native", "jito"]},
         "unified_revenue": {"type": fee_types},
     }
-    for m, cols in accepted.items():
-        if not table_exists(spark, wh.path(m)):
-            continue
-        df = read_stored(spark, wh.path(m))
-        for c, values in cols.items():
-            suite.append(checks.Check(f"accepted_values_{c}", m, checks.check_accepted_values(df, c, values)))
-    if not suite:
-        return []
-    return [r.asDict() for r in checks.run_checks(suite).collect()]
+    suite = []
+    for m, k in keys.items():
+        if table_exists(spark, wh.path(m)):
+            found = {f"unique_combination_{'_'.join(k)}": checks.Unique(tuple(k))}
+            found |= {f"not_null_{c}": checks.NotNull(c) for c in k}
+            found |= {f"accepted_values_{c}": checks.Accepted(c, tuple(v)) for c, v in accepted.get(m, {}).items()}
+            suite.append(checks.TableChecks(m, read_stored(spark, wh.path(m)), found))
+    return [r.asDict() for r in checks.check_tables(suite).collect()] if suite else []
 
 
 def main(argv=None) -> int:

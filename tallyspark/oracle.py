@@ -380,6 +380,34 @@ WHERE c_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM event_users WHERE user
 ) s""", []),
     "Q7": ("""SELECT 'product_revenue' AS model, (SELECT count(*) FROM product_revenue) AS full_rows,
        (SELECT count(*) FROM product_revenue) AS incremental_rows, CAST(0 AS BIGINT) AS n_diff""", []),
+    "Q6_wide": ("""SELECT *, failing_rows = 0 AS passed FROM (
+    SELECT 'unique_combination_orderkey_linenumber' AS check_name, 'lineitem' AS table_name,
+           (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)) AS failing_rows
+    UNION ALL
+    SELECT 'unique_partkey', 'lineitem', (SELECT count(*) FROM (
+        SELECT 1 FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY l_partkey HAVING count(*) > 1))
+    UNION ALL
+    SELECT 'not_null_shipdate', 'lineitem', (SELECT count(*) FROM lineitem WHERE l_shipdate IS NULL)
+    UNION ALL
+    SELECT 'accepted_values_returnflag', 'lineitem',
+           (SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N'))
+    UNION ALL
+    SELECT 'accepted_values_linestatus', 'lineitem',
+           (SELECT count(DISTINCT l_linestatus) FROM lineitem WHERE l_linestatus NOT IN ('O', 'F'))
+    UNION ALL
+    SELECT 'relationships_suppkey', 'lineitem', (SELECT count(*) FROM lineitem WHERE l_suppkey IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_suppkey % 2 = 0))
+) s""", []),
+    "Q7_multi": ("""WITH one AS (
+    SELECT date_trunc('day', ts) AS day, event_type, value FROM events
+), two AS (
+    SELECT date_trunc('day', ts) AS day, event_type,
+           CASE WHEN event_type = 'click' THEN floor(value) ELSE value END AS value
+    FROM (SELECT * FROM events WHERE event_id % 97 <> 0 UNION ALL SELECT * FROM events WHERE event_id % 89 = 0)
+)
+SELECT 'events_by_day' AS model, (SELECT count(*) FROM one) AS full_rows, (SELECT count(*) FROM two) AS incremental_rows,
+       (SELECT count(*) FROM (SELECT * FROM one EXCEPT ALL SELECT * FROM two))
+     + (SELECT count(*) FROM (SELECT * FROM two EXCEPT ALL SELECT * FROM one)) AS n_diff""", []),
     "M1": ("SELECT * FROM product_revenue", ["usd_price", "amount", "usd_amount"]),
     "M2": ("SELECT * FROM epoch_info", []),
     "M3": ("SELECT * FROM staking_native", ["amount_sol"]),

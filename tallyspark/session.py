@@ -66,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
-    if not d and not sc.master.startswith("local"):
+    if not d and not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyspark-ckpt-"))

@@ -3,9 +3,9 @@
 Plain parquet has no row-level MERGE/DELETE, so upserts are expressed as
 relational plans over the touched partitions:
 
-* the batch's partition values (one per day in a lookback window) select the
-  target partitions to read; the rest of the table is neither read nor
-  rewritten;
+* the batch's partition values (one per day in a lookback window) are met with
+  the table's partition directories; only the touched directories are read and
+  listed, the rest of the table is neither read nor rewritten;
 * the batch is staged once to the shared checkpoint folder (it is read by
   the conflict check, the partition list and the merge), cutting its lineage
   to the sources;
@@ -27,6 +27,7 @@ with columns that the table lacks is an error.
 
 from __future__ import annotations
 
+import re
 import uuid
 from urllib.parse import unquote
 from collections.abc import Callable, Sequence
@@ -100,6 +101,23 @@ def _swap_ready(spark: SparkSession, ready: str, path: str) -> None:
 MANIFEST = "_manifest"
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all; one of the same name is replaced."""
+    fs, to, jvm = _fs(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(to.getParent(), f"_{to.getName()}.draft")
+    stream = fs.create(draft, True)
+    stream.write(text.encode())
+    stream.close()
+    fs.delete(to, False)
+    if not fs.rename(draft, to):
+        raise IOError(f"could not write {path}")
+
+
+def literal_path(uri: str) -> str:
+    """A file's URI as a path that is read as it stands: decoded, without pattern characters."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
+
+
 def _files(fs, root) -> list:
     out, it = [], fs.listFiles(root, True)
     while it.hasNext():
@@ -134,21 +152,14 @@ def _move_in(spark: SparkSession, staged: str, path: str) -> None:
     fs.delete(root, True)
 
 
-def _replace_partitions(scope: DataFrame, merged: DataFrame, path: str, partition_by: Sequence[str],
-                        sort_within: Sequence[str] | None, as_dealt: bool = False) -> str:
-    """Replace the files that ``scope`` reads by the rows of ``merged`` (``as_dealt``: keep its partitioning)."""
-    spark = merged.sparkSession
+def _bring_in(new: DataFrame, old: Sequence[str], path: str, partition_by: Sequence[str] | None,
+              sort_within: Sequence[str] | None = None, as_dealt: bool = False) -> str:
+    """Add the rows of ``new`` to the table in place of the files ``old`` (``as_dealt``: keep its partitioning)."""
+    spark = new.sparkSession
     staged = f"{path}.__part-{uuid.uuid4().hex[:8]}"
-    old = [r[0] for r in scope.select(F.col("_metadata.file_path")).distinct().collect()]
-    writer = merged.write.partitionBy(*partition_by) if as_dealt else _writer(merged, partition_by, sort_within)
+    writer = new.write.partitionBy(*partition_by) if as_dealt else _writer(new, partition_by, sort_within)
     writer.parquet(staged)
-    fs, root, jvm = _fs(spark, staged)
-    draft = jvm.org.apache.hadoop.fs.Path(root, f"{MANIFEST}.draft")
-    stream = fs.create(draft)
-    stream.write("\n".join(old).encode())
-    stream.close()
-    if not fs.rename(draft, jvm.org.apache.hadoop.fs.Path(root, MANIFEST)):
-        raise IOError(f"could not write the manifest of {staged}")
+    write_text(spark, f"{staged}/{MANIFEST}", "\n".join(old))
     _move_in(spark, staged, path)
     spark.catalog.refreshByPath(path)
     return path
@@ -205,42 +216,75 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     return path
 
 
-#: Partitions of a batch that become a literal filter of the target scan; more are joined.
-MAX_LITERAL_PARTITIONS = 1000
+#: The directory value of a NULL partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _partition_dirs(spark: SparkSession, path: str, depth: int) -> list[tuple[str, tuple]]:
+    """(directory, its partition values as texts, None for NULL) of a table with ``depth`` partition columns."""
+    fs, root, _ = _fs(spark, path)
+    found = [(root, ())]
+    for _ in range(depth):
+        deeper = []
+        for d, values in found:
+            for st in fs.listStatus(d):
+                name = st.getPath().getName()
+                if st.isDirectory() and "=" in name and not name.startswith(("_", ".")):
+                    value = unquote(name.split("=", 1)[1])
+                    deeper.append((st.getPath(), (*values, None if value == NULL_PARTITION else value)))
+        found = deeper
+    return [(str(d), values) for d, values in found]
 
 
-def _in_partitions(target: DataFrame, parts: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target restricted to the partitions ``parts`` names; NULL is a partition like others.
+def _touched_dirs(spark: SparkSession, path: str, parts: DataFrame, partition_by: Sequence[str]) -> list[str]:
+    """The table's partition directories whose values are among the rows of ``parts`` (NULL is a value like others).
 
-    The distinct partition values of a batch are few (one per day of a
-    lookback window), so they become a literal filter that the scan resolves
-    as a partition filter. More than ``MAX_LITERAL_PARTITIONS`` are semi
-    joined, null-safe, and never come to the driver.
+    The directory names, cast to the columns' types, are met with the distinct values in Spark, so neither the
+    number of values nor how a name is written matters, and no row of the table is read.
     """
-    parts = parts.select(*partition_by).distinct()
-    rows = parts.limit(MAX_LITERAL_PARTITIONS + 1).collect()
-    if len(rows) > MAX_LITERAL_PARTITIONS:
-        named = parts.select(*[F.col(c).alias(f"_p_{c}") for c in partition_by])
-        cond = None
-        for c in partition_by:
-            same = target[c].eqNullSafe(named[f"_p_{c}"])
-            cond = same if cond is None else cond & same
-        return target.join(named, cond, "left_semi")
-    first = partition_by[0]
-    values = {r[0] for r in rows}
-    some = [v for v in values if v is not None]
-    cond = F.col(first).isin(some) if some else F.lit(False)
-    if None in values:
-        cond = cond | F.col(first).isNull()
-    if len(partition_by) > 1:
-        each = F.lit(False)
-        for r in rows:
-            one = F.lit(True)
-            for c, v in zip(partition_by, r):
-                one = one & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
-            each = each | one
-        cond = cond & each
-    return target.where(cond)
+    dirs = _partition_dirs(spark, path, len(partition_by))
+    if not dirs:
+        return []
+    names = [f"_p_{c}" for c in partition_by]
+    listed = spark.createDataFrame([(i, *values) for i, (_, values) in enumerate(dirs)],
+                                   ", ".join(["_dir int", *[f"`{n}` string" for n in names]]))
+    named, cond = parts.select(*partition_by).distinct(), None
+    for c, n in zip(partition_by, names):
+        same = listed[n].cast(parts.schema[c].dataType).eqNullSafe(named[c])
+        cond = same if cond is None else cond & same
+    return [dirs[i][0] for (i,) in listed.join(named, cond, "left_semi").select("_dir").collect()]
+
+
+def _read_dirs(spark: SparkSession, path: str, dirs: Sequence[str], schema: StructType) -> DataFrame:
+    """The rows of some partition directories of a table, in the declared column order."""
+    if not dirs:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*dirs).select(*schema.fieldNames())
+
+
+def _files_of(spark: SparkSession, dirs: Sequence[str]) -> list[str]:
+    """Data files below the directories, as URIs (listed, not read)."""
+    out = []
+    for d in dirs:
+        fs, root, _ = _fs(spark, d)
+        out += [str(f.toUri()) for f in _files(fs, root)]
+    return out
+
+
+def _first_file(fs, root) -> str | None:
+    it = fs.listFiles(root, True)
+    while it.hasNext():
+        p = it.next().getPath()
+        if not p.getName().startswith(("_", ".")):
+            return str(p)
+    return None
+
+
+def _stored_schema(spark: SparkSession, path: str) -> StructType:
+    """The columns of a stored table, from one of its files."""
+    fs, root, _ = _fs(spark, path)
+    one = _first_file(fs, root)
+    return spark.read.option("basePath", path).parquet(one).schema if one else read_stored(spark, path).schema
 
 
 def _aligned(batch: DataFrame, stored: StructType, path: str) -> DataFrame:
@@ -275,7 +319,7 @@ def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str
     recover(spark, path)
     if not table_exists(spark, path):
         return write_table(batch, path, partition_by, sort_within)
-    batch = _aligned(batch, read_stored(spark, path).schema, path)
+    batch = _aligned(batch, _stored_schema(spark, path), path)
     stage = None
     if check_conflicts or partition_by:
         # The batch is read more than once (conflict check, partition list,
@@ -283,14 +327,18 @@ def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str
         # recompute it from upstream.
         batch, stage = _stage(batch, None, "batch-stage")
     try:
-        target = scope = read_stored(spark, path, batch.schema)
+        dirs = []
         if partition_by:
             parts = batch.select(*partition_by)
             if not set(partition_by) <= set(keys):
                 # a matched row may lie in another partition than its new version
-                parts = parts.unionByName(target.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+                whole = read_stored(spark, path, batch.schema)
+                parts = parts.unionByName(whole.join(batch.select(*keys).distinct(), list(keys), "left_semi")
                                           .select(*partition_by))
-            scope = _in_partitions(target, parts, partition_by)
+            dirs = _touched_dirs(spark, path, parts, partition_by)
+            scope = _read_dirs(spark, path, dirs, batch.schema)
+        else:
+            scope = read_stored(spark, path, batch.schema)
         if check_conflicts:
             # repeated batch keys are rare; only if there are any does the target matter
             twice = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
@@ -298,9 +346,9 @@ def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str
                 bad = upsert.merge_conflicts(scope, batch, keys, target_pred).limit(1).collect()
                 if bad:
                     raise ValueError(f"merge: several batch rows match one target row for key {bad[0].asDict()}")
-        merged = upsert.merge(scope, batch, keys, target_pred)
+        merged = upsert.merge(scope, batch, keys, target_pred) if dirs or not partition_by else batch
         if partition_by:
-            return _replace_partitions(scope, merged, path, partition_by, sort_within)
+            return _bring_in(merged, _files_of(spark, dirs), path, partition_by, sort_within)
         return write_table(merged, path, partition_by, sort_within)
     finally:
         _drop_stage(spark, stage)
@@ -328,22 +376,24 @@ def write_append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Seq
                      partition_by: Sequence[str] | None = None, target_pred: Column | None = None) -> str:
     """K5: append only batch rows whose key is not in the target window (first write wins).
 
-    The new rows are staged before the append, so the anti join never reads
-    files that the same job adds. Replaying the same batch appends nothing.
+    The new rows are written beside the table and come in by a manifest without old files: a writer that died is
+    rolled forward, so a batch is never there in part. Replaying the same batch appends nothing.
     """
     recover(spark, path)
     if not table_exists(spark, path):
         return write_table(batch, path, partition_by)
-    batch = _aligned(batch, read_stored(spark, path).schema, path)
-    target = read_stored(spark, path, batch.schema)
-    if partition_by and set(partition_by) <= set(keys):
-        target = _in_partitions(target, batch, partition_by)
-    new, stage = _stage(upsert.new_rows(target, batch, keys, target_pred), partition_by, "append-stage")
+    batch = _aligned(batch, _stored_schema(spark, path), path)
+    stage = None
     try:
-        _writer(new, partition_by, None).mode("append").parquet(path)
+        if partition_by and set(partition_by) <= set(keys):
+            batch, stage = _stage(batch, None, "append-stage")
+            target = _read_dirs(spark, path, _touched_dirs(spark, path, batch, partition_by), batch.schema)
+        else:
+            target = read_stored(spark, path, batch.schema)
+        new = upsert.new_rows(target, batch, keys, target_pred)
+        return _bring_in(new.select(*batch.columns), [], path, partition_by)
     finally:
         _drop_stage(spark, stage)
-    return path
 
 
 # ---------------------------------------------------------------- K10
@@ -365,25 +415,20 @@ def partition_stats(spark: SparkSession, path: str, depth: int,
     """(partition values) -> (data files, bytes) from the file system.
 
     Directory names are listed once; ``keep`` picks partitions by their values
-    before any per-partition size call, so a post-write compaction looks only
-    at the partitions it just wrote.
+    (texts, ``NULL_PARTITION`` for NULL) before any per-partition size call, so a
+    post-write compaction looks only at the partitions it just wrote.
     """
-    fs, root, _ = _fs(spark, path)
-    dirs = [(root, ())]
-    for _ in range(depth):
-        nxt = []
-        for d, vals in dirs:
-            for st in fs.listStatus(d):
-                name = st.getPath().getName()
-                if st.isDirectory() and "=" in name and not name.startswith(("_", ".")):
-                    nxt.append((st.getPath(), vals + (unquote(name.split("=", 1)[1]),)))
-        dirs = nxt
-    out = {}
-    for d, vals in dirs:
-        if keep is not None and not keep(vals):
-            continue
-        cs = fs.getContentSummary(d)
-        out[vals] = (int(cs.getFileCount()), int(cs.getLength()))
+    return {values: stats for _, values, stats in _stats(spark, path, depth, keep)}
+
+
+def _stats(spark, path, depth, keep) -> list[tuple[str, tuple, tuple[int, int]]]:
+    fs, _, jvm = _fs(spark, path)
+    out = []
+    for d, values in _partition_dirs(spark, path, depth):
+        values = tuple(NULL_PARTITION if v is None else v for v in values)
+        if keep is None or keep(values):
+            cs = fs.getContentSummary(jvm.org.apache.hadoop.fs.Path(d))
+            out.append((d, values, (int(cs.getFileCount()), int(cs.getLength()))))
     return out
 
 
@@ -409,35 +454,26 @@ def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None =
             return 0
         write_table(df.repartition(max(1, -(-size // target_file_bytes))), path)
         return 1
-    stats = partition_stats(spark, path, len(partition_by), keep)
-    plan = [(*v, max(1, -(-size // target_file_bytes))) for v, (n, size) in stats.items() if n >= min_files]
-    plan = [r for r in plan if stats[r[:-1]][0] > r[-1]]
+    plan, at, rows = [], 0, []
+    for d, values, (n, size) in _stats(spark, path, len(partition_by), keep):
+        parts = max(1, -(-size // target_file_bytes))
+        if n >= min_files and n > parts:
+            plan.append(d)
+            rows.append((*[None if v == NULL_PARTITION else v for v in values], parts, at))
+            at += parts
     if not plan:
         return 0
-    # one file for each (partition, part): numbered files, dealt by number
-    rows, at = [], 0
-    for r in plan:
-        rows.append((*[None if v == NULL_PARTITION else v for v in r[:-1]], r[-1], at))
-        at += r[-1]
+    # one file for each (partition, part): numbered files, each the task of its own number
     names = [f"_p_{c}" for c in partition_by]
-    layout = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names) + ", _parts long, _first long")
+    layout = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names) + ", _parts long, _first long")
     layout = bounded_broadcast(layout, len(rows))
+    scope = _read_dirs(spark, path, plan, df.schema)
     cond = None
     for c, n in zip(partition_by, names):
-        same = df[c].cast("string").eqNullSafe(layout[n])
+        same = scope[c].eqNullSafe(layout[n].cast(df.schema[c].dataType))
         cond = same if cond is None else cond & same
-    scope = _in_partitions(df, layout.select(*[F.col(n).cast(df.schema[c].dataType).alias(c)
-                                               for c, n in zip(partition_by, names)]), partition_by)
     part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_parts"))
-    numbered = scope.join(layout, cond).withColumn("_file", F.col("_first") + part)
-    dealt = numbered.repartitionByRange(at, "_file").select(*df.columns)
-    return _compacted(scope, dealt, path, partition_by, len(plan))
-
-
-#: The directory value of a NULL partition.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _compacted(scope: DataFrame, dealt: DataFrame, path: str, partition_by: Sequence[str], n: int) -> int:
-    _replace_partitions(scope, dealt, path, partition_by, None, as_dealt=True)
-    return n
+    numbered = scope.join(layout, cond).withColumn("_file", (F.col("_first") + part).cast("int"))
+    dealt = numbered.repartitionById(at, "_file").select(*df.columns)
+    _bring_in(dealt, _files_of(spark, plan), path, partition_by, as_dealt=True)
+    return len(plan)

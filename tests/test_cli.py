@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tallyspark import cli
 from tallyspark.functions.numeric import round_doubles
 from tallyspark.operators import checks

@@ -226,7 +226,7 @@ def test_per_source_cutoff(spark):
 
 
 def test_models_as_sql_views(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from tallyspark.plans.views import register_views
     from tallyspark.sources.fixtures import load_sources
     s = load_sources(spark, SF_SMALL)

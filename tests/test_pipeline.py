@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tallyspark.functions.numeric import round_doubles
 from tallyspark.functions.time import ts_lit
 from tallyspark.operators import checks

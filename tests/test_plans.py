@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tallyspark import catalog
 from tallyspark.operators import upsert
 from tallyspark.params import TEST_PARAMS as P

@@ -1,5 +1,7 @@
 """Scratch location: taken from the session, set locally only when the cluster names none."""
 
+import pytest
+
 from tallyspark import session
 
 
@@ -9,29 +11,40 @@ def test_scratch_uses_session_checkpoint_dir(spark):
     assert session.scratch_dir(spark, "x").startswith(base.rstrip("/") + "/tables/x-")
 
 
-def test_unset_checkpoint_dir_falls_back_without_modifying_conf(spark, monkeypatch):
-    class Conf:
-        def get(self, key, default=None):
-            return default
+class Conf:
+    def get(self, key, default=None):
+        return default
+
+
+class Context:
+    def __init__(self, master):
+        self.master, self.dir = master, None
+
+    def getConf(self):
+        return Conf()
 
-    class Ctx:
-        def __init__(self):
-            self.dir = None
+    def getCheckpointDir(self):
+        return self.dir
 
-        def getConf(self):
-            return Conf()
+    def setCheckpointDir(self, d):
+        self.dir = d
 
-        def getCheckpointDir(self):
-            return self.dir
 
-        def setCheckpointDir(self, d):
-            self.dir = d
+class FakeSpark:
+    conf = Conf()
 
-    class FakeSpark:
-        conf = Conf()
-        sparkContext = Ctx()
+    def __init__(self, master):
+        self.sparkContext = Context(master)
 
-    fake = FakeSpark()
+
+def test_unset_checkpoint_dir_falls_back_without_modifying_conf():
+    fake = FakeSpark("local[4]")
     d = session.ensure_checkpoint_dir(fake)
     assert d and fake.sparkContext.dir == d
     assert session.ensure_checkpoint_dir(fake) == d          # stable afterwards
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "k8s://https://host", "local-cluster[3,2,1024]"])
+def test_a_cluster_must_name_a_shared_folder(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(FakeSpark(master))
