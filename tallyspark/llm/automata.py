@@ -215,6 +215,39 @@ def unpack(block: bytes) -> Paths:
     return Paths(names, levels)
 
 
+def pack_levels(paths: Paths) -> bytes:
+    """The paths level by level as bytes, without looking for equal states: larger than ``pack``, and faster."""
+    used = np.unique(np.concatenate([np.empty(0, np.int64), *[x[1] for x in paths.levels]]))
+    names = paths.names.take(pa.array(used))
+    lengths = pc.binary_length(names).to_numpy(zero_copy_only=False) if len(names) else np.empty(0, np.int64)
+    parts = [struct.pack("<B", len(paths.levels)), _planes(lengths)]
+    for d, (parent, symbol, weight) in enumerate(paths.levels):
+        children = np.diff(paths.children(d - 1)) if d else np.array([len(parent)])
+        parts += [_planes(children), _planes(np.searchsorted(used, symbol)), _planes(weight)]
+    parts.append(b"".join(names.to_pylist()))
+    return zstandard.compress(b"".join(parts), 1)
+
+
+def unpack_levels(block: bytes) -> Paths:
+    raw = zstandard.decompress(block)
+    at = 1
+
+    def numbers() -> np.ndarray:
+        nonlocal at
+        width, n = struct.unpack_from("<BQ", raw, at)
+        plane = np.frombuffer(raw, np.uint8, width * n, at + 9).reshape(width, n)
+        at += 9 + width * n
+        return np.ascontiguousarray(plane.T).view(f"<u{width}").ravel().astype(np.int64)
+
+    lengths, levels = numbers(), []
+    for _ in range(raw[0]):
+        children, symbol, weight = numbers(), numbers(), numbers()
+        levels.append((np.repeat(np.arange(len(children)), children), symbol, weight))
+    edge = np.concatenate([[0], np.cumsum(lengths)])
+    names = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(edge), pa.py_buffer(raw[at:])])
+    return Paths(names, levels)
+
+
 def sorted_names(arrays: list[pa.Array]) -> tuple[pa.Array, list[np.ndarray]]:
     """Sorted distinct names of all arrays (byte order), and the place of each array's names."""
     coded = pa.concat_arrays([a.cast(pa.large_binary()) for a in arrays]).dictionary_encode()

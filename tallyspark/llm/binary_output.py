@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.pieces import Pieces, Ragged, Store, library_ids
-from tallyspark.llm.storage import cut, of_process, release, shared_dir
+from tallyspark.llm.storage import cut, file_system, of_process, release, shared_dir
 from tallyspark.llm.text import chunks
 
 #: Fixed values of the public formats: skippable frames, seek table footer.
@@ -114,15 +114,6 @@ class Reader:
         return np.flatnonzero(hit & (self.index["null"] == 0))
 
 
-def _opened(path: str):
-    """File system and path of an address; driver and executors use the same."""
-    import pyarrow.fs as fs
-
-    if "://" not in path:
-        path = f"file://{path.removeprefix('file:')}"
-    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-
-
 class Encoder:
     """Ids of whole texts by a file of the tokenizers library, distinct pieces once. The file is read on the driver."""
 
@@ -228,7 +219,7 @@ def write_documents(docs: DataFrame, path: str, end_id: int | None = None, folde
             return
         index, seek = np.concatenate(index), np.concatenate(seek)
         name = f"{folder}/ids-{part:06d}-{uuid.uuid4().hex}.zst"
-        fs, where = _opened(name)
+        fs, where = file_system(name)
         fs.create_dir(where.rsplit("/", 1)[0], recursive=True)
         with fs.open_output_stream(where, compression=None) as out:
             for x in file_bytes(frames, seek, index, width):
@@ -254,7 +245,7 @@ def read_documents(manifest: DataFrame, then, schema: str) -> DataFrame:
     def read(batches):
         for batch in batches:
             for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                fs, where = _opened(name)
+                fs, where = file_system(name)
                 with fs.open_input_file(where) as file:
                     r = Reader(file)
                     n = r.index["n"].astype(np.int64)
@@ -299,7 +290,7 @@ def pick_documents(manifest: DataFrame, docs: DataFrame, doc_id: str = "doc_id")
     def read(batches):
         for batch in batches:
             for name, d in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                fs, where = _opened(name)
+                fs, where = file_system(name)
                 with fs.open_input_file(where) as file:
                     r = Reader(file)
                     for k in r.rows_of(np.sort(np.array(d, np.int64))).tolist():

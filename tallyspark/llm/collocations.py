@@ -23,23 +23,19 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm import automata
 from tallyspark.llm.automata import Paths
+from tallyspark.llm.sequence_ranges import RANGE_BYTES, SHARD_BYTES, cells, sample_splitters, shards_of, texts_of, united
 from tallyspark.llm.storage import cut, release
 from tallyspark.llm.text import Words
 
-#: Text of a shard and text of a range, phrases sampled for each range, nodes united at once.
-SHARD_BYTES, RANGE_BYTES, SAMPLED, NODES = 8 << 20, 8 << 20, 64, 1_000_000
-
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _IN_WORD = ~_PIECE_END
 _IN_WORD[[0x20, 0x09]] = False
-_LANG, _TEXT = 0, 1
 
 
 def count_phrases(lang: pa.Array, texts: pa.Array, max_words: int) -> Paths:
@@ -69,75 +65,6 @@ def count_phrases(lang: pa.Array, texts: pa.Array, max_words: int) -> Paths:
     return Paths(names, levels)
 
 
-def _shards(batches, limit: int):
-    """(lang, texts) of about ``limit`` bytes, whole texts each."""
-    langs, texts, size = [], [], 0
-    for batch in batches:
-        lang = batch.column(_LANG).cast(pa.large_string())
-        text = batch.column(_TEXT).cast(pa.large_string()).fill_null("")
-        off = np.concatenate([[0], np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False))])
-        at = 0
-        while at < len(text):
-            to = max(at + 1, int(np.searchsorted(off, off[at] + limit - size, "right")) - 1)
-            langs.append(lang.slice(at, to - at))
-            texts.append(text.slice(at, to - at))
-            size += int(off[to] - off[at])
-            at = to
-            if size >= limit or (at < len(text)):
-                yield pa.concat_arrays(langs), pa.concat_arrays(texts)
-                langs, texts, size = [], [], 0
-    if texts:
-        yield pa.concat_arrays(langs), pa.concat_arrays(texts)
-
-
-def _cells(paths: Paths, splitters: list[list[bytes]]):
-    """(range, block) of each range that holds nodes of ``paths``."""
-    for r, (begin, end) in enumerate(automata.ranges(paths, splitters)):
-        if any(a < b for a, b in zip(begin, end)):
-            yield r, automata.pack(paths.slice(begin, end))
-
-
-def sample_splitters(docs: DataFrame, parts: int, rows: int, max_words: int) -> list[list[bytes]]:
-    """At most ``parts - 1`` sequences that cut the phrases of a sample into even ranges."""
-    wanted = SAMPLED * parts
-
-    def pick(batches):
-        for lang, texts in _shards(batches, SHARD_BYTES // 4):
-            paths = count_phrases(lang, texts, max_words)
-            names = paths.names.to_pylist()
-            each = max(1, min(SAMPLED, 2 * wanted // max(1, min(rows, wanted)))) * len(texts)
-            for d in range(1, len(paths.levels)):
-                n = len(paths.levels[d][0])
-                nodes = np.unique(np.linspace(0, n - 1, min(n, -(-each // max_words))).astype(np.int64)) if n else np.empty(0, np.int64)
-                found = [[names[s] for s in row if s >= 0] for row in automata.rows_of(paths, d, nodes, max_words + 1).tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.binary()))], names=["path"])
-            del paths, names
-            release()
-
-    some = docs.sample(False, min(1.0, wanted / max(1, rows)), seed=11)
-    found = sorted({tuple(r[0]) for r in some.mapInArrow(pick, "path array<binary>").collect()})
-    spots = sorted({len(found) * k // parts for k in range(1, parts)})
-    return [[bytes(s) for s in found[k]] for k in spots if 0 < k < len(found)]
-
-
-def _united(blocks) -> Paths | None:
-    """The union of many automata, a bounded number of nodes at a time."""
-    done, waiting, size = None, [], 0
-    for block in blocks:
-        waiting.append(automata.unpack(block))
-        size += len(waiting[-1])
-        if size > max(NODES, len(done) if done else 0):
-            done, waiting, size = automata.union([*([done] if done else []), *waiting]), [], 0
-    if waiting:
-        done = automata.union([*([done] if done else []), *waiting])
-    return done
-
-
-def _blocks(batches, k: int):
-    for batch in batches:
-        yield from batch.column(k).to_pylist()
-
-
 class Candidates:
     """Candidates of a range and the sequences whose counts they need."""
 
@@ -212,13 +139,17 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", max_wo
     docs = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(1, -(-int(size) // range_bytes))
-    splitters = sample_splitters(docs, parts, rows, max_words) if parts > 1 else []
+
+    def phrases(batch):
+        return count_phrases(batch.column("lang").cast(pa.large_string()), texts_of(batch, "text"), max_words)
+
+    splitters = sample_splitters(docs, parts, rows, "text", phrases) if parts > 1 else []
     parts = len(splitters) + 1
 
     def count(batches):
-        for langs, texts in _shards(batches, shard_bytes):
-            paths = count_phrases(langs, texts, max_words)
-            for r, block in _cells(paths, splitters):
+        for batch in shards_of(batches, shard_bytes, "text"):
+            paths = phrases(batch)
+            for r, block in cells(paths, splitters):
                 yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([block], pa.binary())], names=["range", "block"])
             del paths
             release()
@@ -233,15 +164,15 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", max_wo
                     r = k
                     yield block
 
-        whole = _united(blocks())
+        whole = united(blocks())
         if whole is not None:
             wanted = [whole.levels[0][2] > 0] + [x[2] >= least for x in whole.levels[1:]]
             block = automata.pack(whole.keep(wanted))
             yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([block], pa.binary())], names=["range", "block"])
         release()
 
-    cells = docs.mapInArrow(count, "range int, block binary")
-    counted = cut(cells.repartitionById(parts, "range").mapInArrow(unite, "range int, block binary"), "phrase-counts")
+    dealt = docs.mapInArrow(count, "range int, block binary")
+    counted = cut(dealt.repartitionById(parts, "range").mapInArrow(unite, "range int, block binary"), "phrase-counts")
 
     def ask(batches):
         for batch in batches:

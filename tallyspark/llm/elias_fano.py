@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 
 
@@ -105,8 +107,8 @@ class Level:
         self.pointers, self.words, self.codes, self.books = pointers, words, codes, books
 
     @classmethod
-    def of(cls, context: np.ndarray, word: np.ndarray, contexts: int, **numbers: np.ndarray) -> Level:
-        """``context``/``word`` sorted; ``numbers`` are quantised to 256 values each."""
+    def of(cls, context: np.ndarray, word: np.ndarray, contexts: int, codes: dict[str, np.ndarray], books: dict[str, np.ndarray]) -> Level:
+        """``context``/``word`` sorted; ``codes`` are places in ``books``, one for each entry and number."""
         count = np.bincount(context, minlength=contexts) if len(context) else np.zeros(contexts, np.int64)
         edge = np.concatenate([[0], np.cumsum(count)])
         last = np.zeros(contexts + 1, np.int64)
@@ -114,9 +116,6 @@ class Level:
         last[full + 1] = word[edge[full + 1] - 1]
         base = np.cumsum(last)[:-1]
         values = word + base[context] if len(word) else word
-        codes, books = {}, {}
-        for name, x in numbers.items():
-            codes[name], books[name] = quantise(x)
         return cls(EliasFano.of(edge), EliasFano.of(values), codes, books)
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -148,20 +147,41 @@ class Level:
     def number(self, name: str, at: np.ndarray) -> np.ndarray:
         return self.books[name][self.codes[name][at]]
 
-    def arrays(self) -> tuple:
-        return self.pointers.arrays(), self.words.arrays(), self.codes, self.books
+    def arrays(self, name: str) -> dict[str, np.ndarray]:
+        """Flat arrays by name, for ``saved``."""
+        out = {}
+        for part, e in (("pointers", self.pointers), ("words", self.words)):
+            n, width, low, high = e.arrays()
+            out |= {f"{name}.{part}.size": np.array([n, width]), f"{name}.{part}.low": low, f"{name}.{part}.high": high}
+        return out | {f"{name}.code.{k}": v for k, v in self.codes.items()}
 
     @classmethod
-    def load(cls, arrays: tuple) -> Level:
-        return cls(EliasFano(*arrays[0]), EliasFano(*arrays[1]), arrays[2], arrays[3])
-
-
-def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """8-bit codes and their code book: means of 256 bins with equally many values."""
-    if not len(x):
-        return np.empty(0, np.uint8), np.zeros(1)
-    cuts = np.unique(np.quantile(x, np.linspace(0, 1, 257)[1:-1]))
-    code = np.searchsorted(cuts, x, "left")
-    n = np.bincount(code, minlength=len(cuts) + 1)
-    book = np.bincount(code, weights=x, minlength=len(cuts) + 1) / np.maximum(n, 1)
-    return code.astype(np.uint8), book
+    def load(cls, arrays: dict[str, np.ndarray], name: str, books: dict[str, np.ndarray]) -> Level:
+        def sequence(part: str) -> EliasFano:
+            n, width = arrays[f"{name}.{part}.size"].tolist()
+            return EliasFano(n, width, arrays[f"{name}.{part}.low"], arrays[f"{name}.{part}.high"])
+
+        mark = f"{name}.code."
+        return cls(sequence("pointers"), sequence("words"), {k.removeprefix(mark): v for k, v in arrays.items() if k.startswith(mark)}, books)
+
+
+def saved(arrays: dict[str, np.ndarray]) -> list[bytes]:
+    """A file of arrays: a head that names them, then each one aligned to 64 bytes, so that it can be mapped."""
+    place, head, body = 0, {}, []
+    for name, x in arrays.items():
+        raw = np.ascontiguousarray(x).tobytes()
+        pad = -len(raw) % 64
+        head[name] = (x.dtype.str, place, len(x))
+        body += [raw, b"\0" * pad]
+        place += len(raw) + pad
+    text = json.dumps(head).encode()
+    text += b" " * (-(len(text) + 8) % 64)
+    return [len(text).to_bytes(8, "little"), text, *body]
+
+
+def mapped(data) -> dict[str, np.ndarray]:
+    """The arrays of a file, as views of its mapped bytes."""
+    raw = np.frombuffer(data, np.uint8)
+    size = int.from_bytes(raw[:8].tobytes(), "little")
+    head = json.loads(raw[8:8 + size].tobytes())
+    return {name: np.frombuffer(data, kind, n, 8 + size + place) for name, (kind, place, n) in head.items()}

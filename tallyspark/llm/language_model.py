@@ -1,280 +1,409 @@
-"""LM scoring (8): a back-off n-gram model in an Elias-Fano trie.
+"""LM scoring (8): a back-off n-gram model in Elias-Fano tries, one for each range of n-grams.
 
-Tokens are words (lower-cased A-Z, cut at ASCII white space) and one end token for each text. Unigrams are
-counted exactly for all words in Spark and smoothed by half a count; they stay a distributed table. An n-gram
-of two or three words enters the trie if its count reaches ``SHARE`` of all training tokens (one, in a small corpus):
-at most 1 / SHARE n-grams of a length can, which bounds the trie, its parts on the driver and the broadcast,
-whatever the corpus. Counting stays exact: an n-gram can only be frequent if its parts are, so each order
-counts only candidates whose parts were kept, over all training texts.
+Tokens are words (lower-cased A-Z, cut at ASCII white space) and one end token for each text; a start symbol stands
+before the first. Every n-gram of up to ``order`` symbols of every training text is counted, whatever its count and
+whatever the size of the corpus: tasks count shards of texts, and one exchange brings the sorted counts of each range
+together (``sequence_ranges.py``). Probabilities are interpolated with absolute discounts, estimated from the corpus
+(n1 / (n1 + 2 n2) for each order): p(w|h) = max(c(hw) - D, 0) / c(h) + D T(h) / c(h) p(w|h'), T(h) being the number of
+different followers of h, and unigrams smoothed by half a count; each context's distribution sums to one.
 
-Probabilities are absolutely discounted with back-off weights that make each context's distribution sum to
-one; they and the weights are quantised to 8 bits. The trie's levels are flat Elias-Fano arrays (monotone
-pointers, context-relative word ids) and are searched by successor queries inside the context's range, many at
-once. The levels are broadcast, as executors share no folder that could be mapped into memory.
+Each range's task writes its n-grams as trie levels below the shared folder: Elias-Fano pointers and context-relative
+words, discounted probabilities and back-off weights quantised to 8 bits by one fixed code book, unigram counts exact.
+Only contexts cut by a range border, at most ``order`` for each range, have their totals put together on the driver.
 
-Scoring reads each text once. Words in the broadcast vocabulary are scored in the task; the others (rare or
-unseen, each less frequent than SHARE) meet the unigram table in one shuffle join and their logarithms are
-added by row. Frequent words, the hot keys, are never shuffled.
+Scoring goes the same way back: a shard's distinct n-grams are sent to the task of their range, which maps the
+range's file into memory and finds them by successor search inside their context; the codes found return to a file
+for each shard. The shard's task adds up its documents from them. Texts are read once, and no task holds more than a
+shard or a range; what moves grows with the distinct n-grams.
 
 Defined results: null and empty texts are one end token; a null id counts as empty text for the hold-out; with
-no training text every probability is that of an unseen word; other columns stay.
+no training text every probability is that of an unseen word; an empty table gives no rows; other columns stay, and
+result columns are named apart from them.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.elias_fano import EliasFano, Level, quantise
-from tallyspark.llm.storage import cut, release
-from tallyspark.llm.text import NOT_SPACE, Words, chunks
-
-#: Least share of the training tokens for words of the vocabulary and n-grams of the trie.
-SHARE = 1e-7
-ORDER, DISCOUNT = 3, 0.75
-#: The end token; no word is empty.
-END = ""
-
-
-def _tokens(arr: pa.Array) -> tuple[Words, np.ndarray, pa.Array]:
-    words = Words(arr, NOT_SPACE, lower=True)
+from tallyspark.llm import automata
+from tallyspark.llm.alignment import _packed, _summed, _unpacked
+from tallyspark.llm.automata import Paths
+from tallyspark.llm.elias_fano import Level, mapped, saved
+from tallyspark.llm.sequence_ranges import RANGE_BYTES, SHARD_BYTES, cells, sample_splitters, shards_of, texts_of, united
+from tallyspark.llm.storage import cut, file_system, fresh, release, shared_dir
+from tallyspark.llm.text import NOT_SPACE, Words, per_doc
+
+#: Longest n-gram; nodes of queries that are looked up together.
+ORDER, LOOKED_UP = 2, 500_000
+#: The end token (no word is empty) and the start symbol (no word has a space).
+END, START = b"", b" "
+#: The code book of quantised probabilities: 0 is absent, code k stands for 10 ** (-(k - 1) * STEP).
+STEP = 0.04
+BOOK = np.concatenate([[0.0], 10.0 ** (-STEP * np.arange(255))])
+
+
+def quantised(p: np.ndarray) -> np.ndarray:
+    """8-bit codes of probabilities; 0 and less are absent."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        code = np.clip(np.rint(-np.log10(p) / STEP) + 1, 1, 255)
+    return np.where(p > 0, code, 0).astype(np.uint8)
+
+
+def ngrams(texts: pa.Array, order: int):
+    """All n-grams of the texts with their numbers; for each level the places where its n-grams begin (in the row of
+    all symbols) and their nodes; and where each text's symbols begin."""
+    words = Words(texts, NOT_SPACE, lower=True)
     ids, names = words.ids()
-    return words, ids, names
-
-
-def count_words(docs: DataFrame) -> DataFrame:
-    """(word, c) over all training texts (columns text, train), the end token included."""
+    names, (place, marks) = automata.sorted_names([names, pa.array([START, END], pa.large_binary())])
+    first = words.first + 2 * np.arange(words.n_docs + 1)
+    seq = np.empty(int(first[-1]), np.int64)
+    inside = np.ones(len(seq), bool)
+    seq[first[:-1]], seq[first[1:] - 1] = marks
+    inside[first[:-1]] = inside[first[1:] - 1] = False
+    seq[inside] = place[ids]
+    left = np.repeat(first[1:], np.diff(first)) - np.arange(len(seq))
+    at, node = np.arange(len(seq)), np.zeros(len(seq), np.int64)
+    levels, found = [], []
+    for k in range(order):
+        long = left[at] > k
+        at, node = at[long], node[long]
+        level, node = automata.distinct(node, seq[at + k], np.ones(len(at), np.int64), len(names))
+        levels.append(level)
+        found.append((at, node))
+    return Paths(names, levels), found, first
+
+
+def followers_of(paths: Paths, d: int) -> np.ndarray:
+    """How many n-grams of the next level begin with each node of level ``d``; prefixes of other ranges' are none."""
+    n = len(paths.levels[d][0])
+    if d + 1 == len(paths.levels):
+        return np.zeros(n, np.int64)
+    parent, _, weight = paths.levels[d + 1]
+    return np.bincount(parent[weight > 0], minlength=n)
+
+
+def fit(docs: DataFrame, order: int = ORDER, range_bytes: int = RANGE_BYTES, shard_bytes: int = SHARD_BYTES) -> dict:
+    """The model of the training texts (columns text, train): totals, splitters and the table of the ranges' files."""
+    train = docs.where("train").select("text")
+    rows, size = train.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-int(size) // range_bytes))
+
+    def counted(batch):
+        return ngrams(texts_of(batch, "text"), order)[0]
+
+    splitters = sample_splitters(train, parts, rows, "text", counted) if parts > 1 else []
+    parts = len(splitters) + 1
 
     def count(batches):
-        for batch in batches:
-            train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            texts = batch.column("text").filter(pa.array(train))
-            found, counts = [pa.array([END.encode()], pa.large_binary())], [np.array([len(texts)])]
-            for c in chunks(texts):
-                _, ids, names = _tokens(c)
-                found.append(names)
-                counts.append(np.bincount(ids, minlength=len(names)) if len(ids) else np.zeros(0, np.int64))
-            coded = pa.concat_arrays(found).dictionary_encode()
-            n = np.bincount(coded.indices.to_numpy(), weights=np.concatenate(counts)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(n)], names=["word", "n"])
+        for batch in shards_of(batches, shard_bytes, "text"):
+            for r, block in cells(counted(batch), splitters, automata.pack_levels):
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([block], pa.binary())], names=["range", "block"])
             release()
 
-    rows = docs.select("text", "train").mapInArrow(count, "word string, n bigint")
-    return rows.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
-
-
-class Vocabulary:
-    """Word ids of the broadcast vocabulary; ids by falling count."""
-
-    def __init__(self, names: pa.Array):
-        self.names, self.size = names, len(names)
-        end = pc.index(names, pa.scalar(END.encode(), pa.large_binary())).as_py()
-        self.end, self.start = end, self.size
-
-    def sequence(self, arr: pa.Array):
-        """Of a chunk: ids of all tokens with the ends (-1: not in the vocabulary), the place of each text's
-        first token (one more at the end), words, word ids inside the chunk, and their names."""
-        words, ids, names = _tokens(arr)
-        known = pc.index_in(names, value_set=self.names).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-        first = words.first + np.arange(words.n_docs + 1)
-        out = np.full(len(words) + words.n_docs, self.end, np.int64)
-        inside = np.ones(len(out), bool)
-        inside[first[1:] - 1] = False
-        out[inside] = known[ids]
-        return out, first, inside, ids, names
-
-    def before(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """The id before each token; the start symbol at a text's start."""
-        out = np.empty_like(ids)
-        out[1:] = ids[:-1]
-        out[first[:-1]] = self.start
-        return out
-
-
-def _packed(names: pa.Array) -> tuple:
-    return len(names), names.buffers()[1].to_pybytes(), (names.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
-
+    border = pa.struct([("depth", pa.int32()), ("path", pa.list_(pa.binary())), ("c", pa.int64()), ("followers", pa.int64())])
+    numbers = [f"{n}_{d}" for d in range(1, order) for n in ("once", "twice")]
+
+    def unite(batches):
+        r = None
+
+        def blocks():
+            nonlocal r
+            for batch in batches:
+                for k, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    r = k
+                    yield block
+
+        paths = united(blocks(), automata.unpack_levels)
+        if paths is None:
+            return
+        names = paths.names.to_pylist()
+        _, symbol, weight = paths.levels[0]
+        real = np.array([names[s] != START for s in symbol.tolist()], bool)
+        sums = {"tokens": int(weight[real].sum()), "kinds": int((weight[real] > 0).sum())}
+        for d in range(1, order):
+            sums |= {f"once_{d}": int((paths.levels[d][2] == 1).sum()), f"twice_{d}": int((paths.levels[d][2] == 2).sum())}
+        borders = []
+        for d in range(order - 1):
+            n, children = len(paths.levels[d][0]), followers_of(paths, d)
+            for k in sorted({0, n - 1} if n else set()):
+                (row,) = automata.rows_of(paths, d, np.array([k]), d + 1).tolist()
+                borders.append({"depth": d, "path": [names[s] for s in row], "c": int(paths.levels[d][2][k]), "followers": int(children[k])})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r], pa.int32()), pa.array([automata.pack_levels(paths)], pa.binary()), pa.array([borders], pa.list_(border)),
+             *[pa.array([sums[x]], pa.int64()) for x in ("tokens", "kinds", *numbers)]],
+            names=["range", "block", "borders", "tokens", "kinds", *numbers])
+        release()
 
-def _unpacked(packed: tuple) -> pa.Array:
-    n, off, data = packed
-    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(off), pa.py_buffer(data)])
+    spark = docs.sparkSession
+    schema = "range int, block binary, borders array<struct<depth:int,path:array<binary>,c:bigint,followers:bigint>>, " \
+        + ", ".join(f"{x} bigint" for x in ("tokens", "kinds", *numbers))
+    dealt = train.mapInArrow(count, "range int, block binary").repartitionById(parts, "range")
+    united_ = cut(dealt.mapInArrow(unite, schema), "ngram-counts")
+    sums = united_.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("tokens", "kinds", *numbers)]).first()
+    discount = [0.0] + [sums[f"once_{d}"] / max(1, sums[f"once_{d}"] + 2 * sums[f"twice_{d}"]) for d in range(1, order)]
+    # where every n-gram occurs once or none does, the estimate is 1 or 0
+    discount = [min(0.95, max(0.1, x)) for x in discount]
+    # contexts at the ranges' borders: a few for each range
+    totals: dict[tuple, list[int]] = {}
+    for (borders,) in united_.select("borders").collect():
+        for b in borders:
+            t = totals.setdefault(tuple(bytes(x) for x in b.path), [0, 0])
+            t[0] += b.c
+            t[1] += b.followers
+    shared = spark.sparkContext.broadcast(totals)
+    folder = f"{shared_dir(spark)}/llm/ngrams-{uuid.uuid4().hex}"
+
+    def build(batches):
+        for batch in batches:
+            for r, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                name = f"{folder}/range-{r}-{uuid.uuid4().hex}"
+                _write(name, saved(trie(automata.unpack_levels(block), discount, shared.value)))
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([name])], names=["range", "file"])
+                release()
+
+    files = cut(united_.select("range", "block").mapInArrow(build, "range int, file string"), "ngram-files")
+    return {"total": int(sums["tokens"]), "kinds": int(sums["kinds"]), "order": order, "discount": discount,
+            "splitters": splitters, "files": files, "shard_bytes": shard_bytes}
+
+
+def trie(paths: Paths, discount: list[float], totals: dict[tuple, list[int]]) -> dict[str, np.ndarray]:
+    """The arrays of a range's trie; ``totals`` has (count, followers) of the contexts at borders."""
+    names, order = paths.names.to_pylist(), len(paths.levels)
+    edge = np.concatenate([[0], np.cumsum([len(x) for x in names])]).astype(np.int64)
+    out = {"names.edge": edge, "names.bytes": np.frombuffer(b"".join(names), np.uint8), "counts": paths.levels[0][2]}
+    before = np.empty(0)
+    for d, (parent, symbol, weight) in enumerate(paths.levels):
+        c, followers = weight.astype(float), followers_of(paths, d).astype(float)
+        n = len(parent)
+        for k in {0, n - 1} if n and d < order - 1 else ():
+            (row,) = automata.rows_of(paths, d, np.array([k]), d + 1).tolist()
+            c[k], followers[k] = totals[tuple(names[s] for s in row)]
+        codes = {}
+        if d:
+            codes["p"] = quantised(np.where(weight > 0, (weight - discount[d]) / before[parent], 0))
+        if d < order - 1:
+            codes["back"] = quantised(np.divide(discount[d + 1] * followers, c, out=np.zeros(n), where=c > 0))
+        out |= Level.of(parent, symbol, len(before) if d else 1, codes, {}).arrays(str(d))
+        before = c
+    return out
 
 
-def _count_keys(docs: DataFrame, make, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys that ``make`` finds in training texts at least ``least`` times, and their counts."""
+def _write(name: str, parts: list[bytes]) -> None:
+    """A file that is there whole or not at all."""
+    fs, where = file_system(name)
+    fs.create_dir(where.rsplit("/", 1)[0], recursive=True)
+    draft = f"{where}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(draft, compression=None) as out:
+        for x in parts:
+            out.write(x)
+    fs.move(draft, where)
+
+
+def _map(name: str) -> dict[str, np.ndarray]:
+    """The arrays of a file, mapped into memory where the folder is mounted."""
+    fs, where = file_system(name)
+    if fs.type_name == "local":
+        return mapped(pa.memory_map(where).read_buffer())
+    with fs.open_input_file(where) as file:
+        return mapped(file.read_buffer())
+
+
+class Trie:
+    """A range's file, for queries."""
+
+    def __init__(self, arrays: dict[str, np.ndarray], order: int):
+        edge = arrays["names.edge"]
+        self.names = pa.Array.from_buffers(pa.large_binary(), len(edge) - 1, [
+            None, pa.py_buffer(np.ascontiguousarray(edge)), pa.py_buffer(np.ascontiguousarray(arrays["names.bytes"]))])
+        self.counts = arrays["counts"]
+        self.levels = [Level.load(arrays, str(d), {}) for d in range(order)]
+
+    def look_up(self, many: list[Paths]) -> list[bytes]:
+        """For the asked nodes (with a weight) of each of the queries: counts of level 0, codes of the others."""
+        names = pc.index_in(pa.concat_arrays([q.names for q in many]), value_set=self.names).fill_null(-1)
+        places = np.split(names.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum([len(q.names) for q in many])[:-1])
+        out: list[list[np.ndarray]] = [[] for _ in many]
+        up = [np.zeros(1, np.int64) for _ in many]
+        for d, level in enumerate(self.levels):
+            parts = [q.levels[d] for q in many]
+            context = np.concatenate([own[x[0]] for own, x in zip(up, parts)])
+            word = np.concatenate([place[x[1]] for place, x in zip(places, parts)])
+            up = np.split(level.find(context, word), np.cumsum([len(x[0]) for x in parts])[:-1])
+            for k, (node, part) in enumerate(zip(up, parts)):
+                asked = node[part[2] > 0]
+                hit = asked >= 0
+                if d == 0:
+                    c = np.zeros(len(asked), np.int64)
+                    c[hit] = self.counts[asked[hit]]
+                    out[k].append(c)
+                for kind in ("p", "back"):
+                    if kind in level.codes:
+                        code = np.zeros(len(asked), np.uint8)
+                        code[hit] = level.codes[kind][asked[hit]]
+                        out[k].append(code)
+        return [b"".join(saved({str(i): x for i, x in enumerate(xs)})) for xs in out]
+
+
+def score_documents(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+    """``docs`` without the text, with last columns n_tokens, n_known (bigint), base_score and score (double)."""
+    spark, order, splitters, total, kinds = docs.sparkSession, model["order"], model["splitters"], model["total"], model["kinds"]
+    own = [c for c in docs.columns if c != text]
+    result = fresh(docs.select(*own), "n_tokens", "n_known", "base_score", "score")
+    (whole,) = fresh(docs, "whole_text")
+    texts = docs.select(*own, F.col(text).alias(whole))
+    kind = [f"`{f.name}`:{f.dataType.simpleString()}" for f in texts.schema.fields[:-1]]
+    struct = "struct<" + ",".join([*kind, "`n tokens`:bigint"]) + ">"
+    folder, shard_bytes = f"{shared_dir(spark)}/llm/answers-{uuid.uuid4().hex}", model["shard_bytes"]
 
-    def count(batches):
-        state = None
-        for batch in batches:
-            train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            texts = batch.column("text").filter(pa.array(train))
-            state = state or make()
-            found = [state(c) for c in chunks(texts)]
-            keys, n = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["k", "n"])
+    def read(batches):
+        for batch in shards_of(batches, shard_bytes, whole):
+            paths, found, first = ngrams(texts_of(batch, whole), order)
+            # the longest n-gram that ends at each token: that of the full order, or one that begins at the start
+            before = np.concatenate([[0], np.cumsum([len(x[0]) for x in paths.levels])])
+            doc_of = np.repeat(np.arange(batch.num_rows), np.diff(first))
+            starts = np.zeros(len(doc_of), bool)
+            starts[first[:-1]] = True
+            docs_, nodes = [], []
+            for d, (at, node) in enumerate(found):
+                mine = np.ones(len(at), bool) if d == order - 1 and d else starts[at] & (d > 0)
+                if order == 1:
+                    mine = ~starts[at]
+                docs_.append(doc_of[at[mine]])
+                nodes.append(before[d] + node[mine])
+            doc, node = np.concatenate(docs_), np.concatenate(nodes)
+            doc, node, times = _summed(doc, node, np.ones(len(doc), np.int64))
+            edge = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            gap = np.diff(node, prepend=0)
+            heads = edge[:-1][edge[:-1] < edge[1:]]
+            gap[heads] = node[heads]
+            rows = pa.StructArray.from_arrays([*batch.columns[:-1], pa.array(np.diff(first) - 1, pa.int64())], names=[*own, "n tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([uuid.uuid4().hex]), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                 pa.array([automata.pack_levels(paths)], pa.binary()), pa.array([_packed(edge, gap, times)], pa.binary())],
+                names=["shard", "rows", "paths", "pairs"])
             release()
 
-    rows = docs.select("text", "train").mapInArrow(count, "k bigint, n bigint")
-    kept = rows.groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-    k, n = (kept.column(c).to_numpy().astype(np.int64, copy=False) for c in ("k", "n"))
-    del kept
-    order = np.argsort(k)
-    k = k[order]
-    n = n[order]
-    pa.default_memory_pool().release_unused()
-    return k, n
+    shards = cut(texts.mapInArrow(read, f"shard string, rows array<{struct}>, paths binary, pairs binary"), "scored-shards")
 
+    def ask(batches):
+        for batch in batches:
+            for shard, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for r, cell in cells(automata.unpack_levels(block), splitters, automata.pack_levels):
+                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([shard]), pa.array([cell], pa.binary()), pa.array([None], pa.string())],
+                                                     names=["range", "shard", "block", "file"])
 
-def fit(docs: DataFrame, share: float = SHARE) -> dict:
-    """The model of the training texts: totals, the unigram table (distributed) and the broadcast parts."""
-    spark = docs.sparkSession
-    table = cut(count_words(docs), "unigrams")
-    total, kinds = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    least = max(1, math.ceil(share * total))
-    often = table.where(F.col("c") >= least).orderBy(F.desc("c"), "word").toArrow()
-    names = often.column("word").combine_chunks().cast(pa.large_binary()) if len(often) else pa.array([], pa.large_binary())
-    if isinstance(names, pa.ChunkedArray):
-        names = names.combine_chunks() if names.num_chunks != 1 else names.chunk(0)
-    if pc.index(names, pa.scalar(END.encode(), pa.large_binary())).as_py() < 0:
-        names = pa.concat_arrays([names, pa.array([END.encode()], pa.large_binary())])
-    c1 = often.column("c").to_numpy().astype(float) if len(often) else np.empty(0)
-    c1 = np.append(c1, np.zeros(len(names) - len(c1)))
-    n = len(names)
-    vocabulary = Vocabulary(names)
-    p1 = (c1 + 0.5) / (total + 0.5 * (kinds + 1))
-    shared = spark.sparkContext.broadcast(_packed(names))
-
-    def pairs():
-        v = Vocabulary(_unpacked(shared.value))
-
-        def of(c):
-            ids, first, *_ = v.sequence(c)
-            before = v.before(ids, first)
-            return (before * v.size + ids)[(before >= 0) & (ids >= 0)]
-
-        return of
-
-    k2, n2 = _count_keys(docs, pairs, least)
-    context2, word2 = k2 // n, k2 % n
-    # every text has one start; a context is followed by a token each time it occurs
-    of_context = np.append(c1, c1[vocabulary.end])
-    p2 = (n2 - DISCOUNT) / of_context[context2]
-    spent = np.bincount(context2, weights=p2, minlength=n + 1)
-    lower = np.bincount(context2, weights=p1[word2], minlength=n + 1)
-    back1 = np.log10(np.maximum(1 - spent, 1e-9) / np.maximum(1 - lower, 1e-9))
-    del context2, word2
-    kept2 = spark.sparkContext.broadcast(k2)
-
-    def triples():
-        v, keys = Vocabulary(_unpacked(shared.value)), kept2.value
-
-        def of(c):
-            ids, first, *_ = v.sequence(c)
-            before = v.before(ids, first)
-            key = np.where((before >= 0) & (ids >= 0), before * v.size + ids, -1)
-            at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-            entry = np.where(keys[at] == key, at, -1) if len(keys) else np.full(len(key), -1)
-            ahead = np.full(len(entry), -1)
-            ahead[1:] = entry[:-1]
-            ahead[first[:-1]] = -1
-            return (ahead * v.size + ids)[(ahead >= 0) & (entry >= 0)]
-
-        return of
-
-    k3, n3 = _count_keys(docs, triples, least)
-    # large arrays go as soon as they are used: the driver holds a few numbers for each kept n-gram at a time
-    context3 = k3 // n
-    word3 = k3 - context3 * n
-    del k3
-    p3 = (n3 - DISCOUNT) / n2[context3] if len(context3) else np.empty(0)
-    del n3, n2
-    spent3 = np.bincount(context3, weights=p3, minlength=len(k2))
-    level3 = Level.of(context3, word3, len(k2), p=np.log10(p3))
-    del p3
-    # the shorter n-gram of a kept triple is kept too
-    suffix = np.searchsorted(k2, (k2 % n)[context3] * n + word3) if len(context3) else np.empty(0, np.int64)
-    del word3
-    lower3 = np.bincount(context3, weights=p2[suffix], minlength=len(k2)) if len(context3) else np.zeros(len(k2))
-    del suffix, context3
-    back2 = np.log10(np.maximum(1 - spent3, 1e-9) / np.maximum(1 - lower3, 1e-9))
-    del spent3, lower3
-    levels = [Level.of(k2 // n, k2 % n, n + 1, p=np.log10(p2), back=back2), level3]
-    code1, book1 = quantise(back1)
-    return {"total": total, "kinds": kinds, "least": least, "table": table,
-            "parts": {"names": _packed(names), "p1": np.log10(p1), "known": c1 > 0, "back": (code1, book1),
-                      "levels": [x.arrays() for x in levels]}}
-
-
-def sequence_scores(ids: np.ndarray, first: np.ndarray, v: Vocabulary, p1: np.ndarray, back1: np.ndarray,
-                    levels: list[Level]) -> np.ndarray:
-    """log10 of each token's probability; for tokens out of the vocabulary only the back-off weights."""
-    two, three = levels
-    before = v.before(ids, first)
-    entry = two.find(before, ids)
-    ahead = np.full(len(entry), -1)
-    ahead[1:] = entry[:-1]
-    ahead[first[:-1]] = -1
-    whole = three.find(np.where(entry >= 0, ahead, -1), ids)
-    out = np.where(ids >= 0, p1[ids], 0.0)
-    none = entry < 0
-    known = none & (before >= 0)
-    out[known] += back1[before[known]]
-    out[~none] = two.number("p", entry[~none])
-    backed = (whole < 0) & (ahead >= 0)
-    out[backed] += two.number("back", ahead[backed])
-    full = whole >= 0
-    out[full] = three.number("p", whole[full])
-    return out
+    def answer(batches):
+        trie_, r, held, size = None, None, [], 0
 
+        def answers():
+            found = trie_.look_up([x[1] for x in held]) if trie_ else [b""] * len(held)
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.string()), pa.array([r] * len(held), pa.int32()), pa.array(found, pa.binary())],
+                                              names=["shard", "range", "block"])
 
-def score_documents(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` (columns doc_id, text, ...) with n_tokens, n_known, base_score and score; text is dropped."""
-    spark = docs.sparkSession
-    parts = spark.sparkContext.broadcast(model["parts"])
+        for batch in batches:
+            for r, shard, block, file in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if shard is None:
+                    trie_ = Trie(_map(file), order)
+                    continue
+                held.append((shard, automata.unpack_levels(block)))
+                size += len(held[-1][1])
+                if size >= LOOKED_UP:
+                    yield answers()
+                    held, size = [], 0
+        if held:
+            yield answers()
+        release()
+
+    def keep(batches):
+        now, parts = None, []
+
+        def write():
+            edge = np.concatenate([[0], np.cumsum([len(b) for _, b in parts])])
+            _write(f"{folder}/{now}", saved({"range": np.array([r for r, _ in parts], np.int64), "edge": edge,
+                                             "data": np.frombuffer(b"".join(b for _, b in parts), np.uint8)}))
+            return pa.RecordBatch.from_arrays([pa.array([now])], names=["shard"])
 
-    def read(batches):
-        m = parts.value
-        v = Vocabulary(_unpacked(m["names"]))
-        back1 = m["back"][1][m["back"][0]]
-        levels = [Level.load(x) for x in m["levels"]]
         for batch in batches:
-            start = 0
-            for c in chunks(batch.column("text")):
-                own = batch.slice(start, len(c)).drop_columns(["text"])
-                start += len(c)
-                ids, first, inside, word, names = v.sequence(c)
-                p = sequence_scores(ids, first, v, m["p1"], back1, levels)
-                base = np.where(ids >= 0, m["p1"][ids], 0.0)
-                known = (ids >= 0) & m["known"][ids]
-                rare = ids[inside] < 0
-                doc = np.repeat(np.arange(len(c)), np.diff(first) - 1)[rare]
-                key, n = np.unique(doc * max(1, len(names)) + word[rare], return_counts=True)
-                at = np.searchsorted(key // max(1, len(names)), np.arange(len(c) + 1))
-                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays(
-                    [names.cast(pa.string()).take(pa.array(key % max(1, len(names)))), pa.array(n, pa.int64())], names=["word", "n"]))
-                sums = [np.add.reduceat(x, first[:-1]) for x in (known.astype(np.int64), base, p)]
-                yield pa.RecordBatch.from_arrays(
-                    [*own.columns, pa.array(np.diff(first), pa.int64()), *map(pa.array, sums), lists],
-                    names=[*own.schema.names, "n_tokens", "known", "base", "p", "rare"])
+            for shard, r, block in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if shard != now and parts:
+                    yield write()
+                    parts = []
+                now = shard
+                parts.append((r, block))
+        if parts:
+            yield write()
+
+    parts = len(splitters) + 1
+    asked = shards.select("shard", "paths").mapInArrow(ask, "range int, shard string, block binary, file string")
+    tries = model["files"].select("range", F.lit(None).cast("string").alias("shard"), F.lit(None).cast("binary").alias("block"), "file")
+    met = asked.unionByName(tries).repartitionById(parts, "range").sortWithinPartitions(F.col("shard").asc_nulls_first())
+    answers_ = met.mapInArrow(answer, "shard string, range int, block binary")
+    cut(answers_.repartition("shard").sortWithinPartitions("shard", "range").mapInArrow(keep, "shard string"), "answered-shards")
+
+    def score(batches):
+        for batch in batches:
+            for i, shard in enumerate(batch.column(0).to_pylist()):
+                rows = batch.column(1).slice(i, 1).flatten()
+                paths, pairs = automata.unpack_levels(batch.column(2)[i].as_py()), _unpacked(batch.column(3)[i].as_py(), 3)
+                base, p, known = probabilities(paths, _map(f"{folder}/{shard}"), splitters, total, kinds)
+                edge, gap, times = pairs
+                n = np.diff(edge)
+                upto = np.concatenate([[0], np.cumsum(gap)])
+                node = upto[1:] - np.repeat(upto[edge[:-1]], n)
+                values = [per_doc(times * known[node], edge)]
+                for x in (base, p):
+                    s = np.concatenate([[0.0], np.cumsum(times * np.log10(x[node]))])
+                    values.append(s[edge[1:]] - s[edge[:-1]])
+                fields = rows.flatten()
+                yield pa.RecordBatch.from_arrays([*fields, *map(pa.array, values)], names=[*own, *result])
             release()
 
-    marked = docs.withColumn("rid", F.monotonically_increasing_id())
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema.fields if f.name != "text")
-    seen = cut(marked.mapInArrow(read, f"{schema}, n_tokens bigint, known bigint, base double, p double, "
-                                       "rare array<struct<word:string,n:bigint>>"), "scored")
-    each = seen.select("rid", F.inline("rare"))
-    few = model["table"].where(F.col("c") < model["least"])
-    c = F.coalesce("c", F.lit(0))
-    log = F.log10((c + 0.5) / (model["total"] + 0.5 * (model["kinds"] + 1)))
-    more = each.join(few, "word", "left").groupBy("rid").agg(
-        F.sum(F.col("n") * log).alias("log"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("found"))
-    log, found = F.coalesce("log", F.lit(0.0)), F.coalesce("found", F.lit(0))
-    own = [x for x in docs.columns if x != "text"]
-    return seen.drop("rare").join(more, "rid", "left").select(
-        *own, "n_tokens", (F.col("known") + found).alias("n_known"),
-        (F.col("base") + log).alias("base_score"), (F.col("p") + log).alias("score"))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields[:-1]]
+                       + [f"`{result[0]}` bigint, `{result[1]}` bigint, `{result[2]}` double, `{result[3]}` double"])
+    return shards.mapInArrow(score, schema)
+
+
+def probabilities(paths: Paths, answers: dict[str, np.ndarray], splitters: list[list[bytes]], total: int, kinds: int):
+    """Of all nodes of a shard's n-grams, level by level: base and model probability of the last symbol, and whether it
+    occurs in the training texts."""
+    order = len(paths.levels)
+    sizes = [len(x[0]) for x in paths.levels]
+    count, codes = np.zeros(sizes[0], np.int64), {(d, k): np.zeros(n, np.uint8) for d, n in enumerate(sizes) for k in ("p", "back")}
+    blocks = {int(r): answers["data"][a:b] for r, a, b in zip(answers["range"], answers["edge"][:-1], answers["edge"][1:])}
+    for r, (begin, end) in enumerate(automata.ranges(paths, splitters)):
+        if not any(a < b for a, b in zip(begin, end)):
+            continue
+        block = blocks[r]
+        if not len(block):
+            continue  # no training n-gram lies in this range
+        found = iter(mapped(block.tobytes()).values())
+        for d, (a, b) in enumerate(zip(begin, end)):
+            if d == 0:
+                count[a:b] = next(found)
+            else:
+                codes[d, "p"][a:b] = next(found)
+            if d < order - 1:
+                codes[d, "back"][a:b] = next(found)
+    one = (count + 0.5) / (total + 0.5 * (kinds + 1))
+    base, p, known, last = [one], [one], [count > 0], one
+    shorter = None
+    for d in range(1, order):
+        parent, symbol, _ = paths.levels[d]
+        if d == 1:
+            suffix = np.searchsorted(paths.levels[0][1], symbol)
+        else:
+            up, own, _ = paths.levels[d - 1]
+            suffix = np.searchsorted(up * len(paths.names) + own, shorter[parent] * len(paths.names) + symbol)
+        back = BOOK[codes[d - 1, "back"]]
+        last = BOOK[codes[d, "p"]] + np.where(back > 0, back, 1.0)[parent] * last[suffix]
+        base.append(base[-1][suffix])
+        known.append(known[-1][suffix])
+        p.append(last)
+        shorter = suffix
+    return np.concatenate(base), np.concatenate(p), np.concatenate(known)

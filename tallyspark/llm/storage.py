@@ -28,6 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _local[app]
 
 
+def file_system(path: str):
+    """File system and path of an address, for driver and tasks alike."""
+    import pyarrow.fs as fs
+
+    if "://" not in path:
+        path = f"file://{path.removeprefix('file:')}"
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and return the table read back from there."""
     spark = df.sparkSession
