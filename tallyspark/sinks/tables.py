@@ -236,23 +236,26 @@ def _partition_dirs(spark: SparkSession, path: str, depth: int) -> list[tuple[st
     return [(str(d), values) for d, values in found]
 
 
-def _touched_dirs(spark: SparkSession, path: str, parts: DataFrame, partition_by: Sequence[str]) -> list[str]:
-    """The table's partition directories whose values are among the rows of ``parts`` (NULL is a value like others).
+def _touched_dirs(spark: SparkSession, path: str, parts: DataFrame, partition_by: Sequence[str],
+                  count: str | None = None) -> dict[str, int]:
+    """The table's partition directories whose values are among the rows of ``parts`` (NULL is a value like others),
+    each with the largest ``count`` of its rows there.
 
     The directory names, cast to the columns' types, are met with the distinct values in Spark, so neither the
     number of values nor how a name is written matters, and no row of the table is read.
     """
     dirs = _partition_dirs(spark, path, len(partition_by))
     if not dirs:
-        return []
+        return {}
     names = [f"_p_{c}" for c in partition_by]
     listed = spark.createDataFrame([(i, *values) for i, (_, values) in enumerate(dirs)],
                                    ", ".join(["_dir int", *[f"`{n}` string" for n in names]]))
-    named, cond = parts.select(*partition_by).distinct(), None
+    listed = bounded_broadcast(listed, len(dirs))
+    named, cond = parts.groupBy(*partition_by).agg(F.max(F.col(count) if count else F.lit(1)).alias("_most")), None
     for c, n in zip(partition_by, names):
         same = listed[n].cast(parts.schema[c].dataType).eqNullSafe(named[c])
         cond = same if cond is None else cond & same
-    return [dirs[i][0] for (i,) in listed.join(named, cond, "left_semi").select("_dir").collect()]
+    return {dirs[i][0]: most for i, most in named.join(listed, cond).select("_dir", "_most").collect()}
 
 
 def _read_dirs(spark: SparkSession, path: str, dirs: Sequence[str], schema: StructType) -> DataFrame:
@@ -327,22 +330,26 @@ def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str
         # recompute it from upstream.
         batch, stage = _stage(batch, None, "batch-stage")
     try:
-        dirs = []
-        if partition_by:
-            parts = batch.select(*partition_by)
-            if not set(partition_by) <= set(keys):
-                # a matched row may lie in another partition than its new version
-                whole = read_stored(spark, path, batch.schema)
-                parts = parts.unionByName(whole.join(batch.select(*keys).distinct(), list(keys), "left_semi")
-                                          .select(*partition_by))
-            dirs = _touched_dirs(spark, path, parts, partition_by)
-            scope = _read_dirs(spark, path, dirs, batch.schema)
-        else:
-            scope = read_stored(spark, path, batch.schema)
+        dirs: Sequence[str] = []
+        repeated = None
+        if partition_by and set(partition_by) <= set(keys):
+            # one pass over the batch tells the touched directories and whether a key is repeated in one of them
+            counted = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if check_conflicts else batch
+            found = _touched_dirs(spark, path, counted, partition_by, "_n" if check_conflicts else None)
+            dirs, repeated = list(found), any(n > 1 for n in found.values())
+        elif partition_by:
+            # a matched row may lie in another partition than its new version
+            whole = read_stored(spark, path, batch.schema)
+            parts = batch.select(*partition_by).unionByName(
+                whole.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(*partition_by))
+            dirs = list(_touched_dirs(spark, path, parts, partition_by))
+        scope = _read_dirs(spark, path, dirs, batch.schema) if partition_by else read_stored(spark, path, batch.schema)
         if check_conflicts:
             # repeated batch keys are rare; only if there are any does the target matter
-            twice = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-            if not twice.isEmpty():
+            if repeated is None:
+                twice = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                repeated = not twice.isEmpty()
+            if repeated:
                 bad = upsert.merge_conflicts(scope, batch, keys, target_pred).limit(1).collect()
                 if bad:
                     raise ValueError(f"merge: several batch rows match one target row for key {bad[0].asDict()}")
@@ -387,7 +394,7 @@ def write_append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Seq
     try:
         if partition_by and set(partition_by) <= set(keys):
             batch, stage = _stage(batch, None, "append-stage")
-            target = _read_dirs(spark, path, _touched_dirs(spark, path, batch, partition_by), batch.schema)
+            target = _read_dirs(spark, path, list(_touched_dirs(spark, path, batch, partition_by)), batch.schema)
         else:
             target = read_stored(spark, path, batch.schema)
         new = upsert.new_rows(target, batch, keys, target_pred)
