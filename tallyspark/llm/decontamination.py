@@ -255,23 +255,27 @@ def contaminated(match: Column, share: int = 20) -> Column:
     return (match["n_hit"] > 0) & (share * match["n_hit"] >= match["n_words"])
 
 
-def without_spans(text: Column, match: Column) -> Column:
-    """The text without its matched spans."""
-    spans, n = match["spans"], F.size(match["spans"])
+def without_spans(text: Column, match: Column, least: int = 1) -> Column:
+    """The text without its matched spans of ``least`` words or more."""
+    spans = F.filter(match["spans"], lambda s: s["word_to"] - s["word_from"] >= least)
     begins = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(spans, lambda s: s["end"]))
     ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.char_length(text).cast("bigint")))
     rest = F.transform(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda z: F.substr(
         text, (z["a"] + 1).cast("int"), (z["b"] - z["a"]).cast("int")))
-    return F.when(n > 0, F.concat_ws("", rest)).otherwise(text)
+    return F.when(F.size(spans) > 0, F.concat_ws("", rest)).otherwise(text)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20,
-                  remove_spans: bool = False) -> DataFrame:
-    """The documents that are not contaminated, with their own columns; ``remove_spans`` also takes the matched
-    spans out of the texts that stay (their hit words are below the coverage limit)."""
+                  max_span: int | None = None) -> DataFrame:
+    """The documents that are not contaminated (coverage limit: one hit word in ``share``), with their own columns.
+    With ``max_span`` (length limit) matched spans of that many words or more are taken out of the texts that stay,
+    and ``n_chars``, if there, counted again."""
     found = find_matches(docs, benchmark, window)
     match = F.col(found.columns[-1])
     kept = found.where(~contaminated(match, share))
-    if remove_spans:
-        kept = kept.withColumn("text", without_spans(F.col("text"), match))
+    if max_span is not None:
+        kept = kept.withColumn("text", without_spans(F.col("text"), match, max_span))
+        if "n_chars" in docs.columns:
+            cut_ = F.exists(match["spans"], lambda s: s["word_to"] - s["word_from"] >= max_span)
+            kept = kept.withColumn("n_chars", F.when(cut_, F.char_length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
     return kept.select(*docs.columns)

@@ -2,13 +2,14 @@
 
 Two fingerprints within ``distance`` bits differ by at most ``distance // blocks`` bits in one of ``blocks``
 bit blocks. The Hamming distance on a block is a metric, so each block gets a vantage-point tree of its own,
-with that small radius: on every level a vantage fingerprint splits the space at the median distance, a
-fingerprint lives in one leaf, and the triangle bound says which other leaves its ball can reach. A leaf is a
-shard; a fingerprint is sent to its own shard and to the overlapping ones behind the boundary. In a shard one
+with that small radius: on every level a vantage fingerprint splits the space at the median distance, and a
+fingerprint lives in one leaf. A leaf is a shard; a fingerprint is sent to its own shard and to those behind a
+boundary that its ball overlaps: the triangle bound says when no boundary is near, else the leaves of the ball's
+block values are looked up, at most 22 of them for radius 1, however deep the trees. In a shard one
 more vantage point sorts the members by full distance, branches beyond the triangle bound are skipped, and the
 rest is compared exactly. The depth follows the exact number of distinct fingerprints, so shards keep
-their size while the data grows. Shards that come out large (dense groups) are split into blocks of members
-which meet pair by pair in tasks of their own.
+their size while the data grows. Shards that come out large (dense groups) are split into blocks of members and
+blocks of visitors, which meet pair by pair in tasks of their own.
 
 Equal fingerprints are one member. A task emits a spanning forest, never all pairs of a group, and components
 come from star contraction over these links in shuffles; no link list reaches the driver.
@@ -21,6 +22,7 @@ null if the component has no id at all); repeated rows get the same component; a
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -106,8 +108,9 @@ def vantage_tree(fps: DataFrame, n: int, blocks: int) -> list[tuple[int, int, li
 
     The medians come from an exact histogram of distances: blocks x levels x 65 counts at most.
     """
-    depth = max(0, math.ceil(math.log2(max(1, n) / LEAF)))
     masks = block_masks(blocks)
+    # a block has no more values than its bits tell apart
+    depth = min(max(0, math.ceil(math.log2(max(1, n) / LEAF))), min(m.bit_count() for m in masks))
     if not depth:
         return [(b, m, []) for b, m in enumerate(masks)]
     points = [r[0] & ((1 << 64) - 1) for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(depth * blocks).collect()]
@@ -124,23 +127,34 @@ def vantage_tree(fps: DataFrame, n: int, blocks: int) -> list[tuple[int, int, li
             for b, m in enumerate(masks)]
 
 
+def ball(mask: int, radius: int) -> np.ndarray:
+    """Every change of at most ``radius`` of the mask's bits."""
+    bits = [1 << k for k in range(64) if mask >> k & 1]
+    return np.array([sum(c) for r in range(radius + 1) for c in combinations(bits, r)], np.uint64)
+
+
 def leaves(fps: np.ndarray, mask: int, levels: list[tuple[int, int]], radius: int):
-    """(row, leaf, home) of every fingerprint: its own leaf, and later leaves that its ball can reach.
+    """(row, leaf, home) of every fingerprint: its own leaf, and later leaves that hold a value of its ball.
 
     Two near fingerprints of different leaves meet in the later one, so earlier leaves need no visit.
     """
-    row, leaf = np.arange(len(fps)), np.zeros(len(fps), np.int64)
-    own = np.zeros(len(fps), np.int64)
+    own, near = np.zeros(len(fps), np.int64), np.zeros(len(fps), bool)
     for vantage, median in levels:
         d = distance_to(fps, vantage, mask)
+        # no value within the radius lies on the other side unless the boundary is that near
+        near |= (d - radius <= median) & (d + radius > median)
         own = own * 2 + (d > median)
-        e = d[row]
-        left, right = e - radius <= median, e + radius > median
-        row = np.concatenate([row[left], row[right]])
-        leaf = np.concatenate([leaf[left] * 2, leaf[right] * 2 + 1])
-    later = leaf >= own[row]
-    row, leaf = row[later], leaf[later]
-    return row, leaf, leaf == own[row]
+    rows = np.flatnonzero(near)
+    values = fps[rows][:, None] ^ ball(mask, radius)[None, 1:]
+    there = np.zeros(values.shape, np.int64)
+    for vantage, median in levels:
+        there = there * 2 + (distance_to(values, vantage, mask) > median)
+    row = np.repeat(rows, values.shape[1])
+    leaf = there.ravel()
+    later = leaf > own[row]
+    visits = np.unique(np.stack([row[later], leaf[later]], axis=1), axis=0)
+    home = np.arange(len(fps))
+    return np.concatenate([home, visits[:, 0]]), np.concatenate([own, visits[:, 1]]), np.arange(len(home) + len(visits)) < len(home)
 
 
 def assign_shards(fps: DataFrame, tree, radius: int) -> DataFrame:
@@ -209,32 +223,39 @@ def links(fps: DataFrame, distance: int = 4, blocks: int = 3) -> DataFrame:
     ``distance`` bits."""
     n = fps.count()
     placed = assign_shards(fps, vantage_tree(fps, n, blocks), distance // blocks)
-    large = placed.where("home").groupBy("block", "leaf").count().where(F.col("count") > 2 * BLOCK) \
-        .select("block", "leaf", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
+    count = placed.groupBy("block", "leaf").agg(F.count(F.when(F.col("home"), 1)).alias("own"), F.count(F.when(~F.col("home"), 1)).alias("other"))
+    large = count.where(F.greatest("own", "other") > 2 * BLOCK).select("block", "leaf", *[
+        F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK)).cast("int").alias(p) for c, p in (("own", "parts"), ("other", "visits"))])
     large = cut(large, "large-shards")
     placed = placed.join(bounded_broadcast(large, large.limit(MAX_BROADCAST_ROWS + 1).count()), ["block", "leaf"], "left")
-    parts = F.coalesce("parts", F.lit(1))
-    mine = F.pmod(F.xxhash64("fp"), parts).cast("int")
-    meet = F.when(parts == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))) \
-        .when(F.col("home"), F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.struct(
-            F.least(mine, k).alias("i"), F.greatest(mine, k).alias("j")))) \
-        .otherwise(F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.struct(k.alias("i"), k.alias("j"))))
+    parts, visits = F.coalesce("parts", F.lit(1)), F.coalesce("visits", F.lit(1))
+    mine = F.pmod(F.xxhash64("fp"), F.when(F.col("home"), parts).otherwise(visits)).cast("int")
+
+    def task(i: Column, j: Column, v: Column) -> Column:
+        return F.struct(i.alias("i"), j.alias("j"), v.alias("v"))
+
+    # a block of members meets each block of visitors (i = j, v), and each other block of members (i < j, v = -1)
+    others = F.transform(F.filter(F.sequence(F.lit(0), parts - 1), lambda k: k != mine),
+                         lambda k: task(F.least(mine, k), F.greatest(mine, k), F.lit(-1)))
+    meet = F.when(F.col("home"), F.concat(others, F.transform(F.sequence(F.lit(0), visits - 1), lambda v: task(mine, mine, v)))) \
+        .otherwise(F.transform(F.sequence(F.lit(0), parts - 1), lambda k: task(k, k, mine)))
     tasks = placed.select("fp", "block", "leaf", "home", mine.alias("part"), F.explode(meet).alias("t")) \
-        .select("fp", "block", "leaf", "home", "part", F.col("t.i").alias("i"), F.col("t.j").alias("j"))
+        .select("fp", "block", "leaf", "home", "part", F.col("t.i").alias("i"), F.col("t.j").alias("j"), F.col("t.v").alias("v"))
 
     def meet_all(group: pa.Table) -> pa.Table:
         fp = group.column("fp").to_numpy().view(np.uint64)
         home, part = group.column("home").to_numpy(), group.column("part").to_numpy()
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        i, j, v = (group.column(c)[0].as_py() for c in "ijv")
         if i == j:
-            pairs = near_links(fp[home], fp[~home], distance, within=True)
+            # the members meet one another beside the first visitors only
+            pairs = near_links(fp[home], fp[~home], distance, within=v == 0)
         else:
             pairs = near_links(fp[part == i], fp[part == j], distance, within=False)
         release()
         pairs = pairs.view(np.int64)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    return tasks.groupBy("block", "leaf", "i", "j").applyInArrow(meet_all, "a bigint, b bigint")
+    return tasks.groupBy("block", "leaf", "i", "j", "v").applyInArrow(meet_all, "a bigint, b bigint")
 
 
 def star_components(edges: DataFrame) -> DataFrame:

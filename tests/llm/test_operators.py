@@ -35,7 +35,7 @@ def test_decontamination(spark, docs, edge, raw):
         assert Counter((m.n_words, m.n_hit, tuple(m["items"])) for (m,) in got) == want
     none = decontamination.find_matches(edge, bench.limit(0)).collect()
     assert len(none) == edge.count() and all(r.match.n_hit == 0 for r in none)
-    cleaned = decontamination.decontaminate(both, bench.where("item_id < 100"), share=2, remove_spans=True)
+    cleaned = decontamination.decontaminate(both, bench.where("item_id < 100"), share=2, max_span=1)
     assert decontamination.find_matches(cleaned, bench.where("item_id < 100")).where("match.n_hit > 0").count() == 0
 
 
