@@ -5,7 +5,7 @@ reads it back as the next stage's documents.
 
 1. quality rules: documents that the base rules or the learned list reject go;
 2. SimHash near-dedup: one document of each group stays, that with the smallest id;
-3. benchmark decontamination: contaminated documents go;
+3. benchmark decontamination: contaminated documents go; matched spans of 100 words or more go from the others;
 4. secret scans: secrets in the texts that stay are replaced by a mark;
 5. byte-level BPE: the texts are encoded; the rows get ``ids``, ``n_tokens`` and the check that the ids decode
    to the text (``round_trip``).
@@ -38,7 +38,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"), window=13, share=20)
+    return decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"), window=13, share=20, max_span=100)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
