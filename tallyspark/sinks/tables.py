@@ -29,8 +29,9 @@ from __future__ import annotations
 
 import re
 import uuid
-from urllib.parse import unquote
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,37 +119,62 @@ def literal_path(uri: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
 
 
-def _files(fs, root) -> list:
-    out, it = [], fs.listFiles(root, True)
-    while it.hasNext():
-        st = it.next()
-        if not st.getPath().getName().startswith(("_", ".")):
-            out.append(st.getPath())
+def _names(spark: SparkSession, directory: str) -> list[str]:
+    """Names in a directory, hidden ones left out; a few calls however many there are."""
+    fs, p, jvm = _fs(spark, directory)
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))
+    # "{directory/name,directory/name}" of the qualified directory
+    text = jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)[1:-1]
+    names = text.split(f"{fs.makeQualified(p).toString().rstrip('/')}/")[1:]
+    names = [n.removesuffix(",") for n in names[:-1]] + names[-1:]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def _is_partition(name: str) -> bool:
+    return "=" in name and not name.endswith(".parquet")
+
+
+def _files(spark: SparkSession, directory: str) -> list[str]:
+    """Data files of a directory and of its partition directories (listed, not read)."""
+    out = []
+    for name in _names(spark, directory):
+        path = f"{directory}/{name}"
+        out += _files(spark, path) if _is_partition(name) else [path]
     return out
 
 
+def _each(act: Callable[[str], None], items: Sequence[str]) -> None:
+    """File operations, many at a time: on remote storage each one waits."""
+    if len(items) < 4:
+        for x in items:
+            act(x)
+        return
+    with ThreadPoolExecutor(16) as pool:
+        for _ in pool.map(act, items):
+            pass
+
+
 def _move_in(spark: SparkSession, staged: str, path: str) -> None:
     """Move the files of a complete staged copy into the table, then delete the files its manifest names.
 
     File names are unique, so every step may be repeated after a crash.
     """
     fs, root, jvm = _fs(spark, staged)
-    table = jvm.org.apache.hadoop.fs.Path(path)
-    base = fs.makeQualified(root).toUri().getPath()
-    for f in _files(fs, root):
-        to = jvm.org.apache.hadoop.fs.Path(table, f.toUri().getPath()[len(base) + 1:])
-        fs.mkdirs(to.getParent())
-        if not fs.rename(f, to):
-            raise IOError(f"could not move {f} to {to}")
-    manifest = jvm.org.apache.hadoop.fs.Path(root, MANIFEST)
-    stream = fs.open(manifest)
+    new = [f[len(staged) + 1:] for f in _files(spark, staged)]
+    for d in sorted({f.rpartition("/")[0] for f in new}):
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{path}/{d}" if d else path))
+
+    def move(f: str) -> None:
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(f"{staged}/{f}"), jvm.org.apache.hadoop.fs.Path(f"{path}/{f}")):
+            raise IOError(f"could not move {staged}/{f} to {path}")
+
+    _each(move, new)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(root, MANIFEST))
     try:
         old = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    for line in old.split("\n"):
-        if line:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(line)), False)
+    _each(lambda f: fs.delete(jvm.org.apache.hadoop.fs.Path(f), False), [f for f in old.split("\n") if f])
     fs.delete(root, True)
 
 
@@ -222,18 +248,16 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 def _partition_dirs(spark: SparkSession, path: str, depth: int) -> list[tuple[str, tuple]]:
     """(directory, its partition values as texts, None for NULL) of a table with ``depth`` partition columns."""
-    fs, root, _ = _fs(spark, path)
-    found = [(root, ())]
+    found = [(path, ())]
     for _ in range(depth):
         deeper = []
         for d, values in found:
-            for st in fs.listStatus(d):
-                name = st.getPath().getName()
-                if st.isDirectory() and "=" in name and not name.startswith(("_", ".")):
+            for name in _names(spark, d):
+                if _is_partition(name):
                     value = unquote(name.split("=", 1)[1])
-                    deeper.append((st.getPath(), (*values, None if value == NULL_PARTITION else value)))
+                    deeper.append((f"{d}/{name}", (*values, None if value == NULL_PARTITION else value)))
         found = deeper
-    return [(str(d), values) for d, values in found]
+    return found
 
 
 def _touched_dirs(spark: SparkSession, path: str, parts: DataFrame, partition_by: Sequence[str],
@@ -265,28 +289,18 @@ def _read_dirs(spark: SparkSession, path: str, dirs: Sequence[str], schema: Stru
     return spark.read.schema(schema).option("basePath", path).parquet(*dirs).select(*schema.fieldNames())
 
 
-def _files_of(spark: SparkSession, dirs: Sequence[str]) -> list[str]:
-    """Data files below the directories, as URIs (listed, not read)."""
-    out = []
-    for d in dirs:
-        fs, root, _ = _fs(spark, d)
-        out += [str(f.toUri()) for f in _files(fs, root)]
-    return out
-
-
-def _first_file(fs, root) -> str | None:
-    it = fs.listFiles(root, True)
-    while it.hasNext():
-        p = it.next().getPath()
-        if not p.getName().startswith(("_", ".")):
-            return str(p)
+def _first_file(spark: SparkSession, directory: str) -> str | None:
+    for name in _names(spark, directory):
+        path = f"{directory}/{name}"
+        found = _first_file(spark, path) if _is_partition(name) else path
+        if found:
+            return found
     return None
 
 
 def _stored_schema(spark: SparkSession, path: str) -> StructType:
     """The columns of a stored table, from one of its files."""
-    fs, root, _ = _fs(spark, path)
-    one = _first_file(fs, root)
+    one = _first_file(spark, path)
     return spark.read.option("basePath", path).parquet(one).schema if one else read_stored(spark, path).schema
 
 
@@ -355,7 +369,7 @@ def _upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str
                     raise ValueError(f"merge: several batch rows match one target row for key {bad[0].asDict()}")
         merged = upsert.merge(scope, batch, keys, target_pred) if dirs or not partition_by else batch
         if partition_by:
-            return _bring_in(merged, _files_of(spark, dirs), path, partition_by, sort_within)
+            return _bring_in(merged, [f for d in dirs for f in _files(spark, d)], path, partition_by, sort_within)
         return write_table(merged, path, partition_by, sort_within)
     finally:
         _drop_stage(spark, stage)
@@ -456,7 +470,7 @@ def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None =
     recover(spark, path)
     if not partition_by:
         fs, p, _ = _fs(spark, path)
-        size, n = int(fs.getContentSummary(p).getLength()), len(_files(fs, p))
+        size, n = int(fs.getContentSummary(p).getLength()), len(_files(spark, path))
         if n < min_files or n <= max(1, -(-size // target_file_bytes)):
             return 0
         write_table(df.repartition(max(1, -(-size // target_file_bytes))), path)
@@ -482,5 +496,5 @@ def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None =
     part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_parts"))
     numbered = scope.join(layout, cond).withColumn("_file", (F.col("_first") + part).cast("int"))
     dealt = numbered.repartitionById(at, "_file").select(*df.columns)
-    _bring_in(dealt, _files_of(spark, plan), path, partition_by, as_dealt=True)
+    _bring_in(dealt, [f for d in plan for f in _files(spark, d)], path, partition_by, as_dealt=True)
     return len(plan)
