@@ -400,7 +400,8 @@ def encode_checked(docs: DataFrame, path: str, pattern: str, text: str = "text",
 def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens`` and the SHA-256 of the ids and of the decoded bytes, made of the same ids and
     bytes beside them, so that the ids of all texts need not leave the tasks."""
+    n, of_ids, of_bytes = fresh(docs, "n_tokens", "ids_sha256", "decoded_sha256")
     return Tokenizer(docs.sparkSession, path, pattern).encode(
-        docs, text, "n_tokens bigint, ids_sha256 string, decoded_sha256 string",
-        lambda texts, flat, edge, joined: {"n_tokens": pa.array(np.diff(edge), pa.int64()),
-                                    "ids_sha256": sha256_of_ids(flat, edge), "decoded_sha256": sha256_of_bytes(joined)})
+        docs, text, f"{n} bigint, {of_ids} string, {of_bytes} string",
+        lambda texts, flat, edge, joined: {n: pa.array(np.diff(edge), pa.int64()), of_ids: sha256_of_ids(flat, edge),
+                                           of_bytes: sha256_of_bytes(joined)})
