@@ -170,9 +170,16 @@ def _equal(weight: np.ndarray, arcs: Ragged, rows: np.ndarray, weight2: np.ndarr
     return same
 
 
+def _used(paths: Paths) -> np.ndarray:
+    mark = np.zeros(len(paths.names), bool)
+    for _, symbol, _ in paths.levels:
+        mark[symbol] = True
+    return np.flatnonzero(mark)
+
+
 def pack(paths: Paths) -> bytes:
     """The minimal automaton of ``paths`` as bytes, with the symbols that it uses."""
-    used = np.unique(np.concatenate([np.empty(0, np.int64), *[x[1] for x in paths.levels]]))
+    used = _used(paths)
     names = paths.names.take(pa.array(used))
     register = _Register()
     below = np.empty(0, np.int64)
@@ -217,13 +224,15 @@ def unpack(block: bytes) -> Paths:
 
 def pack_levels(paths: Paths) -> bytes:
     """The paths level by level as bytes, without looking for equal states: larger than ``pack``, and faster."""
-    used = np.unique(np.concatenate([np.empty(0, np.int64), *[x[1] for x in paths.levels]]))
+    used = _used(paths)
     names = paths.names.take(pa.array(used))
+    place = np.zeros(len(paths.names), np.int64)
+    place[used] = np.arange(len(used))
     lengths = pc.binary_length(names).to_numpy(zero_copy_only=False) if len(names) else np.empty(0, np.int64)
     parts = [struct.pack("<B", len(paths.levels)), _planes(lengths)]
     for d, (parent, symbol, weight) in enumerate(paths.levels):
         children = np.diff(paths.children(d - 1)) if d else np.array([len(parent)])
-        parts += [_planes(children), _planes(np.searchsorted(used, symbol)), _planes(weight)]
+        parts += [_planes(children), _planes(place[symbol]), _planes(weight)]
     parts.append(b"".join(names.to_pylist()))
     return zstandard.compress(b"".join(parts), 1)
 

@@ -35,12 +35,12 @@ from tallyspark.llm import automata
 from tallyspark.llm.alignment import _packed, _summed, _unpacked
 from tallyspark.llm.automata import Paths
 from tallyspark.llm.elias_fano import Level, mapped, saved
-from tallyspark.llm.sequence_ranges import RANGE_BYTES, SHARD_BYTES, cells, sample_splitters, shards_of, texts_of, united
+from tallyspark.llm.sequence_ranges import SHARD_BYTES, cells, sample_splitters, shards_of, texts_of, united
 from tallyspark.llm.storage import cut, file_system, fresh, release, shared_dir
 from tallyspark.llm.text import NOT_SPACE, Words, per_doc
 
-#: Longest n-gram; nodes of queries that are looked up together.
-ORDER, LOOKED_UP = 2, 500_000
+#: Longest n-gram; text of a range; nodes of queries that are looked up together.
+ORDER, RANGE_BYTES, LOOKED_UP = 2, 16 << 20, 500_000
 #: The end token (no word is empty) and the start symbol (no word has a space).
 END, START = b"", b" "
 #: The code book of quantised probabilities: 0 is absent, code k stands for 10 ** (-(k - 1) * STEP).
@@ -282,10 +282,12 @@ def score_documents(docs: DataFrame, model: dict, text: str = "text") -> DataFra
             gap = np.diff(node, prepend=0)
             heads = edge[:-1][edge[:-1] < edge[1:]]
             gap[heads] = node[heads]
+            # a query asks for every node, whatever its number
+            asked = Paths(paths.names, [(up, symbol, np.ones(len(up), np.int64)) for up, symbol, _ in paths.levels])
             rows = pa.StructArray.from_arrays([*batch.columns[:-1], pa.array(np.diff(first) - 1, pa.int64())], names=[*own, "n tokens"])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([uuid.uuid4().hex]), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-                 pa.array([automata.pack_levels(paths)], pa.binary()), pa.array([_packed(edge, gap, times)], pa.binary())],
+                 pa.array([automata.pack_levels(asked)], pa.binary()), pa.array([_packed(edge, gap, times)], pa.binary())],
                 names=["shard", "rows", "paths", "pairs"])
             release()
 
