@@ -56,10 +56,9 @@ def test_crash_while_files_move_in(spark, monkeypatch, step):
 
     def dies(spark_, staged, table):
         if step == "delete":  # files are in, old ones still there
-            fs, root, jvm = tables._fs(spark_, staged)
-            base = fs.makeQualified(root).toUri().getPath()
-            for f in tables._files(fs, root):
-                fs.rename(f, jvm.org.apache.hadoop.fs.Path(table + f.toUri().getPath()[len(base):]))
+            fs, _, jvm = tables._fs(spark_, staged)
+            for f in tables._files(spark_, staged):
+                fs.rename(jvm.org.apache.hadoop.fs.Path(f), jvm.org.apache.hadoop.fs.Path(table + f[len(staged):]))
         raise IOError("lost")
 
     monkeypatch.setattr(tables, "_move_in", dies)
