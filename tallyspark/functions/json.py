@@ -43,12 +43,13 @@ def json_elements(body: Column) -> Column:
     """
     bad = F.raise_error(F.concat(F.lit("response body is not a JSON array: "), F.input_file_name(), F.lit(" "),
                                  F.substring(body, 1, 80))).cast("array<variant>")
-    # text that begins like an array and parses is one; anything else parses to another kind or not at all
-    array = body.rlike(r"^\s*\[")
+    # a parser reads the first value and ignores what follows, so the text has to end like an array as well
+    inner = F.btrim(body, F.lit(" \t\r\n"))
+    array = inner.startswith("[") & inner.endswith("]")
     whole = F.try_variant_get(F.try_parse_json(F.when(array, body)), "$", "array<variant>")
     parts = F.transform(F.from_json(body, "array<string>", {"mode": "PERMISSIVE"}), lambda x: F.try_parse_json(x))
     parsed = F.when(F.length(body) <= WHOLE_BODY_CHARS, whole).otherwise(F.when(array, parts))
-    return F.when(body.isNull() | body.rlike(r"^\s*null\s*$"), F.lit(None).cast("array<variant>")) \
+    return F.when(body.isNull() | (inner == "null"), F.lit(None).cast("array<variant>")) \
         .otherwise(F.coalesce(parsed, bad))
 
 

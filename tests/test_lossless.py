@@ -126,3 +126,18 @@ def test_rebuild_check_at_any_parallelism(spark):
     assert checks.rebuild_equals_incremental("m", one, wrong).first()["n_diff"] == 2
     gone = many.withColumn("s", F.when(F.col("g") != 3, F.col("s")))
     assert checks.rebuild_equals_incremental("m", one, gone).first()["n_diff"] == 2
+
+
+def test_json_bodies_of_every_kind(spark, monkeypatch):
+    from tallyspark.functions import json as J
+    good = ['[{"a": 1, "b": "[x", "c": {"d": 1}}, {"a": null}, 5, "s", null, [1]]', " [ ] ", "null", None, '[{"a": 2, "b": true, "c": [1]}]']
+    df = spark.createDataFrame([(b,) for b in good], "body string")
+    want = sorted([("1", "[x", "None")] + [("None", "None", "None")] * 5 + [("2", "true", "None")])
+    for limit in (J.WHOLE_BODY_CHARS, 3):     # short bodies as one value, long ones element by element
+        monkeypatch.setattr(J, "WHOLE_BODY_CHARS", limit)
+        assert rows(J.parse_json_rows(df, "body", {"a": "int", "b": "string", "c": "string"}).selectExpr(
+            "cast(a as string)", "b", "c").na.fill("None")) == want
+        assert [r[0] for r in df.select(F.size(J.json_elements(F.col("body")))).collect()] == [6, 0, None, None, 1]
+        for bad in ('{"error": 1}', '[{"a": 1}', "<html>", "", '[1] x'):
+            with pytest.raises(Exception, match="response body is not a JSON array"):
+                J.parse_json_rows(spark.createDataFrame([(bad,)], "body string"), "body", {"a": "int"}).collect()

@@ -89,3 +89,26 @@ def test_partitioned_writes_are_rebalanced(spark):
     w = tables._writer(df, ["d"], None)
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(w._df, "simple")      # the frame the writer will write
     assert "REBALANCE" not in plan(tables._writer(df, None, None)._df, "simple")
+
+
+def test_json_bodies_are_parsed_once(spark):
+    p = plan(E.queries()["S6"](spark, SF_SMALL), "simple")
+    # the other parser in the plan reads the elements of bodies that are too long for one value
+    assert p.count("VariantExpressionEvalUtils.parseJson(CASE") == 1 and p.count("parseJson(") == 2 and "parseJson(lambda" in p
+    assert "json_tuple" not in p.split("Generate")[0]
+
+
+def test_checks_of_a_table_read_it_once(spark):
+    p = plan(E.queries()["Q6_wide"](spark, SF_SMALL), "simple")
+    assert len([x for x in p.splitlines() if "FileScan" in x and "lineitem.parquet" in x]) == 1
+    p = plan(E.queries()["Q6"](spark, SF_SMALL), "simple")
+    assert len([x for x in p.splitlines() if "FileScan" in x and "lineitem.parquet" in x]) == 1
+
+
+def test_rebuild_comparison_sorts_only_what_has_no_equal_partner(spark):
+    from tallyspark.operators import checks
+    a = spark.createDataFrame([("k", 1.0)], "k string, x double")
+    p = plan(checks.rebuild_equals_incremental("m", a, a), "simple")
+    assert "CartesianProduct" not in p and "NestedLoop" not in p and "partial_count" in p
+    sort = [i for i, x in enumerate(p.splitlines()) if "Sort [" in x and "k#" in x]
+    assert sort and any("Filter NOT" in x for x in p.splitlines()[sort[0]:])
