@@ -35,7 +35,7 @@ class Paths:
         n = len(self.levels[d][0])
         if d + 1 == len(self.levels):
             return np.zeros(n + 1, np.int64)
-        return np.searchsorted(self.levels[d + 1][0], np.arange(n + 1))
+        return np.concatenate([[0], np.cumsum(np.bincount(self.levels[d + 1][0], minlength=n))])
 
     def weights(self) -> np.ndarray:
         return np.concatenate([np.empty(0, np.int64), *[x[2] for x in self.levels]])

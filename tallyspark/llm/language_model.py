@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import automata
-from tallyspark.llm.alignment import _packed, _summed, _unpacked
+from tallyspark.llm.alignment import _packed, _unpacked
 from tallyspark.llm.automata import Paths
 from tallyspark.llm.elias_fano import Level, mapped, saved
 from tallyspark.llm.sequence_ranges import SHARD_BYTES, cells, sample_splitters, shards_of, texts_of, united
@@ -277,7 +277,11 @@ def score_documents(docs: DataFrame, model: dict, text: str = "text") -> DataFra
                 docs_.append(doc_of[at[mine]])
                 nodes.append(before[d] + node[mine])
             doc, node = np.concatenate(docs_), np.concatenate(nodes)
-            doc, node, times = _summed(doc, node, np.ones(len(doc), np.int64))
+            key = doc * before[-1] + node
+            key.sort()
+            new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            times = np.diff(np.append(new, len(key)))
+            doc, node = np.divmod(key[new], before[-1])
             edge = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             gap = np.diff(node, prepend=0)
             heads = edge[:-1][edge[:-1] < edge[1:]]
