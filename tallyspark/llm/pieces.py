@@ -2,7 +2,8 @@
 
 A text is cut before a space whose neighbours are no white space. No match of a byte-level tokenizer's pattern
 crosses such a place (a match takes a space only in front of what follows it), and no vocabulary piece of a
-sentence-piece model does either (checked when the model is loaded). So the tokens of a text are those of its
+sentence-piece model does either (checked when the model is loaded; a text with the model's own mark for a space,
+U+2581, is another matter: its bytes never come back, which the alignment finds out). So the tokens of a text are those of its
 pieces in order, and each distinct piece has to be encoded once only. The test for white space is conservative:
 places next to characters that share a first byte with Unicode spaces are not cut.
 """
