@@ -26,6 +26,7 @@ no file; other columns are not part of the files.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -37,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.pieces import Pieces, Ragged, Store, library_ids
+from tallyspark.llm.pieces import Pieces, Ragged, Store, joined_ids, token_bytes
 from tallyspark.llm.storage import cut, file_system, of_process, release, shared_dir
 from tallyspark.llm.text import chunks
 
@@ -131,8 +132,11 @@ class Encoder:
         def make():
             from tokenizers import Tokenizer
 
+            # a task has one core: the library's own threads would take those of the other tasks
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
             tokenizer = Tokenizer.from_str(content.value)
-            return Store(lambda new: {"ids": library_ids(tokenizer, new.cast(pa.large_string()).to_pylist())}, KEPT)
+            size = token_bytes(tokenizer)
+            return Store(lambda new: {"ids": joined_ids(tokenizer, size, new)}, KEPT)
 
         def encode(texts: pa.Array) -> Ragged:
             store = of_process(name, make)
@@ -155,14 +159,14 @@ def frames_of(docs: DataFrame, encoder: Encoder, end_id: int | None, doc_id: str
             start = 0
             for c in chunks(batch.column(1), TEXT_BYTES):
                 ids = encode(c)
-                n, frames, sums = [], [], []
-                for a, b in zip(ids.edge[:-1].tolist(), ids.edge[1:].tolist()):
-                    own = ids.values[a:b] if end_id is None else np.append(ids.values[a:b], end_id)
-                    raw = own.astype(f"<u{width}").tobytes()
-                    n.append(len(own))
-                    frames.append(zstd.compress(raw) if raw else None)
-                    sums.append(checksum(raw))
-                count = np.array(n, np.int64)
+                if end_id is not None:
+                    ids = Ragged(np.insert(ids.values, ids.edge[1:], end_id), ids.edge + np.arange(len(ids.edge)))
+                count, raw = ids.lengths(), memoryview(ids.values.astype(f"<u{width}").tobytes())
+                edge = (ids.edge * width).tolist()
+                frames, sums = [], []
+                for a, b in zip(edge[:-1], edge[1:]):
+                    frames.append(zstd.compress(raw[a:b]) if a < b else None)
+                    sums.append(checksum(raw[a:b]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(c)).cast(pa.int64()), pa.array(count), pa.array(frames, pa.binary()),
                      pa.array(count * width), pa.array(sums, pa.int64())],

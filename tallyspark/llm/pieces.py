@@ -142,3 +142,46 @@ def library_ids(tokenizer, texts: list[str], step: int = 10_000) -> Ragged:
         edge[at + 1:at + 1 + len(rows)] = [len(r) for r in rows]
         done.append(np.array(list(chain.from_iterable(rows)), np.int64))
     return Ragged(np.concatenate(done), np.cumsum(edge))
+
+
+def token_bytes(tokenizer) -> np.ndarray:
+    """How many bytes of text each id of a byte-level tokenizer stands for; 0 for numbers that are no ids."""
+    size = np.zeros(1 + max(tokenizer.get_vocab().values(), default=-1), np.int64)
+    for token, k in tokenizer.get_vocab(with_added_tokens=False).items():
+        size[k] = len(token)  # a character stands for a byte
+    for k, token in tokenizer.get_added_tokens_decoder().items():
+        size[k] = len(token.content.encode())
+    return size
+
+
+def joined_ids(tokenizer, size: np.ndarray, names: pa.Array, step: int = 16 << 10, together: int = 32) -> Ragged:
+    """``library_ids`` of pieces, many in one text of about ``step`` bytes: where pieces follow each other as the text
+    of them would be cut, their tokens are those of the text, and the bytes of the ids (``size``, see ``token_bytes``)
+    tell whose each one is. Pieces that can't follow another one, and those of a text in which a token does not end
+    with a piece, are encoded one by one."""
+    strings = names.cast(pa.large_string())
+    raw, off = flat(strings)
+    fits = np.diff(off) > 1
+    begin, end = off[:-1][fits], off[1:][fits]
+    fits[fits] = (raw[begin] == 0x20) & _AFTER[raw[begin + 1]] & (raw[end - 1] != 0x20)
+    where = np.flatnonzero(fits)
+    raw, off = flat(strings.filter(pa.array(fits)))
+    marks = np.append(np.unique(np.searchsorted(off, np.arange(0, len(raw), step))), len(where)) if len(where) else [0]
+    spans = list(zip(marks[:-1], marks[1:]))
+    done, n = [np.empty(0, np.int64)], np.zeros(len(where), np.int64)
+    for i in range(0, len(spans), together):
+        some = spans[i:i + together]
+        texts = [raw[off[a]:off[b]].tobytes().decode() for a, b in some]
+        for (a, b), coded in zip(some, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(coded.ids, np.int64)
+            upto, ends = np.cumsum(size[ids]), off[a + 1:b + 1] - off[a]
+            last = np.searchsorted(upto, ends)
+            if len(ids) and upto[-1] == ends[-1] and size[ids].all() and (upto[last] == ends).all():
+                n[a:b] = np.diff(last, prepend=-1)
+                done.append(ids)
+    fits[where[n == 0]] = False  # a piece that fits has an id at least
+    found = Ragged(np.concatenate(done), np.concatenate([[0], np.cumsum(n[n > 0])]))
+    found = found.append(library_ids(tokenizer, strings.filter(pa.array(~fits)).to_pylist()))
+    place = np.empty(len(fits), np.int64)
+    place[np.concatenate([np.flatnonzero(fits), np.flatnonzero(~fits)])] = np.arange(len(fits))
+    return found.take(place)

@@ -180,6 +180,60 @@ def test_files_are_plain_zstandard_and_only_wanted_frames_are_read(spark):
         binary_output.Reader(io.BytesIO(data[:-1]))
 
 
+class Counted:
+    """A tokenizer that counts the texts given to it."""
+
+    def __init__(self, tokenizer):
+        self.own, self.texts = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.own, name)
+
+    def encode_batch_fast(self, texts, **more):
+        self.texts += len(texts)
+        return self.own.encode_batch_fast(texts, **more)
+
+
+def test_pieces_are_encoded_together_with_the_ids_of_each():
+    words = [f"{w}{k}" for k in range(400) for w in ("word", "漢字", "\u00a0x\u00a0", "a\n", "\x1c", "<|endoftext|>", "don't ")]
+    names = pieces.Pieces(pa.array([*ODD, " ".join(words), "", "first " + " ".join(reversed(words))]), strip=False).names
+    t = Counted(Tokenizer.from_file(A_PATH))
+    want = [t.own.encode(x.decode(), add_special_tokens=False).ids for x in names.to_pylist()]
+    size = pieces.token_bytes(t)
+    for step in (1, 50, 16 << 10):
+        t.texts = 0
+        got = pieces.joined_ids(t, size, names, step)
+        assert [got.values[a:b].tolist() for a, b in zip(got.edge[:-1], got.edge[1:])] == want
+    assert t.texts < len(names) / 4
+    # where the bytes of the ids do not tell whose they are, pieces are encoded one by one
+    got = pieces.joined_ids(t, size * 0, names)
+    assert [got.values[a:b].tolist() for a, b in zip(got.edge[:-1], got.edge[1:])] == want
+    got = pieces.joined_ids(t, size, names.slice(0, 0))
+    assert len(got) == 0 and not len(got.values)
+
+
+def test_encoder_of_tasks_gives_the_library_few_texts(spark, monkeypatch):
+    import tokenizers
+
+    made = []
+
+    class Loaded:
+        @staticmethod
+        def from_str(content):
+            made.append(Counted(Tokenizer.from_str(content)))
+            return made[-1]
+
+    encoder = binary_output.Encoder(spark, A_PATH)
+    encoder.name = "token ids of this test"
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "false")
+    monkeypatch.setattr(tokenizers, "Tokenizer", Loaded)
+    texts = [" ".join(f"number{k}" for k in range(i, i + 300)) for i in range(0, 3000, 300)]
+    got = encoder.in_task()(pa.array(texts, pa.large_string()))
+    want = [made[0].own.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [got.values[a:b].tolist() for a, b in zip(got.edge[:-1], got.edge[1:])] == want
+    assert made[0].texts < 100
+
+
 def test_binary_output_of_edge_rows(spark, edge):
     manifest = binary_output.write_documents(edge, A_PATH)
     got = Counter((r.doc_id, r.n_tokens == 0) for r in binary_output.digests(manifest).collect())
