@@ -177,6 +177,16 @@ def _used(paths: Paths) -> np.ndarray:
     return np.flatnonzero(mark)
 
 
+def bytes_of(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each name (large binary, no nulls) begins, one more at the end, and the bytes of all; no object per name."""
+    if not len(names):
+        return np.zeros(1, np.int64), np.empty(0, np.uint8)
+    _, edge, data = names.buffers()
+    edge = np.frombuffer(edge, np.int64)[names.offset:names.offset + len(names) + 1]
+    body = np.frombuffer(data, np.uint8)[edge[0]:edge[-1]] if data is not None else np.empty(0, np.uint8)
+    return edge - edge[0], body
+
+
 def pack(paths: Paths) -> bytes:
     """The minimal automaton of ``paths`` as bytes, with the symbols that it uses."""
     used = _used(paths)
@@ -191,11 +201,11 @@ def pack(paths: Paths) -> bytes:
         else:
             values, edge = np.empty((0, 2), np.int64), np.zeros(len(paths.levels[d][0]) + 1, np.int64)
         below = register.add(paths.levels[d][2] if d >= 0 else np.zeros(1, np.int64), Ragged(values, edge))
-    lengths = pc.binary_length(names).to_numpy(zero_copy_only=False) if len(names) else np.empty(0, np.int64)
+    edge, body = bytes_of(names)
     parts = [struct.pack("<BQ", len(paths.levels), int(below[0]))]
-    for x in (lengths, register.weight, register.arcs.lengths(), register.arcs.values[:, 0], register.arcs.values[:, 1]):
+    for x in (np.diff(edge), register.weight, register.arcs.lengths(), register.arcs.values[:, 0], register.arcs.values[:, 1]):
         parts.append(_planes(x))
-    parts.append(b"".join(names.to_pylist()))
+    parts.append(body.tobytes())
     return zstandard.compress(b"".join(parts), 3)
 
 
@@ -228,12 +238,12 @@ def pack_levels(paths: Paths) -> bytes:
     names = paths.names.take(pa.array(used))
     place = np.zeros(len(paths.names), np.int64)
     place[used] = np.arange(len(used))
-    lengths = pc.binary_length(names).to_numpy(zero_copy_only=False) if len(names) else np.empty(0, np.int64)
-    parts = [struct.pack("<B", len(paths.levels)), _planes(lengths)]
+    edge, body = bytes_of(names)
+    parts = [struct.pack("<B", len(paths.levels)), _planes(np.diff(edge))]
     for d, (parent, symbol, weight) in enumerate(paths.levels):
         children = np.diff(paths.children(d - 1)) if d else np.array([len(parent)])
         parts += [_planes(children), _planes(place[symbol]), _planes(weight)]
-    parts.append(b"".join(names.to_pylist()))
+    parts.append(body.tobytes())
     return zstandard.compress(b"".join(parts), 1)
 
 

@@ -67,6 +67,7 @@ def ngrams(texts: pa.Array, order: int):
     seq[first[:-1]], seq[first[1:] - 1] = marks
     inside[first[:-1]] = inside[first[1:] - 1] = False
     seq[inside] = place[ids]
+    del words, ids, inside, place
     left = np.repeat(first[1:], np.diff(first)) - np.arange(len(seq))
     at, node = np.arange(len(seq)), np.zeros(len(seq), np.int64)
     levels, found = [], []
@@ -122,9 +123,9 @@ def fit(docs: DataFrame, order: int = ORDER, range_bytes: int = RANGE_BYTES, sha
         paths = united(blocks(), automata.unpack_levels)
         if paths is None:
             return
-        names = paths.names.to_pylist()
+        names = paths.names
         _, symbol, weight = paths.levels[0]
-        real = np.array([names[s] != START for s in symbol.tolist()], bool)
+        real = symbol != pc.index(names, pa.scalar(START, names.type)).as_py()
         sums = {"tokens": int(weight[real].sum()), "kinds": int((weight[real] > 0).sum())}
         for d in range(1, order):
             sums |= {f"once_{d}": int((paths.levels[d][2] == 1).sum()), f"twice_{d}": int((paths.levels[d][2] == 2).sum())}
@@ -133,7 +134,7 @@ def fit(docs: DataFrame, order: int = ORDER, range_bytes: int = RANGE_BYTES, sha
             n, children = len(paths.levels[d][0]), followers_of(paths, d)
             for k in sorted({0, n - 1} if n else set()):
                 (row,) = automata.rows_of(paths, d, np.array([k]), d + 1).tolist()
-                borders.append({"depth": d, "path": [names[s] for s in row], "c": int(paths.levels[d][2][k]), "followers": int(children[k])})
+                borders.append({"depth": d, "path": [names[s].as_py() for s in row], "c": int(paths.levels[d][2][k]), "followers": int(children[k])})
         yield pa.RecordBatch.from_arrays(
             [pa.array([r], pa.int32()), pa.array([automata.pack_levels(paths)], pa.binary()), pa.array([borders], pa.list_(border)),
              *[pa.array([sums[x]], pa.int64()) for x in ("tokens", "kinds", *numbers)]],
@@ -174,16 +175,16 @@ def fit(docs: DataFrame, order: int = ORDER, range_bytes: int = RANGE_BYTES, sha
 
 def trie(paths: Paths, discount: list[float], totals: dict[tuple, list[int]]) -> dict[str, np.ndarray]:
     """The arrays of a range's trie; ``totals`` has (count, followers) of the contexts at borders."""
-    names, order = paths.names.to_pylist(), len(paths.levels)
-    edge = np.concatenate([[0], np.cumsum([len(x) for x in names])]).astype(np.int64)
-    out = {"names.edge": edge, "names.bytes": np.frombuffer(b"".join(names), np.uint8), "counts": paths.levels[0][2]}
+    names, order = paths.names, len(paths.levels)
+    edge, body = automata.bytes_of(names)
+    out = {"names.edge": edge, "names.bytes": body, "counts": paths.levels[0][2]}
     before = np.empty(0)
     for d, (parent, symbol, weight) in enumerate(paths.levels):
         c, followers = weight.astype(float), followers_of(paths, d).astype(float)
         n = len(parent)
         for k in {0, n - 1} if n and d < order - 1 else ():
             (row,) = automata.rows_of(paths, d, np.array([k]), d + 1).tolist()
-            c[k], followers[k] = totals[tuple(names[s] for s in row)]
+            c[k], followers[k] = totals[tuple(names[s].as_py() for s in row)]
         codes = {}
         if d:
             codes["p"] = quantised(np.where(weight > 0, (weight - discount[d]) / before[parent], 0))
@@ -278,10 +279,12 @@ def score_documents(docs: DataFrame, model: dict, text: str = "text") -> DataFra
                 nodes.append(before[d] + node[mine])
             doc, node = np.concatenate(docs_), np.concatenate(nodes)
             key = doc * before[-1] + node
+            del found, docs_, nodes, doc, node, starts, doc_of, at, mine
             key.sort()
             new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             times = np.diff(np.append(new, len(key)))
             doc, node = np.divmod(key[new], before[-1])
+            del key, new
             edge = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             gap = np.diff(node, prepend=0)
             heads = edge[:-1][edge[:-1] < edge[1:]]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
-from tallyspark.llm import elias_fano, language_model, queries  # noqa: E402
+from tallyspark.llm import automata, elias_fano, language_model, queries  # noqa: E402
 from tallyspark.llm.calibration import id_remainder  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -105,3 +105,49 @@ def test_files_are_mapped(tmp_path):
     (tmp_path / "f").write_bytes(b"".join(elias_fano.saved(arrays)))
     back = elias_fano.mapped(pa.memory_map(str(tmp_path / "f")).read_buffer())
     assert list(back) == list(arrays) and all((back[k] == v).all() and back[k].dtype == v.dtype for k, v in arrays.items())
+
+
+class Names:
+    """Names of paths that must not become Python objects all at once."""
+
+    def __init__(self, own):
+        self.own, self.offset = own, own.offset
+
+    def __len__(self):
+        return len(self.own)
+
+    def __getitem__(self, k):
+        return self.own[k]
+
+    def buffers(self):
+        return self.own.buffers()
+
+    def take(self, at):
+        return Names(self.own.take(at))
+
+    def to_pylist(self):
+        raise AssertionError("an object for each name")
+
+
+def test_names_go_to_blocks_and_tries_as_buffers():
+    paths, _, _ = language_model.ngrams(pa.array(["b a b ä", "", "a c漢 b", None], pa.large_string()), 2)
+    names = paths.names
+    used = automata.Paths(Names(names), paths.levels)
+    for pack, unpack in ((automata.pack_levels, automata.unpack_levels), (automata.pack, automata.unpack)):
+        back = unpack(pack(used))
+        assert back.names.equals(names)
+        assert all((x == y).all() for mine, own in zip(back.levels, paths.levels) for x, y in zip(mine, own))
+    n = len(paths.levels[0][0])
+    totals = {(names[int(paths.levels[0][1][k])].as_py(),): [1, 1] for k in (0, n - 1)}
+    arrays = language_model.trie(used, [0.0, 0.5], totals)
+    edge, data = arrays["names.edge"], arrays["names.bytes"].tobytes()
+    assert [data[a:b] for a, b in zip(edge[:-1], edge[1:])] == names.to_pylist()
+
+
+@pytest.mark.parametrize("values", [[], [b""], [b"", b"a", b"", b"\xff\x00c"]])
+def test_bytes_of_names(values):
+    padded = pa.array([b"before", *values, b"behind"], pa.large_binary())
+    for names in (pa.array(values, pa.large_binary()), padded.slice(1, len(values))):
+        edge, body = automata.bytes_of(names)
+        assert [body[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])] == values
+        assert edge[0] == 0 and edge[-1] == len(body)
